@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tilewright.llm.exact_dedup import exact_dedup
+from tilewright.llm.language_id import fit_language_model, identify_language
 from tilewright.llm.packing import pack_documents
+from tilewright.llm.permutation_index import permutation_search
 from tilewright.llm.token_counts import length_histogram
 
 
@@ -15,10 +18,21 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _fold(modulus: int) -> Column:
+    """The fold of a document: crc32 of its id as text; null ids fall in fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus, F.lit(0))
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = identify_language(docs, fit_language_model(docs, _fold(4) != 2))
+    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(_documents(spark, sf_dir))
 
@@ -27,8 +41,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op7_token_counts, op8_packing)
+    f.__name__: f for f in (op1_exact_dedup, op5_language_id, op7_token_counts, op8_packing, op10_permutation_index)
 }
 
 ORACLE_SQL: dict[str, str] = {
