@@ -27,19 +27,23 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+def hashed_grams(data: np.ndarray) -> np.ndarray:
+    """A number under ``DIMS`` for each three bytes in a row; 32-bit products wrap."""
+    a = data.astype(np.uint32)
+    return (a[:-2] * np.uint32(0x9E3779B1) + a[1:-1] * np.uint32(0x85EBCA77) + a[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(19)
+
+
 def features(text: str) -> np.ndarray:
     """Square roots of the shares of hashed byte 3-grams; of length 1."""
     data = np.frombuffer(b" " + text.encode("utf-8", "replace").translate(_FOLD) + b" ", np.uint8)
     counts = np.zeros(DIMS)
     for first in range(0, len(data) - 2, 1 << 20):
-        a = data[first : first + (1 << 20) + 2].astype(np.uint32)
-        hashed = (a[:-2] * np.uint32(0x9E3779B1) + a[1:-1] * np.uint32(0x85EBCA77) + a[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(19)
-        counts += np.bincount(hashed, minlength=DIMS)
+        counts += np.bincount(hashed_grams(data[first : first + (1 << 20) + 2]), minlength=DIMS)
     counts[_BLANK] = 0  # three spaces say nothing
     return np.sqrt(counts / max(1, counts.sum()))
 
 
-_BLANK = int((np.array([32], np.uint32) * np.uint32(0x9E3779B1) + np.uint32(32) * np.uint32(0x85EBCA77) + np.uint32(32) * np.uint32(0xC2B2AE3D))[0] >> np.uint32(19))
+_BLANK = int(hashed_grams(np.full(3, 32, np.uint8))[0])
 
 
 def codewords(n: int, seed: int = 11) -> np.ndarray:
@@ -71,7 +75,7 @@ class LanguageModel:
 
 
 def fit_language_model(
-    docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_per_language: int = 600
+    docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_per_language: int = 400
 ) -> LanguageModel:
     """Fit on a bounded sample: about ``most_per_language`` labelled training rows of each language, never over twice as many.
 
@@ -106,13 +110,14 @@ def fit_language_model(
     return LanguageModel(languages, code, w, b, trust / trust.sum())
 
 
-def _fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 200, rate: float = 60.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def _fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 100, rate: float = 60.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Logistic regressions for all bits at once, by gradient steps with momentum."""
-    w, b = np.zeros((x.shape[1], y.shape[1])), np.zeros(y.shape[1])
+    x, y, share = x.astype(np.float32), y.astype(np.float32), share.astype(np.float32)
+    w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(steps):
         pull = y / (1 + np.exp(np.clip(y * (x @ w + b), -30, 30))) * share[:, None]
-        vw = 0.9 * vw + 0.1 * rate * (x.T @ pull - decay * w)
+        vw = 0.9 * vw + 0.1 * rate * (x.T @ pull - np.float32(decay) * w)
         vb = 0.9 * vb + 0.1 * pull.sum(axis=0)
         w, b = w + vw, b + vb
     return w, b

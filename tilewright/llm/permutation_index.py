@@ -89,7 +89,7 @@ def permutation_search(
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), files], ["vec_id", "v", "files"])
 
     index = stage(good.mapInArrow(post, "vec_id long, v array<double>, files array<int>"), "permutations")
-    queries = index.join(asked, "vec_id", "left_semi")
+    queries = stage(index.join(asked, "vec_id", "left_semi"), "queries")
     found = stage(_read_files(index, queries, F.slice("files", 1, read_from), pivots, post_in, read_from, k, rerank, block_rows), "found")
     n_others = index.select("vec_id").distinct().limit(k + 1).count() - 1
     per_query = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n"))
