@@ -11,6 +11,7 @@ from tilewright.llm.exact_dedup import exact_dedup
 from tilewright.llm.language_id import fit_language_model, identify_language
 from tilewright.llm.packing import pack_documents
 from tilewright.llm.permutation_index import permutation_search
+from tilewright.llm.simhash import simhash_components
 from tilewright.llm.token_counts import length_histogram
 
 
@@ -33,6 +34,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_documents(spark, sf_dir))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(_documents(spark, sf_dir))
 
@@ -46,7 +51,7 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op5_language_id, op7_token_counts, op8_packing, op10_permutation_index)
+    f.__name__: f for f in (op1_exact_dedup, op5_language_id, op6_simhash, op7_token_counts, op8_packing, op10_permutation_index)
 }
 
 ORACLE_SQL: dict[str, str] = {
