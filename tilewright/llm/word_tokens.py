@@ -12,6 +12,10 @@ from collections.abc import Iterable
 import numpy as np
 
 
+#: Marks that the tokenizer never joins with letters before them.
+MARKS = b".,;:!?"
+
+
 class WordTokenizer:
     def __init__(self, vocabulary: str, most_words: int = 300_000):
         import os
@@ -27,15 +31,45 @@ class WordTokenizer:
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("ids beyond 65,535 do not fit in 16 bits")
         self.most_words = most_words
+        self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: Iterable[bytes]) -> None:
-        new = [w for w in set(words) if w not in self.known]
+        """Encode the words that are not known yet; letters with a mark behind them, as the letters and then the mark."""
+        new = {w for w in set(words) if w not in self.known}
+        if not new:
+            return
         if len(self.known) + len(new) > self.most_words:
             self.known = {}
-            new = list(set(words))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
+            new = set(words)
+        split: dict[bytes, tuple[bytes, bytes]] = {}
+        for w in new:
+            letters = w.rstrip(MARKS)
+            if letters.decode("utf-8", "replace").isalpha():
+                split[w] = (letters, w[len(letters) :])
+        letters = [x for x in {x for x, _ in split.values()} if x not in self.known]
+        for i in range(0, len(letters), 4096):
+            self._learn_letters(letters[i : i + 4096])
+        self._learn_each(x for x in {x for _, x in split.values() if x} | (new - split.keys()) if x not in self.known)
+        for w, (x, mark) in split.items():
+            if mark:
+                self.known[w] = self.known[x] + self.known[mark]
+
+    def _learn_letters(self, words: list[bytes]) -> None:
+        """Encode runs of letters in one go; each ends where a piece ends a word, unless lower-casing one gave other characters."""
+        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u2")
+        stops = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(stops) != len(words):
+            return self._learn_each(words)
+        data, start = ids.tobytes(), 0
+        for w, stop in zip(words, (2 * stops).tolist()):
+            self.known[w] = data[start:stop]
+            start = stop
+
+    def _learn_each(self, words: Iterable[bytes]) -> None:
+        words = list(words)
+        for i in range(0, len(words), 4096):
+            part = words[i : i + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
                 self.known[w] = np.array(e.ids, "<u2").tobytes()
 
