@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.prefix_sum import running_totals
 from tilewright.llm.scratch import stage
-from tilewright.llm.word_tokens import WordTokenizer
+from tilewright.llm.word_tokens import word_tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -64,14 +64,16 @@ def encode_documents(
     """``row_no, doc_id, n_tokens, curve_key, ids`` per row; ids are 16-bit and end with the end id."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(vocabulary)
+        words = word_tokenizer(vocabulary)
         random = np.random.default_rng(seed).standard_normal((65_536, dims)).astype(np.float32)
         end = np.array([END_ID], "<u2").tobytes()
         row_no = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
-                ids = [words.ids(t.as_py()) + end for t in part.column(1)]
+                texts = part.column(1).to_pylist()
+                words.learn_all(texts)
+                ids = [words.ids(t) + end for t in texts]
                 centres = np.array([random[np.frombuffer(i, "<u2")].mean(axis=0) for i in ids], np.float64).reshape(-1, dims)
                 cells = np.clip((1 << bits) / (1 + np.exp(-8 * centres)), 0, (1 << bits) - 1).astype(np.int64)
                 n = len(ids)

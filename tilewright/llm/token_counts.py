@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.prefix_sum import running_totals
-from tilewright.llm.word_tokens import WordTokenizer
+from tilewright.llm.word_tokens import word_tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -23,10 +23,12 @@ def token_lengths(docs: DataFrame, text_col: str = "text", vocabulary: str = VOC
     """One ``n_tokens`` per row; null and empty texts have 0 tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(vocabulary)
+        words = word_tokenizer(vocabulary)
         for batch in batches:
-            lengths = [len(words.ids(t.as_py())) // 2 for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["n_tokens"])
+            for first in range(0, batch.num_rows, 512):
+                texts = batch.column(0).slice(first, 512).to_pylist()
+                words.learn_all(texts)
+                yield pa.RecordBatch.from_arrays([pa.array([len(words.ids(t)) // 2 for t in texts], pa.int64())], ["n_tokens"])
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(count, "n_tokens long")
 

@@ -8,6 +8,7 @@ the ids of words they have met, in a table of bounded size.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 import numpy as np
 
@@ -17,7 +18,7 @@ MARKS = b".,;:!?"
 
 
 class WordTokenizer:
-    def __init__(self, vocabulary: str, most_words: int = 300_000):
+    def __init__(self, vocabulary: str, most_words: int = 600_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,7 +58,7 @@ class WordTokenizer:
 
     def _learn_letters(self, words: list[bytes]) -> None:
         """Encode runs of letters in one go; each ends where a piece ends a word, unless lower-casing one gave other characters."""
-        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u2")
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u2")
         stops = np.flatnonzero(self.ends_word[ids]) + 1
         if len(stops) != len(words):
             return self._learn_each(words)
@@ -73,12 +74,32 @@ class WordTokenizer:
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
                 self.known[w] = np.array(e.ids, "<u2").tobytes()
 
+    def learn_all(self, texts: Iterable[str | None]) -> None:
+        """Meet the words of several texts at once."""
+        words: set[bytes] = set()
+        for text in texts:
+            words.update((text or "").encode("utf-8", "replace").split())
+            if len(words) > 200_000:
+                self.learn(words)
+                words.clear()
+        self.learn(words)
+
     def ids(self, text: str | None) -> bytes:
         """The text's ids as little-endian 16-bit numbers; null and empty texts have none."""
         words = (text or "").encode("utf-8", "replace").split()
         out = []
         for i in range(0, len(words), 100_000):
             part = words[i : i + 100_000]
-            self.learn(part)
-            out += map(self.known.__getitem__, part)
+            try:
+                out.extend(map(self.known.__getitem__, part))
+            except KeyError:
+                del out[i:]
+                self.learn(part)
+                out.extend(map(self.known.__getitem__, part))
         return b"".join(out)
+
+
+@cache
+def word_tokenizer(vocabulary: str) -> WordTokenizer:
+    """One per worker process, so that later tasks know the words of earlier ones."""
+    return WordTokenizer(vocabulary)
