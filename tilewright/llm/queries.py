@@ -12,6 +12,7 @@ from tilewright.llm.language_id import fit_language_model, identify_language
 from tilewright.llm.packing import pack_documents
 from tilewright.llm.permutation_index import permutation_search
 from tilewright.llm.simhash import simhash_components
+from tilewright.llm.substring_dedup import remove_repeats
 from tilewright.llm.subword_lm import score_documents
 from tilewright.llm.token_counts import length_histogram
 
@@ -33,6 +34,10 @@ def op2_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_documents(spark, sf_dir), _fold(10) == 0)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir)).drop("kept_text")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     found = identify_language(docs, fit_language_model(docs, _fold(4) != 2))
@@ -56,7 +61,7 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_subword_lm, op5_language_id, op6_simhash, op7_token_counts, op8_packing, op10_permutation_index)
+    f.__name__: f for f in (op1_exact_dedup, op2_subword_lm, op4_substring_dedup, op5_language_id, op6_simhash, op7_token_counts, op8_packing, op10_permutation_index)
 }
 
 ORACLE_SQL: dict[str, str] = {
