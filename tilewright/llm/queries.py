@@ -14,6 +14,7 @@ from tilewright.llm.permutation_index import permutation_search
 from tilewright.llm.simhash import simhash_components
 from tilewright.llm.substring_dedup import remove_repeats
 from tilewright.llm.subword_lm import score_documents
+from tilewright.llm.suffix_family import remove_repeated_bytes
 from tilewright.llm.token_counts import length_histogram
 
 
@@ -56,12 +57,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op9_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(_documents(spark, sf_dir)).drop("kept")
+
+
 def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_subword_lm, op4_substring_dedup, op5_language_id, op6_simhash, op7_token_counts, op8_packing, op10_permutation_index)
+    f.__name__: f for f in (op1_exact_dedup, op2_subword_lm, op4_substring_dedup, op5_language_id, op6_simhash, op7_token_counts, op8_packing, op9_suffix_family, op10_permutation_index)
 }
 
 ORACLE_SQL: dict[str, str] = {
