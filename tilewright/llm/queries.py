@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.exact_dedup import exact_dedup
 from tilewright.llm.language_id import fit_language_model, identify_language
+from tilewright.llm.lattice_sampling import sample_encodings
 from tilewright.llm.packing import pack_documents
 from tilewright.llm.permutation_index import permutation_search
 from tilewright.llm.simhash import simhash_components
@@ -35,6 +36,10 @@ def op2_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_documents(spark, sf_dir), _fold(10) == 0)
 
 
+def op3_lattice_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_encodings(_documents(spark, sf_dir), with_ids=False)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir)).drop("kept_text")
 
@@ -66,7 +71,7 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_subword_lm, op4_substring_dedup, op5_language_id, op6_simhash, op7_token_counts, op8_packing, op9_suffix_family, op10_permutation_index)
+    f.__name__: f for f in (op1_exact_dedup, op2_subword_lm, op3_lattice_sampling, op4_substring_dedup, op5_language_id, op6_simhash, op7_token_counts, op8_packing, op9_suffix_family, op10_permutation_index)
 }
 
 ORACLE_SQL: dict[str, str] = {
