@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIMS = 8192
 UNDETERMINED = "und"
@@ -124,24 +125,37 @@ def _fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 100, rate
 
 
 def identify_language(
-    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", close: float = 0.6, sharpness: float = 4.0
+    docs: DataFrame,
+    model: LanguageModel,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    close: float = 0.6,
+    sharpness: float = 4.0,
+    keep_columns: bool = False,
 ) -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` for each row, from its text alone.
 
+    With ``keep_columns``, the row's own columns come instead of ``doc_id``, and the
+    answers last; where names clash there are two columns of that name.
+
     ``score`` is the winner's share, 0 to 1, when losses compete as
     exp(-sharpness * loss); ``ambiguous`` marks scores under ``close``. A text
     that is null or has no letter, and every text when no language was learned,
     is ``und`` with score 0 and not ambiguous. Equal losses go to the language
-    that sorts first. Repeated rows are answered alike; other columns are not
-    read; an empty table gives no rows.
+    that sorts first. Repeated rows are answered alike; an empty table
+    gives no rows.
     """
     names = model.languages
+    own = [(c, F.col(f"`{c}`")) for c in docs.columns] if keep_columns else [("doc_id", F.col(id_col).cast("long"))]
+    rows = docs.select(F.col(text_col).alias("text"), *[c.alias(f"c{i}") for i, (_, c) in enumerate(own)])
+    answers = [T.StructField(n, t) for n, t in (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType()))]
+    schema = T.StructType([*rows.schema.fields[1:], *answers])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                texts = part.column(1).to_pylist()
+                texts = part.column(0).to_pylist()
                 lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
                 told = [i for i, t in enumerate(texts) if names and has_letter(t)]
                 if told:
@@ -151,7 +165,7 @@ def identify_language(
                     for i, s in zip(told, share):
                         lang[i], score[i] = names[int(s.argmax())], s.max()
                 unsure = [n != UNDETERMINED and bool(s < close) for n, s in zip(lang, score)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang), pa.array(score), pa.array(unsure)], ["doc_id", "lang_pred", "score", "ambiguous"])
+                columns = [*part.columns[1:], pa.array(lang), pa.array(score), pa.array(unsure)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(predict, "doc_id long, lang_pred string, score double, ambiguous boolean")
+    return rows.mapInArrow(predict, schema).toDF(*[n for n, _ in own], "lang_pred", "score", "ambiguous")
