@@ -51,7 +51,7 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
     """+1/-1 codewords, a row for each language: all splits in two for up to 6 languages, else the best of some random codes of 8 log2(n) bits."""
     if n <= 6:
         bits = range(1, 1 << (n - 1)) if n > 1 else range(0)
-        return np.array([[1 - 2 * (b >> i & 1) for b in bits] for i in range(n)], np.float64).reshape(n, -1)
+        return np.array([[1 - 2 * (b >> i & 1) for b in bits] for i in range(n)], np.float64).reshape(n, len(bits))
     rng, best, width = np.random.default_rng(seed), None, int(np.ceil(8 * np.log2(n)))
     for _ in range(50):
         code = rng.choice([-1.0, 1.0], (n, width))

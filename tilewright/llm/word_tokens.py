@@ -17,12 +17,18 @@ import numpy as np
 MARKS = b".,;:!?"
 
 
+def _all_letters(word: bytes) -> bool:
+    """Whether the word is letters and stays so in lower case."""
+    text = word.decode("utf-8", "replace")
+    return text.isalpha() and text.lower().isalpha()
+
+
 class WordTokenizer:
-    def __init__(self, vocabulary: str, most_words: int = 600_000):
+    def __init__(self, vocabulary: str, most_words: int = 1_200_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         if "/" not in vocabulary:
             import public_tokenizers
@@ -31,6 +37,10 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("ids beyond 65,535 do not fit in 16 bits")
+        # Runs of letters between spaces are words as they are; only their characters have to be normalised.
+        self.letters = Tokenizer.from_file(vocabulary)
+        self.letters.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.most_words = most_words
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
         self.known: dict[bytes, bytes] = {}
@@ -43,29 +53,36 @@ class WordTokenizer:
         if len(self.known) + len(new) > self.most_words:
             self.known = {}
             new = set(words)
-        split: dict[bytes, tuple[bytes, bytes]] = {}
+        known, alone, other = self.known, [], []
+        letters: set[bytes] = set()
         for w in new:
-            letters = w.rstrip(MARKS)
-            if letters.decode("utf-8", "replace").isalpha():
-                split[w] = (letters, w[len(letters) :])
-        letters = [x for x in {x for x, _ in split.values()} if x not in self.known]
-        for i in range(0, len(letters), 4096):
-            self._learn_letters(letters[i : i + 4096])
-        self._learn_each(x for x in {x for _, x in split.values() if x} | (new - split.keys()) if x not in self.known)
-        for w, (x, mark) in split.items():
-            if mark:
-                self.known[w] = self.known[x] + self.known[mark]
+            x = w.rstrip(MARKS).lower()
+            if x.isalpha() or _all_letters(x):
+                letters.add(x)
+                if x != w:
+                    other.append(w)
+            else:
+                alone.append(w)
+        self._learn_letters([x for x in letters if x not in known])
+        self._learn_each(alone)
+        self._learn_each({w[len(w.rstrip(MARKS)) :] for w in other} - {b""})
+        for w in other:
+            x = w.rstrip(MARKS)
+            known[w] = known[x.lower()] + known[w[len(x) :]] if len(x) < len(w) else known[x.lower()]
 
     def _learn_letters(self, words: list[bytes]) -> None:
-        """Encode runs of letters in one go; each ends where a piece ends a word, unless lower-casing one gave other characters."""
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u2")
-        stops = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(stops) != len(words):
-            return self._learn_each(words)
-        data, start = ids.tobytes(), 0
-        for w, stop in zip(words, (2 * stops).tolist()):
-            self.known[w] = data[start:stop]
-            start = stop
+        """Encode runs of letters many at once; each ends where a piece ends a word, unless lower-casing one gave other characters."""
+        for i in range(0, len(words), 4096):
+            part = words[i : i + 4096]
+            ids = np.array(self.letters.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u2")
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(stops) != len(part):
+                self._learn_each(part)
+                continue
+            data, start = ids.tobytes(), 0
+            for w, stop in zip(part, (2 * stops).tolist()):
+                self.known[w] = data[start:stop]
+                start = stop
 
     def _learn_each(self, words: Iterable[bytes]) -> None:
         words = list(words)
