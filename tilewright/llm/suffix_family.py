@@ -38,12 +38,24 @@ from tilewright.llm.slots import (
 
 _hashes = RollingHash()
 _BYTE_VALUES = np.random.default_rng(9).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD1, _ODD2, _SEGMENT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), 1 << 15
 _COARSE = 24  # low bits of the anchor's 16 bytes' hash that are not sent
-_PLACE = np.uint64((1 << 24) - 1)
+_PLACE = np.uint64((1 << 16) - 1)
 #: Anchors with more different surroundings than this in one slot go to the second scan at once; two of them are sent, which tells the rest.
 MOST_SURROUNDINGS = 8
 
 
+def grams(data: bytes, start: int, stop: int, size: int) -> np.ndarray:
+    """Mixed 64-bit hashes of the ``size`` bytes from each place on, for choosing anchors."""
+    h = np.zeros(stop - start, np.uint64)
+    for k in range(0, size, 8):
+        width = min(8, size - k)
+        words = np.ndarray((stop - start,), "<u8", data + bytes(8) if stop + k + 8 > len(data) else data, start + k, (1,))
+        h = (h ^ (words << np.uint64(64 - 8 * width) if width < 8 else words)) * _ODD1
+        h ^= h >> np.uint64(29)
+    return h * _ODD2
+
+
 class SlotBytes:
     """A slot's bytes, anchors and, for every string that fits in a document, the anchor it has."""
 
@@ -51,31 +63,31 @@ class SlotBytes:
         self.texts, self.ids, self.length = texts_of(table), ids_of(table), length
         counts = np.array([len(t) for t in self.texts], np.int64)
         self.firsts = np.concatenate(([0], np.cumsum(counts)))
-        data = np.frombuffer(b"".join(self.texts), np.uint8)
-        self.sums = _hashes.sums(_BYTE_VALUES[data])
-        grams = _hashes.windows(self.sums, gram)
-        starts, anchors, run = [], [], length - gram + 1
-        for at in range(0, max(0, len(data) - length + 1), 1 << 20):
-            stop = min(len(data) - length + 1, at + (1 << 20))
-            least = (grams[at : stop + run - 1] & ~_PLACE) | np.arange(stop - at + run - 1, dtype=np.uint64)
+        joined = b"".join(self.texts)
+        n, run = len(joined) - length + 1, length - gram + 1
+        fits = np.ones(max(0, n), bool)
+        for end in self.firsts[1:].tolist():
+            fits[max(0, end - length + 1) : end] = False
+        anchor_of = np.zeros(max(0, n), np.int32)
+        for at in range(0, n, _SEGMENT):  # small enough to stay in the processor's cache
+            stop = min(n, at + _SEGMENT)
+            least = (grams(joined, at, stop + run - 1, gram) & ~_PLACE) | np.arange(stop - at + run - 1, dtype=np.uint64)
             width = 1
             while 2 * width <= run:
                 least = np.minimum(least[:-width], least[width:])
                 width *= 2
             if width < run:
-                least = np.minimum(least[: width - run or None], least[run - width :])
-            place = np.arange(at, stop)
-            doc_end = self.firsts[np.searchsorted(self.firsts, place, side="right")]
-            fits = place + length <= doc_end
-            starts.append(place[fits])
-            anchors.append((least[fits] & _PLACE).astype(np.int64) + at)
-        self.starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-        anchors = np.concatenate(anchors) if anchors else np.zeros(0, np.int64)
+                least = np.minimum(least[: width - run], least[run - width :])
+            anchor_of[at:stop] = (least & _PLACE).astype(np.int32) + np.int32(at)
+        self.starts = np.flatnonzero(fits).astype(np.int32)
+        anchors = anchor_of[self.starts]
         new = np.concatenate(([True], anchors[1:] != anchors[:-1])) if len(anchors) else np.zeros(0, bool)
-        self.anchors, self.of_start = anchors[new], np.cumsum(new) - 1
+        self.anchors, self.of_start = anchors[new].astype(np.int64), np.cumsum(new, dtype=np.int32) - 1
+        self.sums = _hashes.sums(_BYTE_VALUES[np.frombuffer(joined, np.uint8)])
         doc = np.searchsorted(self.firsts, self.anchors, side="right") - 1
         self.owner = self.ids[doc]
-        self.keys = grams[self.anchors] >> np.uint64(_COARSE) << np.uint64(_COARSE)
+        keys = mix(_hashes.runs(self.sums, self.anchors, self.anchors + gram))
+        self.keys = keys >> np.uint64(_COARSE) << np.uint64(_COARSE)
         left = np.maximum(self.anchors - run + 1, self.firsts[doc])
         right = np.minimum(self.anchors + length, self.firsts[doc + 1])
         self.around = mix(_hashes.runs(self.sums, left, right) ^ (self.anchors - left).astype(np.uint64))
@@ -105,7 +117,7 @@ class SlotBytes:
     def strings(self, single: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The strings of the anchors marked: places in ``starts``, distinct hashes, each string's among them, the least id of each."""
         at = np.flatnonzero(single[self.of_start])
-        start = self.starts[at]
+        start = self.starts[at].astype(np.int64)
         keys, which = np.unique(_hashes.runs(self.sums, start, start + self.length), return_inverse=True)
         least = np.full(len(keys), np.iinfo(np.int64).max)
         np.minimum.at(least, which, self.owner[self.of_start[at]])
@@ -124,7 +136,7 @@ def _anchor_answers(sent: list[tuple[np.ndarray, ...]]) -> list[list[np.ndarray]
 
 
 def remove_repeated_bytes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, gram: int = 16, slot_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, gram: int = 16, slot_bytes: int = 2 << 20, bucket_bytes: int = 8 << 20
 ) -> DataFrame:
     """Remove the bytes of each document that a string held by a smaller id covers.
 
@@ -138,8 +150,8 @@ def remove_repeated_bytes(
     one document. Other columns are not read. An empty table gives no rows. A
     task needs about 60 bytes of memory for each byte of a slot, or of a longer document.
     """
-    if not 1 <= gram < length < 1 << 16:
-        raise ValueError("1 <= gram < length is needed")
+    if not 1 <= gram < length < 1 << 15:
+        raise ValueError("1 <= gram < length < 32,768 is needed")
     slots = write_slots(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), slot_bytes)
     n_bytes = slots.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     n_buckets = 1 + n_bytes // bucket_bytes
@@ -165,7 +177,7 @@ def remove_repeated_bytes(
                 at, keys, which, least = data.strings(single)
                 gone = repeat[data.of_start]
                 gone[at] = answer_bits(told[1], len(keys), 1)[0][which] | (data.owner[data.of_start[at]] > least[which])
-                starts = data.starts[gone]
+                starts = data.starts[gone].astype(np.int64)
                 edge = np.zeros(data.firsts[-1] + 1, np.int32)
                 edge[starts] += 1
                 edge[starts + length] -= 1
