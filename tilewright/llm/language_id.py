@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilewright.llm.workers import releasing
+
 DIMS = 8192
 UNDETERMINED = "und"
 #: Lower-cases A-Z and turns the other ASCII bytes that are no letters into spaces.
@@ -100,7 +102,7 @@ def fit_language_model(
                 found = [features(t.as_py()).astype(np.float32).tobytes() for t in part.column(0)]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.binary())], ["lang", "x"])
 
-    sample = drawn.limit(2 * most_per_language * len(languages)).select("text", "lang").mapInArrow(count, "lang string, x binary").collect()
+    sample = drawn.limit(2 * most_per_language * len(languages)).select("text", "lang").mapInArrow(releasing(count), "lang string, x binary").collect()
     sample.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     x = np.array([np.frombuffer(r["x"], np.float32) for r in sample])
     y = code[[languages.index(r["lang"]) for r in sample]]
@@ -168,4 +170,4 @@ def identify_language(
                 columns = [*part.columns[1:], pa.array(lang), pa.array(score), pa.array(unsure)]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return rows.mapInArrow(predict, schema).toDF(*[n for n, _ in own], "lang_pred", "score", "ambiguous")
+    return rows.mapInArrow(releasing(predict), schema).toDF(*[n for n, _ in own], "lang_pred", "score", "ambiguous")

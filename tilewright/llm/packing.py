@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tilewright.llm.prefix_sum import running_totals
 from tilewright.llm.scratch import stage
 from tilewright.llm.word_tokens import word_tokenizer
+from tilewright.llm.workers import releasing
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -87,8 +88,7 @@ def encode_documents(
                 row_no += n
                 yield pa.RecordBatch.from_arrays(columns, ["row_no", "doc_id", "n_tokens", "curve_key", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        encode, "row_no long, doc_id long, n_tokens long, curve_key long, ids binary"
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(releasing(encode), "row_no long, doc_id long, n_tokens long, curve_key long, ids binary"
     )
 
 
@@ -126,4 +126,4 @@ def pack_documents(
                 columns.append(pa.array([r[7] for r in rows], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return both.mapInArrow(cut, ", ".join(f"{n} long" for n in names[:7]) + ", ids array<int>" * with_ids)
+    return both.mapInArrow(releasing(cut), ", ".join(f"{n} long" for n in names[:7]) + ", ids array<int>" * with_ids)

@@ -72,7 +72,7 @@ def permutation_search(
     gives no rows.
     """
     spark = vectors.sparkSession
-    good = usable_vectors(vectors.withColumn("__query", F.coalesce(is_query, F.lit(False))), id_col, vector_col)
+    good = usable_vectors(vectors, id_col, vector_col)
     asked = vectors.where(F.coalesce(is_query, F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id")).distinct()
     sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()
     if not sample:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.components import components
 from tilewright.llm.scratch import stage
+from tilewright.llm.workers import releasing
 
 BITS = 64
 SEED = 42
@@ -109,7 +110,7 @@ def simhash_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints)], ["doc_id", "print"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(work, "doc_id long, print long")
+    return rows.mapInArrow(releasing(work), "doc_id long, print long")
 
 
 def print_links(prints: DataFrame, radius: int) -> DataFrame:
@@ -146,7 +147,7 @@ def print_links(prints: DataFrame, radius: int) -> DataFrame:
         if rest:
             yield link(np.concatenate(rest), np.array([], np.int64))
 
-    return keyed.mapInArrow(work, "a long, b long").distinct()
+    return keyed.mapInArrow(releasing(work), "a long, b long").distinct()
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle_words: int = 3) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.scratch import new_path
+from tilewright.llm.workers import releasing
 
 NO_ID = np.iinfo(np.int64).max  # stands for a null id: larger than any other
 _MIX1, _MIX2, _RADIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
@@ -107,7 +108,7 @@ def write_slots(docs: DataFrame, text_bytes: int) -> DataFrame:
         if parts:
             yield row(parts, held)
 
-    slots = docs.mapInArrow(work, "slot long, n_bytes long, docs binary")
+    slots = docs.mapInArrow(releasing(work), "slot long, n_bytes long, docs binary")
     n_buckets = min(4096, max(8, 4 * docs.rdd.getNumPartitions()))
     name = f"slots_{uuid.uuid4().hex}"
     slots.write.bucketBy(n_buckets, "slot").option("path", new_path(spark, "slots")).option("compression", "none").format("parquet").saveAsTable(name)
@@ -180,7 +181,7 @@ def exchange(slots: DataFrame, emit: Callable[[int, pa.Table, list], Iterator[tu
         bits = [np.array([len(a[0])], "<u4").tobytes() + np.packbits(np.concatenate(a)).tobytes() for a in answer(sent)]
         return pa.table([table["slot"], table["bucket"], pa.array(bits, pa.binary())], ["slot", "bucket", "bits"])
 
-    return slots.mapInArrow(give, "bucket int, slot long, data array<binary>").groupBy("bucket").applyInArrow(take, "slot long, bucket int, bits binary")
+    return slots.mapInArrow(releasing(give), "bucket int, slot long, data array<binary>").groupBy("bucket").applyInArrow(take, "slot long, bucket int, bits binary")
 
 
 class IndexFamily:

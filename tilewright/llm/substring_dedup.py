@@ -27,6 +27,7 @@ from tilewright.llm.scratch import stage
 from tilewright.llm.slots import (
     IndexFamily, RollingHash, answer_bits, exchange, ids_of, read_slot, send, smaller_owner_elsewhere, texts_of, with_answers, write_slots
 )
+from tilewright.llm.workers import releasing
 
 _COARSE = 24  # low bits that the coarse levels do without
 _hashes, _word_hashes = RollingHash(), RollingHash()
@@ -107,7 +108,7 @@ def remove_repeats(
     text_col: str = "text",
     window: int = 13,
     start: int = 7,
-    slot_bytes: int = 8 << 20,
+    slot_bytes: int = 4 << 20,
     bucket_words: int = 1_500_000,
     keep_columns: bool = False,
 ) -> DataFrame:
@@ -172,5 +173,5 @@ def remove_repeats(
     if keep_columns:
         types = [T.LongType() if c == id_col else T.StringType() if c == text_col else docs.schema[c].dataType for c in docs.columns]
         schema = T.StructType([T.StructField(f"c{i}", t) for i, t in enumerate(types)] + [T.StructField("n_removed", T.LongType())])
-        return with_answers(slots, answers).mapInArrow(finish, schema).toDF(*docs.columns, "n_removed")
-    return with_answers(slots, answers).mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+        return with_answers(slots, answers).mapInArrow(releasing(finish), schema).toDF(*docs.columns, "n_removed")
+    return with_answers(slots, answers).mapInArrow(releasing(finish), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

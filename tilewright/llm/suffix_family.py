@@ -35,6 +35,7 @@ from tilewright.llm.scratch import stage
 from tilewright.llm.slots import (
     IndexFamily, RollingHash, answer_bits, exchange, ids_of, mix, read_slot, send, smaller_owner_elsewhere, texts_of, with_answers, write_slots
 )
+from tilewright.llm.workers import releasing
 
 _hashes = RollingHash()
 _BYTE_VALUES = np.random.default_rng(9).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -193,4 +194,4 @@ def remove_repeated_bytes(
                 columns = [table.column(0), *(pa.array(c, pa.int64()) for c in (n_all, n_removed, n_spans)), pa.array(digests), pa.array(kept, pa.binary())]
                 yield from pa.table(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]).to_batches(max_chunksize=512)
 
-    return with_answers(slots, answers).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return with_answers(slots, answers).mapInArrow(releasing(finish), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

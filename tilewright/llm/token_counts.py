@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.prefix_sum import running_totals
 from tilewright.llm.word_tokens import word_tokenizer
+from tilewright.llm.workers import releasing
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -30,7 +31,7 @@ def token_lengths(docs: DataFrame, text_col: str = "text", vocabulary: str = VOC
                 words.learn_all(texts)
                 yield pa.RecordBatch.from_arrays([pa.array([len(words.ids(t)) // 2 for t in texts], pa.int64())], ["n_tokens"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(count, "n_tokens long")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(releasing(count), "n_tokens long")
 
 
 def length_histogram(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
