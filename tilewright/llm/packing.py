@@ -70,11 +70,9 @@ def encode_documents(
         end = np.array([END_ID], "<u2").tobytes()
         row_no = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                part = batch.slice(first, 512)
-                texts = part.column(1).to_pylist()
-                words.learn_all(texts)
-                ids = [words.ids(t) + end for t in texts]
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
+                ids = [i + end for i in words.ids_of_all(part.column(1).to_pylist())]
                 centres = np.array([random[np.frombuffer(i, "<u2")].mean(axis=0) for i in ids], np.float64).reshape(-1, dims)
                 cells = np.clip((1 << bits) / (1 + np.exp(-8 * centres)), 0, (1 << bits) - 1).astype(np.int64)
                 n = len(ids)
