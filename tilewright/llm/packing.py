@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tilewright.llm.prefix_sum import running_totals
 from tilewright.llm.scratch import stage
 from tilewright.llm.word_tokens import word_tokenizer
-from tilewright.llm.workers import releasing
+from tilewright.llm.workers import release, releasing
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -108,6 +108,8 @@ def pack_documents(
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_tokenizer.cache_clear()  # what encoding needed is not needed any more
+        release()
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, ids, first in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):

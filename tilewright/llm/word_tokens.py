@@ -75,7 +75,7 @@ def letters_encoding(vocabulary: str) -> tiktoken.Encoding:
 
 
 class WordTokenizer:
-    def __init__(self, vocabulary: str, most_words: int = 800_000):
+    def __init__(self, vocabulary: str, most_words: int = 700_000):
         if "/" not in vocabulary:
             import public_tokenizers
 
