@@ -7,6 +7,7 @@ Three grids: ``web_mercator`` (spherical), ``yandex_wgs84_mercator``
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -152,33 +153,47 @@ def wrap(value: Column, least: float, most: float) -> Column:
     return F.when(value > most, value - over * span).when(value < least, value + under * span).otherwise(value)
 
 
-def project_polynomial(x: Column, y: Column, coefficients: tuple[float, ...]) -> tuple[Column, Column]:
+def project_polynomial(x: Column, y: Column, coefficients: list[Column]) -> tuple[Column, Column]:
     """Odd in x and y: linear in x, of degree 6 in y."""
-    c, t = [float(v) for v in coefficients], F.abs(y) / float(coefficients[9])
-    height = F.lit(c[8])
+    c, t = coefficients, F.abs(y) / coefficients[9]
+    height = c[8]
     for k in range(7, 1, -1):
         height = height * t + c[k]
     sign = lambda v: F.when(v < 0, -1.0).otherwise(1.0)
     return (c[0] + c[1] * F.abs(x)) * sign(x), height * sign(y)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, where repeating its expression would outgrow generated code."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _point(lonlat: tuple[Column, Column]) -> Column:
+    return F.struct(lonlat[0].alias("lon"), lonlat[1].alias("lat"))
+
+
 def bd09_to_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
-    """The band is chosen by latitude; every negative latitude takes the band at the equator."""
-    lon, lat = wrap(lon, -180.0, 180.0), clamp(lat, -74.0, 74.0)
-    options = [project_polynomial(lon, lat, c) for c in BAND_COEFFICIENTS]
-    out = []
-    for k in (0, 1):
-        chosen = options[-1][k]
-        for band, option in reversed(list(zip(BANDS, options))[:-1]):
-            chosen = F.when(lat >= band, option[k]).otherwise(chosen)
-        out.append(F.when(F.isnan(lat), F.lit(None)).otherwise(chosen))
-    return out[0], out[1]
+    """The band is chosen by latitude; every negative latitude takes the band at the equator; not-a-number has none."""
+    rows = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in BAND_COEFFICIENTS])
+
+    def project(p: Column) -> Column:
+        band = F.lit(len(BANDS) - 1)
+        for k, least in reversed(list(enumerate(BANDS[:-1]))):
+            band = F.when(p["lat"] >= least, F.lit(k)).otherwise(band)
+        x_y = lambda q: project_polynomial(q["lon"], q["lat"], [q["row"][k] for k in range(10)])
+        return _let(F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), rows[band].alias("row")), lambda q: F.when(~F.isnan(q["lat"]), _point(x_y(q))))
+
+    inside = _let(_point((lon, lat)), lambda p: _point((wrap(p["lon"], -180.0, 180.0), clamp(p["lat"], -74.0, 74.0))))
+    found = _let(inside, project)
+    return found["lon"], found["lat"]
 
 
 def baidu_lonlat_to_tile(lon: Column, lat: Column, zoom: Column) -> tuple[Column, Column]:
-    x, y = bd09_to_mercator(*gcj02_to_bd09(*wgs84_to_gcj02(lon, lat)))
+    shifted = _let(_point((lon, lat)), lambda p: _point(wgs84_to_gcj02(p["lon"], p["lat"])))
+    moved = _let(shifted, lambda p: _point(gcj02_to_bd09(p["lon"], p["lat"])))
+    flat = _let(moved, lambda p: _point(bd09_to_mercator(p["lon"], p["lat"])))
     span = F.pow(F.lit(2.0), 18 - zoom) * 256
-    return F.floor(x / span), F.floor(y / span)
+    return F.floor(flat["lon"] / span), F.floor(flat["lat"] / span)
 
 
 # By scheme

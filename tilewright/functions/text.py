@@ -204,7 +204,7 @@ def uri_templates(script: Column) -> Column:
 
 def resource_paths(script: Column) -> Column:
     """Resource paths by key of a loader script; empty where it has no such block."""
-    return _pairs(F.regexp_extract(script, RESOURCE_BLOCK, 1), RESOURCE_PAIR, with_scheme)
+    return _pairs(F.regexp_extract(script, RESOURCE_BLOCK, 1), RESOURCE_PAIR, lambda v: with_scheme(v))
 
 
 def bundle_versions(script: Column) -> Column:

@@ -61,7 +61,7 @@ BBOX = "struct<min_lon: double, min_lat: double, max_lon: double, max_lat: doubl
 
 def providers(spark: SparkSession) -> DataFrame:
     rows = [(*p, i) for i, p in enumerate(PROVIDERS)]
-    return spark.createDataFrame(rows, "provider string, namespace string, label_prefix string, default_zoom int, scheme string, auto_zoom boolean, provider_ordinal int")
+    return spark.createDataFrame(rows, "provider string, namespace string, label_prefix string, default_zoom int, scheme string, supports_auto_zoom boolean, provider_ordinal int")
 
 
 def sources(spark: SparkSession) -> DataFrame:
