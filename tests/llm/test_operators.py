@@ -171,15 +171,16 @@ def all_segmentations(table, text):
     return out
 
 
+@pytest.mark.parametrize("together_below", [-40.0, -0.5, 0.0])
 @pytest.mark.parametrize("text", ["the an", "a  b", "a\n𝄞b"])
-def test_samples_without_replacement_have_the_right_distribution(text):
+def test_samples_without_replacement_have_the_right_distribution(text, together_below):
     table = lattice_sampling.CompiledChunks(lattice_sampling.MODEL)
     options = all_segmentations(table, text)
     p = np.exp([w for _, w in options])
     p = dict(zip([s for s, _ in options], p / p.sum()))
     n = 20_000
     keys = np.random.default_rng(5).integers(0, 1 << 63, n, dtype=np.uint64)
-    samples = lattice_sampling.sample_segmentations(table, [text] * n, keys, 3)
+    samples = lattice_sampling.sample_segmentations(table, [text] * n, keys, 3, together_below)
     pairs = Counter((tuple(s[0][3].tolist()), tuple(s[1][3].tolist())) for s in samples)
     for a in p:
         for b in p:

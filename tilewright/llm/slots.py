@@ -1,8 +1,8 @@
 """What the two repeated-passage operators share: slots of documents, and exchanges of fingerprints by bucket.
 
 Documents are first written as *slots* of a few MB of text each, in a table that is
-bucketed by slot number, so that joining what later steps find to the texts
-moves only the findings. Each slot sends its distinct fingerprints, sorted and
+bucketed by the task that wrote them (a file each), so that joining what later
+steps find to the texts moves only the findings. Each slot sends its distinct fingerprints, sorted and
 packed, to *buckets* (ranges of fingerprints, as many as the corpus needs); a
 bucket answers every slot with a bit or two per fingerprint, in the order sent. A
 passage that very many documents share is one fingerprint per slot.
@@ -77,9 +77,9 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def write_slots(docs: DataFrame, text_bytes: int) -> DataFrame:
-    """``slot, n_bytes, docs``: rows of ``docs`` (whose first columns are the id and the text) in packs of about ``text_bytes``.
+    """``part, slot, n_bytes, docs``: rows of ``docs`` (whose first columns are the id and the text) in packs of about ``text_bytes``.
 
-    The table is bucketed by slot. Its files are in the shared folder; its name is
+    A part is what one task wrote; the slot's number starts with it. The table is bucketed by part. Its files are in the shared folder; its name is
     dropped at once, as only the returned DataFrame needs it.
     """
     spark = docs.sparkSession
@@ -93,7 +93,7 @@ def write_slots(docs: DataFrame, text_bytes: int) -> DataFrame:
                 for p in parts:
                     writer.write_batch(p)
             data = compressor.compress(sink.getvalue().to_pybytes())
-            return pa.RecordBatch.from_arrays([pa.array([slot], pa.int64()), pa.array([n], pa.int64()), pa.array([data], pa.binary())], ["slot", "n_bytes", "docs"])
+            return pa.RecordBatch.from_arrays([pa.array([slot >> 24], pa.int64()), pa.array([slot], pa.int64()), pa.array([n], pa.int64()), pa.array([data], pa.binary())], ["part", "slot", "n_bytes", "docs"])
 
         parts: list[pa.RecordBatch] = []
         held = 0
@@ -108,10 +108,10 @@ def write_slots(docs: DataFrame, text_bytes: int) -> DataFrame:
         if parts:
             yield row(parts, held)
 
-    slots = docs.mapInArrow(releasing(work), "slot long, n_bytes long, docs binary")
-    n_buckets = min(4096, max(8, 4 * docs.rdd.getNumPartitions()))
+    slots = docs.mapInArrow(releasing(work), "part long, slot long, n_bytes long, docs binary")
+    n_buckets = min(100_000, max(8, 2 * docs.rdd.getNumPartitions()))
     name = f"slots_{uuid.uuid4().hex}"
-    slots.write.bucketBy(n_buckets, "slot").option("path", new_path(spark, "slots")).option("compression", "none").format("parquet").saveAsTable(name)
+    slots.write.bucketBy(n_buckets, "part").option("path", new_path(spark, "slots")).option("compression", "none").format("parquet").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return table
@@ -133,8 +133,9 @@ def ids_of(table: pa.Table) -> np.ndarray:
 def with_answers(slots: DataFrame, answers: list[DataFrame]) -> DataFrame:
     """Slots with a column ``a0, a1, ...`` of each exchange's answers (null: none). The table of slots is not shuffled."""
     for i, answer in enumerate(answers):
-        own = answer.groupBy("slot").agg(F.collect_list(F.struct("bucket", "bits")).alias(f"a{i}"))
-        slots = slots.join(own.hint("shuffle_hash"), "slot", "left")
+        own = answer.groupBy(F.shiftright("slot", 24).alias("part")).agg(F.collect_list(F.struct("slot", "bucket", "bits")).alias(f"a{i}"))
+        slots = slots.join(own.hint("shuffle_hash"), "part", "left")
+        slots = slots.withColumn(f"a{i}", F.filter(f"a{i}", lambda a: a["slot"] == F.col("slot")))
     return slots
 
 
