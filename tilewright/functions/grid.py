@@ -181,9 +181,9 @@ def bd09_to_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
         for k, least in reversed(list(enumerate(BANDS[:-1]))):
             band = F.when(p["lat"] >= least, F.lit(k)).otherwise(band)
         x_y = lambda q: project_polynomial(q["lon"], q["lat"], [q["row"][k] for k in range(10)])
-        return _let(F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), rows[band].alias("row")), lambda q: F.when(~F.isnan(q["lat"]), _point(x_y(q))))
+        return _let(F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), rows[band].alias("row")), lambda q: _point(x_y(q)))
 
-    inside = _let(_point((lon, lat)), lambda p: _point((wrap(p["lon"], -180.0, 180.0), clamp(p["lat"], -74.0, 74.0))))
+    inside = _let(_point((lon, lat)), lambda p: F.when(~F.isnan(p["lat"]), _point((wrap(p["lon"], -180.0, 180.0), clamp(p["lat"], -74.0, 74.0)))))
     found = _let(inside, project)
     return found["lon"], found["lat"]
 

@@ -35,10 +35,10 @@ def run_counts() -> list[Column]:
 
 
 def manifests(jobs: DataFrame, tiles: DataFrame) -> DataFrame:
-    """A row per job, jobs without tiles included. One shuffle of partial sums; the tiles' bytes are not read."""
+    """A row per job, jobs without tiles included; the jobs' own tile counts become ``planned_tile_count``. One shuffle of partial sums; the tiles' bytes are not read."""
     keys = ["request_id", "job_index"]
     sums = tiles.groupBy(*keys).agg(*run_counts())
-    joined = jobs.join(sums, keys, "left")
+    joined = jobs.withColumnRenamed("tile_count", "planned_tile_count").join(sums, keys, "left")
     counts = [c for c in sums.columns if c not in keys and c != "aggregate_coverage_ratio"]
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
 

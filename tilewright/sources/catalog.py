@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_AGENT = ("User-Agent", "global-svi-coverage-observatory/0.2")
+_AGENT = ("User-Agent", "tilewright/0.1")
 _VECTOR = ("Accept", "application/vnd.mapbox-vector-tile, application/octet-stream;q=0.9, */*;q=0.1")
 _LOOKMAP = {"Referer": "https://lookmap.eu.pythonanywhere.com/", _AGENT[0]: _AGENT[1]}
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.functions import text
+from tilewright.functions import grid, text
 from tilewright.sources import catalog
 
 #: (url, headers, timeout in seconds) to (body, content type, status).
@@ -70,8 +70,9 @@ def http_fetch(url: str, headers: dict[str, str], timeout: int) -> tuple[bytes,
 
 def raw_range(spark, source_id: str, template: str, zoom: int, x: tuple[int, int], y: tuple[int, int], headers: dict[str, str] | None = None) -> DataFrame:
     """Requests for an explicit range of tiles of one template, without planning."""
-    df = spark.range(1).select(F.explode(F.sequence(F.lit(x[0]), F.lit(x[1]))).cast("long").alias("x")).where(F.lit(x[0] <= x[1] and y[0] <= y[1]))
-    df = df.withColumn("y", F.explode(F.sequence(F.lit(y[0]), F.lit(y[1]))).cast("long"))
+    whole = spark.range(1).where(F.lit(x[0] <= x[1] and y[0] <= y[1]))
+    whole = whole.select(F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip(("x_min", "x_max", "y_min", "y_max"), (*x, *y))]).alias("tile_range"))
+    df = grid.explode_tiles(whole)
     headers = {"User-Agent": catalog._AGENT[1]} | (headers or {})
     pairs = F.create_map(*[F.lit(v) for kv in headers.items() for v in kv])
     url = text.fill_template(template, z=F.lit(zoom), x=F.col("x"), y=F.col("y"))
