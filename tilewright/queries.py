@@ -521,11 +521,11 @@ def coverage_gaps(spark, sf_dir):
     return compare.missing_tiles(side("customer", "c_custkey", "c_nationkey"), side("supplier", "s_suppkey", "s_nationkey")).select("x", "y").distinct()
 
 
-@query("SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY ALL")
+@query("SELECT event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS n FROM events GROUP BY ALL")
 def window_counts(spark, sf_dir):
     from tilewright.streaming.tiles import window_counts as counts
 
-    return counts(_read(spark, sf_dir, "events"), "ts", ["event_type"]).select("event_type", F.col("window.start").alias("hour"), F.col("count").alias("n"))
+    return counts(_read(spark, sf_dir, "events"), "ts", ["event_type"]).select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), F.col("count").alias("n"))
 
 
 @query("SELECT provider, printf('%s', colour) AS colour FROM (VALUES ('apple_lookaround', '#1f78b4'), ('baidu', '#b15928'), ('kartaview', '#5e3c99'), ('mapillary', '#d01c8b'), ('panoramax', '#4daf4a'), ('svmap_google', '#e66101'), ('yandex', '#1f9d8a')) AS t(provider, colour)")
