@@ -40,6 +40,14 @@ def test_png(spark):
     assert rows[99]["error"] and rows[100]["error"] and rows[99]["width"] is None
 
 
+def test_mask(spark):
+    colour = F.struct(*[F.lit(v).alias(c) for c, v in zip("rgba", (31, 120, 180, 190))])
+    df = spark.createDataFrame([(0, RGBA), (1, b"x")], "i int, content binary").select("i", decode.recolour_mask(F.col("content"), colour).alias("m")).orderBy("i")
+    good, bad = [r["m"] for r in df.collect()]
+    on, off = bytes([31, 120, 180, 190]), bytes(4)
+    assert (good["width"], good["height"], bytes(good["rgba"])) == (2, 2, off + on + on + off) and bad["error"]
+
+
 def test_png_interlaced():
     plain = [[(x + y) % 3 == 0 for x in range(9)] for y in range(7)]
     rows = []
@@ -119,6 +127,7 @@ def test_mvt(spark):
     assert rows[0]["properties_json"] == json.dumps(json.loads(rows[0]["properties_json"]), sort_keys=True)
     counts = df.where("source_zoom = 0").select(decode.layer_counts(F.col("layers")).alias("c")).first()["c"]
     assert counts == {"a": 1, "b": 2}
+    assert {tuple(r) for r in decode.layer_listing(df.where("source_zoom = 0")).collect()} == {("a", "Point"), ("b", "LineString")}
 
 
 def test_wkt(spark):

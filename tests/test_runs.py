@@ -80,6 +80,9 @@ def test_manifests_and_summaries(spark, run):
     assert (k["tile_count"], k["error_count"], k["total_coverage_pixels"], k["total_pixels"], k["aggregate_coverage_ratio"], k["nonempty_tile_count"]) == (1, 1, 2, 4, 0.5, 1)
     assert rows[1]["vector_feature_record_count"] == 18 and rows[1]["aggregate_coverage_ratio"] is None
     assert rows[3]["tile_count"] == 0 and rows[3]["skipped_404_count"] == 2 and rows[4]["skipped_404_count"] == 0
+    files = tables.manifest_json(metrics.manifests(jobs, done)).collect()
+    document = json.loads(files[0]["document"])
+    assert files[0]["document"].startswith('{\n  "') and list(document) == sorted(document) and "aggregate_coverage_ratio" in document
     summary = compare.summarize(metrics.manifests(jobs, done))
     assert summary.columns == compare.SUMMARY and summary.count() == 5
     panels = {r["source_id"]: (r["panel_row"], r["panel_column"]) for r in compare.panels(summary.where("run_label NOT LIKE 'none'"), 2).dropDuplicates(["source_id"]).collect()}

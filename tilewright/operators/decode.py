@@ -110,6 +110,25 @@ def _summarize_png(content: pd.Series) -> pd.DataFrame:
     return out.astype({c: "Int64" for c in out.columns[:4]} | {"coverage_ratio": "float64"})
 
 
+MASK = "width int, height int, rgba binary, error string"
+
+
+def recolour_mask(content: Column, colour: Column) -> Column:
+    """The raster as an overlay: pixels that are not fully transparent in the colour (a struct of r, g, b, a), the rest clear."""
+    return F.pandas_udf(_recolour_mask, MASK)(content, colour)
+
+
+def _recolour_mask(content: pd.Series, colour: pd.DataFrame) -> pd.DataFrame:
+    rows = []
+    for data, own in zip(content, colour[["r", "g", "b", "a"]].to_numpy()):
+        try:
+            on = png_alpha(bytes(data))
+            rows.append((on.shape[1], on.shape[0], (on[..., None] * own.astype(np.uint8)).astype(np.uint8).tobytes(), None))
+        except Exception as e:
+            rows.append((None, None, None, f"{type(e).__name__}: {e}"))
+    return pd.DataFrame(rows, columns=["width", "height", "rgba", "error"]).astype({"width": "Int64", "height": "Int64"})
+
+
 # gzip
 
 
@@ -326,6 +345,12 @@ def feature_rows(tiles: DataFrame, keep: list[str], layer_names: str | None = No
     return flat.select(*keep, "layer_name", "feature_index", "feature.mvt_id", "feature.geometry_type", "feature.properties_json", write_wkt(F.col("feature.geometry_type"), parts).alias("geometry_wkt"))
 
 
+def layer_listing(tiles: DataFrame) -> DataFrame:
+    """Names and geometry types of the layers that occur."""
+    flat = tiles.select(F.explode("layers").alias("layer")).select(F.col("layer.name").alias("layer_name"), F.explode_outer("layer.features.geometry_type").alias("geometry_type"))
+    return flat.distinct()
+
+
 def layer_counts(layers: Column) -> Column:
     """Features by layer, layers without any included."""
     return F.map_from_entries(F.transform(layers, lambda x: F.struct(x["name"], F.size(x["features"]).cast("long"))))

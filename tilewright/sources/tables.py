@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,5 +72,17 @@ def write_run(jobs: DataFrame, processed: DataFrame, path: str, with_tiles: bool
     metrics.manifests(jobs, processed).write.mode("overwrite").parquet(f"{path}/manifests")
 
 
+def manifest_json(manifests: DataFrame) -> DataFrame:
+    """``manifest_path, document``: each manifest row as JSON with sorted keys and an indent of two."""
+    path = F.concat_ws("/", "namespace", "run_label", F.lit("manifest.json"))
+
+    def pretty(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda r: json.dumps(json.loads(r), indent=2, sort_keys=True))
+
+    pretty.__annotations__ = {"rows": pd.Series, "return": pd.Series}
+    whole = F.to_json(F.struct(*[c for c in manifests.columns if c != "access_token"]), {"ignoreNullFields": "false"})
+    return manifests.select(path.alias("manifest_path"), F.pandas_udf(pretty, "string")(whole).alias("document"))
+
+
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
