@@ -93,7 +93,7 @@ def encode_documents(
 def pack_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 4096, vocabulary: str = VOCABULARY, with_ids: bool = False
 ) -> DataFrame:
-    """One row per piece: ``doc_id, start, piece_length AS length, ids_crc32, doc_tokens, sequence_id, offset``.
+    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``with_ids`` adds the piece's ids themselves (``ids array<int>``). Every row
     of the input gives at least one piece, because the end id follows even an

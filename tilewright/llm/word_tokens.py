@@ -20,7 +20,6 @@ from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-
 #: Marks that the tokenizer never joins with letters before them.
 _TRAILING = re.compile(rb"[.,;:!?]+(?= |$)")
 
