@@ -89,12 +89,13 @@ class WordTokenizer:
 
     def learn(self, words: Iterable[bytes]) -> None:
         """Encode the words that are not known yet; letters with a mark behind them, as the letters and then the mark."""
-        new = {w for w in set(words) if w not in self.known}
+        words = words if isinstance(words, set) else set(words)
+        new = words.difference(self.known)
         if not new:
             return
         if len(self.known) + len(new) > self.most_words:
             self.known = {}
-            new = set(words)
+            new = words
         known, words = self.known, list(new)
         bare = _TRAILING.sub(b"", b" ".join(words).lower()).split(b" ")
         letters = [x.isalpha() or _all_letters(x) for x in bare]
