@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tilewright.llm import exact_dedup, language_id, lattice_sampling, packing, permutation_index, simhash, subword_lm, substring_dedup, suffix_family, token_counts
+from tilewright.llm import exact_dedup, language_id, lattice_sampling, near_copies, packing, permutation_index, simhash, subword_lm, substring_dedup, suffix_family, token_counts
 from tilewright.llm.components import components
 from tilewright.llm.slots import IndexFamily
 from tilewright.llm.word_tokens import WordTokenizer
@@ -387,6 +387,26 @@ def test_covering_tables_miss_no_pair(spark):
         assert any(not m & differing for m in masks)
 
 
+@pytest.mark.parametrize("all_pairs", [32, 3])
+def test_near_copies_are_those_of_brute_force(spark, empty, all_pairs, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefghijklmnopqrst", k=100)) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, "") for i in range(2)] + [(None, None), (None, texts[0])]
+    for i in range(60):
+        words = texts[i % 6 if i < 20 else 0].split()
+        words[rng.randrange(100)] = words[rng.randrange(100)] = "new"
+        rows.append((200 + i, " ".join(words)))
+    links = near_copies.similar_links
+    monkeypatch.setattr(near_copies, "similar_links", lambda *a: links(*a, all_pairs=all_pairs))
+    found = {(r["doc_id"], r["text_hash"]): r["component_id"] for r in near_copies.near_copies(frame(spark, rows)).collect()}
+    sets = [set(near_copies.shingle_set(t).tolist()) for _, t in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    ids = [i for i, _ in rows]
+    want = {i: min((ids[j] for j in g if ids[j] is not None), default=None) for g in slow_groups(range(len(rows)), pairs) for i in g}
+    assert Counter(found.values()) == Counter(want.values()) and all(found[k] == want[ids.index(k[0])] for k in found if k[0] is not None)
+    assert near_copies.near_copies(empty).count() == 0
+
+
 def test_large_buckets_link_the_same():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 30, dtype=np.uint64)

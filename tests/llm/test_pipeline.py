@@ -40,6 +40,24 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in docs.collect()}
 
 
+def words_changed(rng, text, n):
+    words = text.split()
+    for i in range(n):
+        words[(2 * i + 1) * len(words) // (2 * n)] = f"new{rng.random()}"
+    return " ".join(words)
+
+
+def test_near_copies_barely_over_the_threshold_go(spark):
+    rng = random.Random(2)
+    base = [sentence(rng, 500) for _ in range(12)]
+    # 10 of 500 words changed: 446 of 546 shingles in common (0.82); 16: 416 of 576 (0.72).
+    rows = [(i, t) for i, t in enumerate(base)] + [(100 + i, words_changed(rng, t, 10)) for i, t in enumerate(base)]
+    rows += [(200, words_changed(rng, base[0], 16)), (None, "all alone here now then"), (7, "another text of the id seven")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(3)
+    near = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, "").collect()
+    assert {(r["doc_id"], r["text"]) for r in near} == {r for r in rows if r[0] is None or r[0] < 100 or r[0] == 200}
+
+
 def test_run(spark, tmp_path):
     docs, texts, _ = planted(spark)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
