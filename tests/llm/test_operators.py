@@ -118,6 +118,29 @@ def test_lattice_probability_is_the_sum_over_segmentations():
     assert counts == pytest.approx([2 * one / (one + two), 0, 0, 0, 2 * one / (one + two), 2 * two / (one + two), 0])
 
 
+@pytest.mark.parametrize("word", [b"ab" * 30, b"a" * 49, b"abba" * 13 + b"b", b"c" * 50, b"ab" * 5])
+def test_expected_counts_of_long_words(word):
+    pieces = ((b"a", False), (b"b", False), (b"ab", False), (b"a", True), (b"b", True), (b"ab", True), (b"ba", True))
+    p = np.array([0.2, 0.1, 0.15, 0.15, 0.1, 0.2, 0.1])
+
+    def total(at, step):
+        """(sum of products, its derivative by the log of each piece's weight) of the spellings from ``at``."""
+        if at not in step:
+            whole, parts = 0.0, np.zeros(len(p))
+            for k, (w, ends) in enumerate(pieces):
+                stop = at + len(w)
+                if word[at:stop] != w or ends != (stop == len(word)):
+                    continue
+                t, d = (1.0, np.zeros(len(p))) if ends else total(stop, step)
+                whole, parts = whole + p[k] * t, parts + p[k] * (d + t * np.eye(len(p))[k])
+            step[at] = whole, parts
+        return step[at]
+
+    whole, parts = total(0, {})
+    got = subword_lm.Lattice(pieces, np.log(p)).expected_counts([word], np.array([3.0])) if whole or len(word) > 48 else 0
+    assert got == pytest.approx(3 * parts / whole if whole else np.zeros(len(p)))
+
+
 def test_scores_of_documents(docs, rows, empty):
     fold = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     found = {r["doc_id"]: r for r in subword_lm.score_documents(docs, fold, rounds=1, most_frequent=50).collect()}

@@ -39,7 +39,7 @@ from tilewright.llm.workers import releasing
 VOCABULARY = "word_bpe_49k.json"
 _RADIX, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SLOTS = 1 << 18
-#: Words longer than this are scored one by one; shorter ones, all of a length at once.
+#: Words longer than this are scored and learned from one by one; shorter ones, all of a length at once.
 GROUPED_BYTES = 48
 
 
@@ -138,11 +138,32 @@ class Lattice:
             alpha.append(top + math.log(sum(math.exp(x - top) for x in into)) if top > -math.inf else top)
         return alpha[-1]
 
+    def _expect_one(self, word: bytes, times: float, out: np.ndarray) -> None:
+        """Adds one word's expected counts to ``out``."""
+        n, alpha, beta, edges = len(word), [0.0], [-math.inf] * len(word) + [0.0], []
+        for j in range(1, n + 1):
+            pieces = self.final if j == n else self.plain
+            into = [(i, j, p) for i in range(max(0, j - self.longest), j) if (p := pieces.get(word[i:j])) is not None and alpha[i] > -math.inf]
+            alpha.append(_log_sum([alpha[i] + self.values[p] for i, _, p in into]))
+            edges += into
+        if alpha[-1] == -math.inf:
+            return
+        leaving: list[list[float]] = [[] for _ in range(n)]
+        for at in range(len(edges) - 1, -1, -1):
+            i, j, p = edges[at]
+            if j < n and leaving[j]:
+                beta[j], leaving[j] = _log_sum(leaving[j]), []
+            leaving[i].append(beta[j] + self.values[p])
+        for i, j, p in edges:
+            out[p] += times * math.exp(alpha[i] + self.values[p] + beta[j] - alpha[-1])
+
     def expected_counts(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
-        """How often each piece is expected when word k occurs ``times[k]`` times; words over the grouped length are left out."""
+        """How often each piece is expected when word k occurs ``times[k]`` times; a word that cannot be spelled adds nothing."""
         out = np.zeros(len(self.scores))
         for length, at in _by_length(words).items():
             if length > GROUPED_BYTES:
+                for k in at:
+                    self._expect_one(words[k], times[k], out)
                 continue
             group = [words[k] for k in at]
             edges = self.edges(group)
@@ -157,6 +178,11 @@ class Lattice:
         return out[:-1]
 
 
+def _log_sum(logs: list[float]) -> float:
+    top = max(logs, default=-math.inf)
+    return top + math.log(sum(math.exp(x - top) for x in logs)) if top > -math.inf else top
+
+
 def _by_length(words: list[bytes]) -> dict[int, np.ndarray]:
     lengths = np.array([len(w) for w in words])
     order = np.argsort(lengths, kind="stable")
