@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tilewright.llm import exact_dedup, language_id, lattice_sampling, near_copies, packing, permutation_index, simhash, subword_lm, substring_dedup, suffix_family, token_counts
+from tilewright.llm import exact_dedup, language_id, lattice_sampling, near_copies, packing, permutation_index, queries, simhash, subword_lm, substring_dedup, suffix_family, token_counts
 from tilewright.llm.components import components
 from tilewright.llm.slots import IndexFamily
 from tilewright.llm.word_tokens import WordTokenizer
@@ -233,6 +233,15 @@ def test_sampling_round_trip(docs, rows, spark, empty):
     assert lattice_sampling.sample_encodings(empty).count() == 0
 
 
+def test_sampled_ids_decode_in_a_table(docs, rows, spark):
+    assert dict(queries.op3_lattice_sampling(spark, "/root/testdata/sf0.001").dtypes)["ids"] == "array<int>"
+    texts = dict(rows)
+    found = lattice_sampling.decode_encodings(lattice_sampling.sample_encodings(docs)).collect()
+    assert {r["doc_id"] for r in found} == texts.keys() and all(r["text"] == (texts[r["doc_id"]] or "") for r in found)
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [10**6]), (4, [-1]), (5, [None])], "n int, ids array<int>")
+    assert {r["n"]: r["text"] for r in lattice_sampling.decode_encodings(odd).collect()} == {1: None, 2: "", 3: None, 4: None, 5: None}
+
+
 # 4 and 9: repeated passages
 
 

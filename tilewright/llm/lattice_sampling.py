@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilewright.llm.workers import releasing
 
@@ -445,3 +446,31 @@ def sample_encodings(
 
     schema = "doc_id long, sample_no int, perturbed double, log_prob double, log_inclusion double, n_ids long, ids_crc32 long"
     return rows.mapInArrow(releasing(work), schema + ", ids array<int>" * with_ids)
+
+
+def decode_encodings(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> DataFrame:
+    """The rows with a column ``text`` added: what the ids of ``ids_col`` stand for, as :func:`decode` gives it.
+
+    Null ids, and ids of which one is no piece, give a null text; no ids give an
+    empty one. Other columns are kept. An empty table gives no rows.
+    """
+    if "text" in encoded.columns:
+        raise ValueError("the rows have a column text already")
+    at = encoded.columns.index(ids_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_id = _bytes_by_id(model)
+        none = max(by_id) + 1
+        pieces = pa.array([by_id.get(i) for i in range(none + 1)], pa.binary())
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                ids = part.column(at)
+                flat = pc.fill_null(ids.flatten(), none).to_numpy(zero_copy_only=False)
+                stops = np.cumsum(np.concatenate(([0], pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))))
+                found = pieces.take(pa.array(np.where((flat >= 0) & (flat < none), flat, none)))
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(stops, pa.int32()), found), b"")
+                texts = [b[1:].decode("utf-8", "replace") if valid and b is not None else None for b, valid in zip(joined.to_pylist(), ids.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "text"])
+
+    return encoded.mapInArrow(releasing(work), T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())]))

@@ -37,7 +37,7 @@ def op2_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lattice_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_encodings(_documents(spark, sf_dir), with_ids=False)
+    return sample_encodings(_documents(spark, sf_dir))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
