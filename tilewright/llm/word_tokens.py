@@ -1,8 +1,9 @@
 """Token ids of whole texts under a public word-level BPE, with each distinct word encoded once per worker.
 
 The vocabulary's tokenizer drops white space and never joins across it, so the
-ids of a text are those of its white-space-separated words in turn. Workers keep
-the ids of words they have met, in a table of bounded size.
+ids of a text are those of its white-space-separated words in turn. Texts of
+ASCII and Latin letters are cut by array operations and encoded whole. In other
+texts each distinct word is encoded once per worker, in a table of bounded size.
 """
 
 from __future__ import annotations
@@ -20,8 +21,21 @@ from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+#: Kinds of bytes: other marks, white space, digits, letters, and those that the array path leaves to the tokenizer.
+_MARK, _BLANK, _DIGIT, _LETTER, _ODD = range(5)
+#: Lower-case letters up to U+024F are letters byte by byte; what U+00A0 to U+00BF are, and all beyond, the tokenizer says.
+_KIND = np.array(
+    [_BLANK if b in b"\t\n\r " else _DIGIT if b in b"0123456789" else _LETTER if chr(b).isalpha() and b < 128 or 0x80 <= b <= 0xBF or 0xC3 <= b <= 0xC9 else _MARK if 32 < b < 127 else _ODD for b in range(256)],
+    np.uint8,
+)
+#: A multiplication and a division sign, a capital that becomes two characters, and how the special ids are written.
+_UNSURE = (b"\xc3\x97", b"\xc3\xb7", b"\xc4\xb0", b"<|")
+#: Bytes of text that the array path takes at once, and of one word that it encodes.
+_PART, _LONGEST = 1 << 20, 2000
+
 #: Marks that the tokenizer never joins with letters before them.
 _TRAILING = re.compile(rb"[.,;:!?]+(?= |$)")
+_SPACE = re.compile(rb"[\t\n\r ]")
 
 
 def _all_letters(word: bytes) -> bool:
@@ -98,7 +112,7 @@ class WordTokenizer:
             new = words
         known, words = self.known, list(new)
         bare = _TRAILING.sub(b"", b" ".join(words).lower()).split(b" ")
-        letters = [x.isalpha() or _all_letters(x) for x in bare]
+        letters = [len(x) <= _LONGEST and (x.isalpha() or _all_letters(x)) for x in bare]
         plain = {x for x, yes in zip(bare, letters) if yes and x not in known}
         self._learn_letters(list(plain))
         self._learn_each([w for w, yes in zip(words, letters) if not yes])
@@ -127,27 +141,64 @@ class WordTokenizer:
                 self.known[w] = np.array(e.ids, "<u2").tobytes()
 
     def ids_of_all(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of several texts, whose words are met at once."""
-        if sum(map(len, filter(None, texts))) > 8 << 20:
-            return [self.ids(t) for t in texts]
-        words = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        self.learn(set().union(*words))
-        return [b"".join(map(self.known.__getitem__, own)) for own in words]
+        """The ids of several texts."""
+        return [self.ids(t) for t in texts]
+
+    def _cut(self, data: bytes) -> str | None:
+        """The tokenizer's words, lower-cased, each with a space behind it; None where the bytes alone don't tell them."""
+        if any(x in data for x in _UNSURE):
+            return None
+        if not data.isascii():
+            data = data.decode("utf-8", "replace").lower().encode()
+        b = np.frombuffer(data.lower() + b" ", np.uint8)
+        kind = _KIND[b]
+        if (kind == _ODD).any():
+            return None
+        ends = (kind[1:] != kind[:-1]) | (kind[:-1] == _DIGIT)
+        if b"'" in data:
+            self._contractions(b, kind, ends)
+        kept = kind[:-1] != _BLANK
+        ends &= kept
+        place = np.cumsum(kept, dtype=np.int32)
+        place[1:] += np.cumsum(ends[:-1], dtype=np.int32)
+        n_ends = int(ends.sum())
+        out = np.full(int(kept.sum()) + n_ends, 32, np.uint8)
+        out[place[kept] - 1] = b[:-1][kept]
+        stops = place[ends]
+        if n_ends and int(np.diff(stops, prepend=0).max()) > _LONGEST:
+            return None
+        return out.tobytes().decode()
+
+    @staticmethod
+    def _contractions(b: np.ndarray, kind: np.ndarray, ends: np.ndarray) -> None:
+        """An apostrophe that no mark stands before makes a word with s, t, m, d, re, ve or ll behind it."""
+        at = np.flatnonzero(b == 39)
+        at = at[(at == 0) | (kind[at - 1] != _MARK)]
+        one, two = b[at + 1], b[np.minimum(at + 2, len(b) - 1)]
+        single = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        double = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        ends[at[single | double]] = False
+        ends[at[single] + 1] = True
+        ends[at[double] + 2] = True
 
     def ids(self, text: str | None) -> bytes:
         """The text's ids as little-endian 16-bit numbers; null and empty texts have none."""
-        words = (text or "").encode("utf-8", "replace").split()
-        out = []
-        for i in range(0, len(words), 100_000):
-            part = words[i : i + 100_000]
-            try:
-                out.extend(map(self.known.__getitem__, part))
-            except KeyError:
-                del out[i:]
-                self.learn(part)
-                out.extend(map(self.known.__getitem__, part))
+        data, out, first = (text or "").encode("utf-8", "replace"), [], 0
+        while first < len(data):
+            last = first + _PART
+            if last < len(data):  # the next white space after that ends the part
+                space = _SPACE.search(data, last)
+                last = space.start() if space else len(data)
+            part = data[first:last] if first or last < len(data) else data
+            words = self._cut(part)
+            out.append(self._of_words(part.split()) if words is None else np.array(self.letters.encode_ordinary(words), "<u2").tobytes())
+            first = last
         return b"".join(out)
 
+    def _of_words(self, words: list[bytes]) -> bytes:
+        self.learn(words)
+        return b"".join(map(self.known.__getitem__, words))
+
 
 @cache
 def word_tokenizer(vocabulary: str) -> WordTokenizer:
