@@ -1,18 +1,19 @@
 """The ten operators against brute force, and their defined results for nulls, empties, ties, repeats and clashing names."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tilewright.llm import exact_dedup, language_id, lattice_sampling, near_copies, packing, permutation_index, queries, simhash, subword_lm, substring_dedup, suffix_family, token_counts
+from tilewright.llm import exact_dedup, language_id, lattice_sampling, near_copies, packing, permutation_index, queries, simhash, slots, subword_lm, substring_dedup, suffix_family, token_counts
 from tilewright.llm.components import components
-from tilewright.llm.slots import IndexFamily
 from tilewright.llm.word_tokens import WordTokenizer
 
 SCHEMA = "doc_id long, text string, kept string, slot int, bucket string, word string, print string, key string"
@@ -262,9 +263,9 @@ def first_ids(units_of, size):
     return first
 
 
-@pytest.mark.parametrize(("window", "start"), [(13, 7), (13, 2), (3, 3)])
-def test_substring_dedup(docs, rows, window, start):
-    found = {r["doc_id"]: r for r in substring_dedup.remove_repeats(docs, window=window, start=start, slot_bytes=3000, bucket_words=500).collect()}
+@pytest.mark.parametrize(("window", "start", "run_bytes"), [(13, 7, 100), (13, 2, 1500), (3, 3, 100)])
+def test_substring_dedup(docs, rows, window, start, run_bytes):
+    found = {r["doc_id"]: r for r in substring_dedup.remove_repeats(docs, window=window, start=start, slot_bytes=3000, bucket_bytes=400, run_bytes=run_bytes).collect()}
     words = {i: tuple((t or "").encode().split()) for i, t in rows}
     first = first_ids(words, window)
     for i, own in words.items():
@@ -290,13 +291,41 @@ def test_level_lengths_double():
     assert substring_dedup.level_lengths(5, 5) == [5]
 
 
-@pytest.mark.parametrize(("length", "gram"), [(50, 16), (12, 4), (9, 8)])
-def test_suffix_family(docs, rows, length, gram):
-    found = {r["doc_id"]: r for r in suffix_family.remove_repeated_bytes(docs, length=length, gram=gram, slot_bytes=2000, bucket_bytes=5000).collect()}
+def test_substring_dedup_tells_words_of_one_pattern_apart(spark):
+    """Words that collide under any polynomial hash modulo 2**64."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(12))
+    found = substring_dedup.remove_repeats(frame(spark, [(1, f"{word} {tail}"), (2, f"{word.translate(str.maketrans('ab', 'ba'))} {tail}"), (3, f"{word} {tail}")]))
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_repeats_of_negative_null_and_repeated_ids(spark, empty):
+    words = " ".join(random.Random(2).choices(["alpha", "beta", "gamma", "delta"], k=20))
+    given = [(-5, words), (7, words), (7, words), (None, words), (None, None), (None, words), (8, "")]
+    n_bytes = len(words)
+    for slot_bytes in (1, 1 << 20):
+        found = substring_dedup.remove_repeats(frame(spark, given), slot_bytes=slot_bytes, run_bytes=1).collect()
+        assert sorted((str(r["doc_id"]), r["n_removed"]) for r in found) == [("-5", 0), ("7", 20), ("7", 20), ("8", 0), ("None", 0), ("None", 20), ("None", 20)]
+        found = suffix_family.remove_repeated_bytes(frame(spark, given), slot_bytes=slot_bytes, run_bytes=1).collect()
+        assert sorted((str(r["doc_id"]), r["n_removed"]) for r in found) == [("-5", 0), ("7", n_bytes), ("7", n_bytes), ("8", 0), ("None", 0), ("None", n_bytes), ("None", n_bytes)]
+    assert suffix_family.remove_repeated_bytes(empty).count() == 0
+
+
+def expected_bytes(rows, length):
     texts = {i: (t or "").encode() for i, t in rows}
     first = first_ids(texts, length)
+    return {i: cover(own, first, length, i) for i, own in texts.items()}, texts
+
+
+@pytest.mark.parametrize(("length", "gram", "n_batches", "run_bytes"), [(50, 16, 4, 100), (50, 16, 1, 2000), (12, 4, 3, 100), (9, 8, 2, 500)])
+def test_suffix_family(docs, rows, length, gram, n_batches, run_bytes):
+    found = suffix_family.remove_repeated_bytes(docs, length=length, gram=gram, n_batches=n_batches, slot_bytes=2000, bucket_bytes=400, run_bytes=run_bytes)
+    found = {r["doc_id"]: r for r in found.collect()}
+    covered, texts = expected_bytes(rows, length)
     for i, own in texts.items():
-        gone = cover(own, first, length, i)
+        gone = covered[i]
         kept = bytes(b for b, g in zip(own, gone) if not g)
         spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
         r = found[i]
@@ -304,24 +333,66 @@ def test_suffix_family(docs, rows, length, gram):
         assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
-def test_suffix_family_of_null_and_repeated_ids(spark, empty):
-    text = "".join(random.Random(2).choices("abcdefgh ", k=80))
-    found = suffix_family.remove_repeated_bytes(frame(spark, [(5, text), (5, text), (None, text), (None, None), (None, text)]))
-    assert sorted(((r["doc_id"], r["n_removed"]) for r in found.collect()), key=str) == [(5, 0), (5, 0), (None, 0), (None, 80), (None, 80)]
-    assert suffix_family.remove_repeated_bytes(empty).count() == 0
-
-
-def test_index_family_levels_grow_geometrically():
-    rng, family, truth = np.random.default_rng(1), IndexFamily(), {}
-    for owner in range(40):
-        keys = np.unique(rng.integers(0, 500, 30).astype(np.uint64))
-        family.add(keys, np.full(len(keys), owner))
-        for k in keys.tolist():
-            truth.setdefault(k, owner)
-        sizes = [len(k) for k, _ in family.levels]
-        assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:]))
-    keys = np.array(sorted(truth), np.uint64)
-    assert family.look_up(keys).tolist() == [truth[k] for k in keys.tolist()]
+def test_slots_hold_long_documents_and_survive_any_partitioning(spark):
+    """Documents beyond a slot and beyond the pieces in which words are read, with a passage at a piece's edge."""
+    rng = random.Random(8)
+    passage = " ".join(rng.choices(["kilo", "lima", "mike", "november", "oscar"], k=60))
+    filler = lambda n: " ".join(f"{rng.getrandbits(40):x}" for _ in range(n))
+    given = [(1, passage), (2, f"{filler(95_320)} {passage} {filler(50_000)} {passage} {filler(10)}"), (3, filler(20))]
+    n_words = {i: len(t.split()) for i, t in given}
+    for n in (1, 3):
+        found = {r["doc_id"]: r for r in substring_dedup.remove_repeats(frame(spark, given).repartition(n), slot_bytes=100_000).collect()}
+        assert {i: (r["n_words"], r["n_removed"]) for i, r in found.items()} == {1: (60, 0), 2: (n_words[2], 120), 3: (20, 0)}
+        assert found[2]["kept_text"] == given[1][1].replace(f" {passage}", "")
+        found = {r["doc_id"]: r for r in suffix_family.remove_repeated_bytes(frame(spark, given).repartition(n), slot_bytes=100_000).collect()}
+        assert {i: (r["n_removed"] >= 2 * len(passage), r["n_spans"]) for i, r in found.items()} == {1: (False, 0), 2: (True, 2), 3: (False, 0)}
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(range(3))))
+def test_batches_may_arrive_in_any_order(order):
+    """Each batch is scanned with what is left of those before it; owners fall and rise."""
+    rng, length, gram = np.random.default_rng(3), 12, 4
+    texts = [bytes(rng.choice(list(b"ab"), 40)) for _ in range(9)]
+    passage = bytes(rng.choice(list(b"cd"), 20))
+    texts = [t[:20] + passage[i % 4 :] + t[20:] if i % 2 else t for i, t in enumerate(texts)]
+    covered, _ = expected_bytes(list(enumerate(t.decode() for t in texts)), length)
+    parts, kept, told = {}, None, {}
+    for b in order:
+        own = texts[3 * b : 3 * b + 3]
+        table = pa.table([pa.array(range(3 * b, 3 * b + 3)), pa.array([t.decode() for t in own])], ["doc_id", "text"])
+        slot = suffix_family.SlotBytes(table, [slots.pack_steps(a) for a in suffix_family.find_anchors(*suffix_family.padded(own), length, gram)], length, gram)
+        every = np.arange(len(slot.anchors))
+        rows_ = slot.rows(every)
+        first, which = suffix_family.distinct_rows(rows_)
+        least = np.full(len(first), 99)
+        np.minimum.at(least, which, slot.ids[slot.doc])
+        parts[b] = (slot, which, least)
+        fields = [rows_[first], least, np.full(len(first), b), np.arange(len(first)), np.zeros(len(first), np.uint64)]
+        if kept is not None:
+            fields = [np.concatenate(x) for x in zip(kept, fields)]
+        at = suffix_family.byte_order(fields[0])
+        entries = suffix_family.Entries(*(f[at] for f in fields), length, gram)
+        found = entries.scan()
+        for s, n, f in zip(entries.slot.tolist(), entries.number.tolist(), found.tolist()):
+            told[s, n] = told.get((s, n), 0) | f
+        left = found != entries.every()
+        kept = [entries.rows[left], entries.owner[left], entries.slot[left], entries.number[left], found[left]]
+    for b, (slot, which, least) in parts.items():
+        bits = np.array([told[b, n] for n in range(len(least))], np.uint64)[which]
+        bits = np.where(slot.ids[slot.doc] > least[which], suffix_family.all_strings(slot.low, slot.high), bits)
+        starts, stops = slot.spans(np.arange(len(slot.anchors)), bits)
+        gone = np.zeros(slot.firsts[-1], bool)
+        for x, y in zip(starts, stops):
+            gone[x:y] = True
+        assert (gone == np.concatenate([covered[i] for i in range(3 * b, 3 * b + 3)])).all()
+
+
+def test_levels_merge_geometrically(spark, docs, monkeypatch):
+    sizes = []
+    merge = suffix_family.merge_batch
+    monkeypatch.setattr(suffix_family, "merge_batch", lambda runs, levels, merged, *rest: sizes.append((len(levels), merged)) or merge(runs, levels, merged, *rest))
+    suffix_family.remove_repeated_bytes(docs, n_batches=8, slot_bytes=2000)
+    assert sizes == [(0, 0), (1, 1), (1, 0), (2, 2), (1, 0), (2, 1), (2, 0), (3, 3)]
 
 
 # 5: language identification
