@@ -136,7 +136,85 @@ def test_injected_fetch_and_tokens(spark):
     hidden = transport.tile_requests(api.planner.job_tiles(jobs)).first()["tile_url"]
     assert hidden.endswith("?access_token=REDACTED")
     raw = transport.read_by(transport.raw_range(spark, "s", "u/{z}/{x}/{y}", 3, (1, 2), (336, 336)), fetch)
-    assert transport.raw_manifest(raw).first()["tile_count"] == 2
+    found = transport.raw_manifest(raw).first()
+    assert (found["tile_count"], found["x_min"], found["x_max"], found["y_max"]) == (2, 1, 2, 336)
+    assert {(r["stored_file"], r["byte_length"]) for r in transport.raw_files(raw).collect()} == {("3/1/336.bin", 0), ("3/2/336.bin", 0)}
+
+
+def test_no_secret_is_written(spark, tmp_path):
+    """Fetched runs: neither the token nor a header's value is in any file or message."""
+    secret, header, body = "S3CR*T~value", "h3ader-value", tile()
+
+    def fetch(url, headers, timeout):
+        if "336" in url:
+            assert "S3CR%2AT~value" in url and headers["X-Key"] == header
+            return body, "application/x-protobuf", 200
+        raise OSError(f"no route to {url} with {secret} and {headers}")
+
+    given = dict(bbox=BOX, display_zoom=9, access_token=secret, extra_headers={"X-Key": header})
+    jobs = build_jobs(to_frame(spark, [AreaRequest("mapillary", stop_on_error=False, **given)]))
+    done = api.process(jobs, fetch=fetch)
+    assert not {"access_token", "headers", "extra_headers", "fetch_url"} & set(done.columns)
+    done.write.parquet(f"{tmp_path}/processed")
+    tables.write_run(jobs, spark.read.parquet(f"{tmp_path}/processed"), f"{tmp_path}/run")
+    tables.export_files(spark, f"{tmp_path}/run", f"{tmp_path}/files")
+    for path in (f"{tmp_path}/processed", *(f"{tmp_path}/run/{n}" for n in ("tile_summary", "pano_records", "feature_records", "error_tiles", "skipped_tiles", "tiles_raw", "manifests"))):
+        text = "\n".join(spark.read.parquet(path).drop("content", "plain", "stored_content").toJSON().collect())
+        assert not any(x in text for x in (secret, "S3CR", header))
+    for path in tmp_path.rglob("files/**/*"):
+        assert path.is_dir() or not any(x in path.read_bytes() for x in (b"S3CR", header.encode()))
+    stopping = api.process(build_jobs(to_frame(spark, [AreaRequest("mapillary", **given)])), fetch=lambda *a: (_ for _ in ()).throw(OSError(a[0])))
+    with pytest.raises(RuntimeError) as e:
+        outcome.raise_on_errors(stopping)
+    assert "REDACTED" in str(e.value) and "S3CR" not in str(e.value)
+
+
+def test_runs_are_read_back(spark, run, tmp_path):
+    jobs, done = run
+    tables.write_run(jobs, done.where("source_kind = 'raster' AND outcome = 'fetched'"), f"{tmp_path}/run")
+    counts = {n: spark.read.parquet(f"{tmp_path}/run/{n}").count() for n in ("tile_summary", "pano_records", "feature_records", "error_tiles", "skipped_tiles", "manifests")}
+    assert counts == {"tile_summary": 1, "pano_records": 0, "feature_records": 0, "error_tiles": 0, "skipped_tiles": 0, "manifests": 5}
+    tables.export_files(spark, f"{tmp_path}/run", f"{tmp_path}/files")
+    loaded = tables.load_results(tables.read_manifests(spark, f"{tmp_path}/files/manifests/*/*/*")).where("provider = 'kartaview'").first()
+    back = tables.read_csv(spark, loaded["tile_summary_path"], outcome.TILE_SUMMARY)
+    assert [(r["provider"], r["x"], r["coverage_pixel_count"], r["is_empty"]) for r in back.collect()] == [("kartaview", "525", "2", "False")]
+    assert tables.read_csv(spark, loaded["pano_records_path"], outcome.PANO_RECORDS).count() == 0
+    assert compare.summarize_documents(tables.read_manifests(spark, f"{tmp_path}/files/manifests/*/*/*")).where("tile_count > 0").count() == 1
+
+
+PAGE = b'<html><script type="application/json" class="state-view">{"config": {"hosts": {"stvTiles": "https://0%d.core-stv-renderer.maps.yandex.net/2.x/tiles?l=stv\\u0026%c\\u0026v=%v\\u0026%l"}, "layers": {"stv": {"version": "9.8"}}}, "query": {"l": "sat"}}</script></html>'
+
+
+def test_live_pages_give_version_and_template(spark):
+    found = transport.discover(spark, lambda url, headers, timeout: (PAGE, "text/html", 200), "yandex")
+    row = found.first()
+    assert (row["config_source"], row["version"], row["query_layers"], row["config_error"]) == ("live_page", "9.8", "sat", None)
+    jobs = build_jobs(to_frame(spark, [AreaRequest("yandex", BOX, display_zoom=8)]))
+    wanted = transport.tile_requests(api.planner.job_tiles(jobs), discovered=found).first()
+    assert wanted["tile_url"].startswith("https://core-stv-renderer.maps.yandex.net/2.x/tiles?l=stv&x=131&y=") and "&v=9.8&lang=en_US&scale=1" in wanted["tile_url"]
+    for fetch in (lambda *a: (b"<html/>", "", 200), lambda *a: (_ for _ in ()).throw(TimeoutError("slow"))):
+        row = transport.discover(spark, fetch, "yandex").first()
+        assert row["config_source"] == "fallback" and row["version"] and row["config_error"] and row["template"] is None
+    assert transport.discover(spark, None, "kartaview").first()["config_source"] == "catalog"
+    style = transport.discover_style(spark, lambda *a: (b'cb({"version": "7", "tiles": ["t"]});', "", 200)).first()
+    assert style["version"] == "7" and "/7/{z}" in style["overlay"]
+    script = b'ROADVIEW:function(t,n,a){return"//h/sd/"+a+"/"+n+"/"+t+".png"},ROADVIEW_HD:function(t,n,a){return"//h/hd/"+a+"/"+n+"/"+t+".png"}'
+    assert transport.discover_roadview(spark, lambda *a: (script, "", 200), "u").first()["standard"] == "https://h/sd/{level}/{tile_y}/{tile_x}.png"
+
+
+def test_figures_and_job_indexes(spark):
+    rows = [(r, j, f"p{i}", "s") for r in (1, 2) for j in (0, 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "request_id int, job_index int, provider string, source_id string")
+    found = compare.panels(df, 2, figure=("request_id", "job_index")).collect()
+    assert {(r["n_panels"], r["n_rows"]) for r in found} == {(3, 2)}
+    assert [r["job_index"] for r in metrics.job_indexes(df).collect()] == [0, 1]
+    with pytest.raises(ValueError):
+        compare.panels(df, jobs=[7])
+
+
+def test_downloads_carry_notes(spark, tmp_path):
+    got = transport.download("panoramax", str(tmp_path), spark, lambda url, headers, timeout: (b"abc", "x/y", 200))
+    assert (got["byte_length"], got["content_type"]) == (3, "x/y") and got["notes"] and (tmp_path / "panoramax.parquet").read_bytes() == b"abc"
 
 
 def test_stream_equals_batch(spark, stored, run, tmp_path):

@@ -1,4 +1,4 @@
-"""Tile-grid and geodesy functions, all ``Column`` to ``Column`` and inside code generation.
+"""Tile-grid and geodesy functions, all ``Column`` to ``Column``, without Python on the executors.
 
 Three grids: ``web_mercator`` (spherical), ``yandex_wgs84_mercator``
 (elliptic) and ``baidu`` (an offset datum with a polynomial projection).
@@ -117,6 +117,9 @@ def _waves(terms: list[tuple[float, Column]]) -> Column:
     return reduce(lambda a, b: a + b, [F.sin(angle * _PI) * size for size, angle in terms]) * 2 / 3
 
 
+# Fixed values, in the two functions below: the terms of the offset's series.
+
+
 def offset_lat(lon: Column, lat: Column) -> Column:
     """Perturbation of the latitude at coordinates relative to (105, 35)."""
     plane = 2 * lon + 3 * lat + 0.2 * lat * lat + 0.1 * lon * lat + 0.2 * F.sqrt(F.abs(lon)) - 100
@@ -202,15 +205,17 @@ def baidu_lonlat_to_tile(lon: Column, lat: Column, zoom: Column) -> tuple[Column
 def tile_range(bbox: Column, zoom: Column, scheme: Column) -> Column:
     """``struct<x_min, x_max, y_min, y_max>``, inclusive; unknown schemes are spherical."""
     w, s, e, n = (bbox[c] for c in ("min_lon", "min_lat", "max_lon", "max_lat"))
+    corners = F.array(*[F.struct(a.alias("lon"), b.alias("lat")) for a in (w, e) for b in (s, n)])
+
+    def tile(p: Column) -> Column:
+        pack = lambda xy: F.struct(xy[0].alias("x"), xy[1].alias("y"))
+        at = (p["lon"], p["lat"], zoom)
+        return F.when(scheme == BAIDU, pack(baidu_lonlat_to_tile(*at))).when(scheme == ELLIPTIC, pack(elliptic_lonlat_to_tile(*at))).otherwise(pack(lonlat_to_tile(*at)))
 
-    def spread(corners: list[tuple[Column, Column]]) -> Column:
-        xs, ys = zip(*corners)
-        return F.struct(F.least(*xs).alias("x_min"), F.greatest(*xs).alias("x_max"), F.least(*ys).alias("y_min"), F.greatest(*ys).alias("y_max"))
+    def spread(tiles: Column) -> Column:
+        return F.struct(*[f(tiles[c]).alias(f"{c}_{name}") for c in ("x", "y") for f, name in ((F.array_min, "min"), (F.array_max, "max"))])
 
-    plain = spread([lonlat_to_tile(w, n, zoom), lonlat_to_tile(e, s, zoom)])
-    elliptic = spread([elliptic_lonlat_to_tile(w, n, zoom), elliptic_lonlat_to_tile(e, s, zoom)])
-    offset = spread([baidu_lonlat_to_tile(a, b, zoom) for a in (w, e) for b in (s, n)])
-    return F.when(scheme == BAIDU, offset).when(scheme == ELLIPTIC, elliptic).otherwise(plain)
+    return _let(F.transform(corners, tile), spread)  # each grid's expression once, for all corners
 
 
 def tile_count(rng: Column) -> Column:

@@ -84,7 +84,7 @@ def roadview_url(template: Column, z: Column, x: Column, y: Column) -> Column:
 
 
 def normalise_tile_template(template: Column, layer: Column) -> Column:
-    """Six literal replacements, in order."""
+    """Six literal replacements, in order (fixed values)."""
     for old, new in (
         (F.lit("\\u0026"), F.lit("&")),
         (F.lit("l=stv&"), F.concat(F.lit("l="), layer, F.lit("&"))),

@@ -74,12 +74,20 @@ def with_labels(df: DataFrame, name: str = "provider") -> DataFrame:
     return joined.withColumns({"label": F.coalesce("label", name), "colour": F.coalesce("colour", F.lit(catalog.OTHER_COLOUR))})
 
 
-def panels(summary: DataFrame, columns: int = 3, jobs: list[int] | None = None) -> DataFrame:
-    """Where each result of a job stands in its figure: ordered by label and source, row by row."""
-    df = summary if jobs is None else summary.where(F.col("job_index").isin(jobs))
+def panels(summary: DataFrame, columns: int = 3, jobs: list[int] | None = None, figure: tuple[str, ...] = ("job_index",)) -> DataFrame:
+    """Where each result stands in its figure: ordered by label and source, row by row.
+
+    ``figure`` names the columns whose values tell figures apart; summaries of many requests need their box or request
+    there, which also spreads the work. Selecting jobs of which there are no results raises.
+    """
+    df = summary
+    if jobs is not None:
+        df = summary.where(F.col("job_index").isin(jobs))
+        if df.isEmpty():
+            raise ValueError("no results of these jobs")
     df = with_labels(df)
-    slot = F.row_number().over(Window.partitionBy("job_index").orderBy("label", "source_id")) - 1
-    n = F.count("*").over(Window.partitionBy("job_index"))
+    slot = F.row_number().over(Window.partitionBy(*figure).orderBy("label", "source_id")) - 1
+    n = F.count("*").over(Window.partitionBy(*figure))
     df = df.withColumns({"slot": slot, "n_columns": F.greatest(F.lit(1), F.least(F.lit(columns).cast("long"), n)), "n_panels": n})
     return df.withColumns({"panel_row": (F.col("slot") / F.col("n_columns")).cast("int"), "panel_column": F.col("slot") % F.col("n_columns"), "n_rows": F.ceil(F.col("n_panels") / F.col("n_columns"))})
 

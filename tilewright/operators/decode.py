@@ -25,6 +25,10 @@ def _samples(raw: bytes, width: int, height: int, bits: int, channels: int) -> t
     """Unfiltered samples (height, width, channels) of one pass, and the bytes it took."""
     step, row_bytes = max(1, bits * channels // 8), (width * bits * channels + 7) // 8
     lines = np.frombuffer(raw[: height * (row_bytes + 1)], np.uint8).reshape(height, row_bytes + 1)
+    if lines[:, 0].max() > 4:
+        raise ValueError(f"filter {lines[:, 0].max()}")
+    if (lines[:, 0] > 2).any():
+        return _values(_unfilter_by_diagonals(lines, step), width, height, bits, channels), height * (row_bytes + 1)
     out = np.zeros((height + 1, row_bytes + step), np.int32)
     for y in range(height):
         kind, line = lines[y, 0], lines[y, 1:].astype(np.int32)
@@ -34,20 +38,28 @@ def _samples(raw: bytes, width: int, height: int, bits: int, channels: int) -> t
         elif kind == 1:
             for k in range(step):
                 row[step + k :: step] = np.cumsum(line[k::step]) & 255
-        elif kind == 2:
-            row[step:] = (line + above[step:]) & 255
-        elif kind in (3, 4):
-            for i, value in enumerate(line.tolist()):
-                a, b, c = int(row[i]), int(above[i + step]), int(above[i])
-                if kind == 3:
-                    guess = (a + b) // 2
-                else:
-                    p = a + b - c
-                    guess = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
-                row[i + step] = (value + guess) & 255
         else:
-            raise ValueError(f"filter {kind}")
-    data = out[1:, step:].astype(np.uint8)
+            row[step:] = (line + above[step:]) & 255
+    return _values(out[1:, step:].astype(np.uint8), width, height, bits, channels), height * (row_bytes + 1)
+
+
+def _unfilter_by_diagonals(lines: np.ndarray, step: int) -> np.ndarray:
+    """Bytes of filtered rows of any kind: what a pixel depends on lies on the two diagonals before its own."""
+    height, width = len(lines), (lines.shape[1] - 1) // step
+    kind, pixels = lines[:, 0], lines[:, 1:].reshape(height, width, step).astype(np.int32)
+    out = np.zeros((height + 1, width + 1, step), np.int32)
+    for d in range(height + width - 1):
+        y = np.arange(max(0, d - width + 1), min(height, d + 1))
+        x, own = d - y, kind[y, None]
+        a, b, c = out[y + 1, x], out[y, x + 1], out[y, x]
+        p = a + b - c
+        by_a, by_b, by_c = np.abs(p - a), np.abs(p - b), np.abs(p - c)
+        paeth = np.where((by_a <= by_b) & (by_a <= by_c), a, np.where(by_b <= by_c, b, c))
+        out[y + 1, x + 1] = (pixels[y, x] + np.choose(own, [0, a, b, (a + b) // 2, paeth])) & 255
+    return out[1:, 1:].reshape(height, -1).astype(np.uint8)
+
+
+def _values(data: np.ndarray, width: int, height: int, bits: int, channels: int) -> np.ndarray:
     if bits == 16:
         values = data.reshape(height, -1, 2)
         values = values[..., 0].astype(np.uint16) << 8 | values[..., 1]
@@ -56,7 +68,7 @@ def _samples(raw: bytes, width: int, height: int, bits: int, channels: int) -> t
     else:
         spread = np.unpackbits(data, axis=1).reshape(height, -1, bits)
         values = (spread * (1 << np.arange(bits - 1, -1, -1))).sum(axis=2).astype(np.uint16)
-    return values[:, : width * channels].reshape(height, width, channels), height * (row_bytes + 1)
+    return values[:, : width * channels].reshape(height, width, channels)
 
 
 def png_alpha(data: bytes) -> np.ndarray:
@@ -93,13 +105,16 @@ PNG_SUMMARY = "width int, height int, coverage_pixel_count long, total_pixel_cou
 
 
 def summarize_png(content: Column) -> Column:
-    """Size, pixels that are not fully transparent, all pixels and their ratio (0 without pixels)."""
+    """Size, pixels that are not fully transparent, all pixels and their ratio (0 without pixels); of null, nulls."""
     return F.pandas_udf(_summarize_png, PNG_SUMMARY)(content)
 
 
 def _summarize_png(content: pd.Series) -> pd.DataFrame:
     rows = []
     for data in content:
+        if data is None:
+            rows.append((None,) * 6)
+            continue
         try:
             on = png_alpha(bytes(data))
             covered, total = int(on.sum()), on.size
@@ -148,7 +163,8 @@ def _inflate(content: pd.Series) -> pd.Series:
 
 def gunzip(content: Column) -> Column:
     """Inflated where it starts like gzip (null if broken), else unchanged."""
-    return F.when(is_gzip(content), F.pandas_udf(_inflate, "binary")(content)).otherwise(content)
+    zipped = is_gzip(content)  # what is not is not handed to Python
+    return F.when(zipped, F.pandas_udf(_inflate, "binary")(F.when(zipped, content))).otherwise(content)
 
 
 # vector tiles
@@ -278,13 +294,16 @@ MVT = (
 
 
 def decode_mvt_tiles(content: Column) -> Column:
-    """Layers of vector tiles, or the error."""
+    """Layers of vector tiles, or the error; of null, neither."""
     return F.pandas_udf(_decode_mvt_tiles, MVT)(content)
 
 
 def _decode_mvt_tiles(content: pd.Series) -> pd.DataFrame:
     rows = []
     for data in content:
+        if data is None:
+            rows.append((None, None))
+            continue
         try:
             layers = decode_mvt(bytes(data))
             for layer in layers:
@@ -296,6 +315,26 @@ def _decode_mvt_tiles(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["layers", "error"])
 
 
+GEOMETRY = "geometry_type string, parts array<array<struct<x: double, y: double>>>, error string"
+
+
+def decode_geometry(commands: Column, kind: Column) -> Column:
+    """Type and parts of command streams (arrays of numbers) of a kind: 1 points, 2 lines, 3 polygons."""
+
+    def decode(commands: pd.Series, kind: pd.Series) -> pd.DataFrame:
+        rows = []
+        for own, k in zip(commands, kind):
+            try:
+                name, parts = read_geometry([int(c) for c in own], int(k))
+                rows.append((name, [[{"x": float(x), "y": float(y)} for x, y in p] for p in parts], None))
+            except Exception as e:
+                rows.append((None, None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(rows, columns=["geometry_type", "parts", "error"])
+
+    decode.__annotations__ = {"commands": pd.Series, "kind": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(decode, GEOMETRY)(commands, kind)
+
+
 def project_parts(parts: Column, x: Column, y: Column, zoom: Column, extent: Column) -> Column:
     """Parts in tile units to parts in longitude and latitude."""
 

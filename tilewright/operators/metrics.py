@@ -43,6 +43,11 @@ def manifests(jobs: DataFrame, tiles: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
 
 
+def job_indexes(manifest: DataFrame) -> DataFrame:
+    """The job indexes that have results, each once, in order."""
+    return manifest.select("job_index").distinct().orderBy("job_index")
+
+
 def rollup(manifest: DataFrame) -> DataFrame:
     """Coverage by provider and label with subtotals."""
     return manifest.rollup("provider", "run_label").agg(

@@ -52,8 +52,8 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
     first = fetch_outcome(F.col("http_status"), F.col("transport_error"), F.col("source_kind"), F.col("content_type"), F.col("content_type_prefix"), size, special, F.col("skip_404"))
     df = tiles.withColumns({"special": special, "wire_byte_length": size, "first": first}).withColumn("ok", F.col("first.outcome") == "fetched")
     kind = lambda k: F.col("ok") & (F.col("source_kind") == k) & (F.col("wire_byte_length") > 0)
-    df = df.withColumns({"was_gzip_compressed": F.coalesce(decode.is_gzip(F.col("content")), F.lit(False)) & (F.col("source_kind") != "raster"), "plain": F.when(F.col("ok"), F.when(F.col("source_kind") == "raster", F.col("content")).otherwise(decode.gunzip(F.col("content"))))})
-    df = df.withColumns({"png": F.when(kind("raster"), decode.summarize_png(F.col("plain"))), "mvt": F.when(kind("vector_mvt"), decode.decode_mvt_tiles(F.col("plain"))), "document": F.when(kind("coverage_json"), decode.read_coverage_json(F.col("plain")))})
+    df = df.withColumns({"was_gzip_compressed": F.coalesce(decode.is_gzip(F.col("content")), F.lit(False)) & (F.col("source_kind") != "raster"), "plain": F.when(F.col("ok") & (F.col("source_kind") == "raster"), F.col("content")).otherwise(decode.gunzip(F.when(F.col("ok") & (F.col("source_kind") != "raster"), F.col("content"))))})
+    df = df.withColumns({"png": decode.summarize_png(F.when(kind("raster"), F.col("plain"))), "mvt": decode.decode_mvt_tiles(F.when(kind("vector_mvt"), F.col("plain"))), "document": F.from_json(F.decode(F.when(kind("coverage_json"), F.col("plain")), "UTF-8"), decode.COVERAGE_JSON)})
     broken_json = kind("coverage_json") & F.try_parse_json(F.decode(F.col("plain"), "UTF-8")).isNull()
     broken_gzip = F.col("ok") & F.col("was_gzip_compressed") & F.col("plain").isNull()
     late = F.coalesce(F.when(broken_gzip, F.lit("broken gzip")), F.col("png.error"), F.col("mvt.error"), F.when(broken_json, F.lit("broken JSON")))
@@ -124,6 +124,6 @@ def first_errors(df: DataFrame) -> DataFrame:
 
 def raise_on_errors(df: DataFrame) -> None:
     """Raise the first error of a run that is to stop; called before any table is written."""
-    first = first_errors(df).orderBy(*RUN).limit(1).collect()
+    first = first_errors(df).orderBy(*RUN).limit(1).collect()  # its URL has no token's value
     if first:
         raise RuntimeError(f"{first[0]['run_label']}: {first[0]['error']['tile_url']}: {first[0]['error']['reason']}")

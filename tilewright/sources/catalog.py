@@ -41,11 +41,11 @@ PRESETS = [
     ("moscow_center_stv_bbox", (37.53, 55.73, 37.60, 55.76)),
     ("abakan_bbox", (91.54, 53.66, 91.72, 53.79)),
 ]
-# Direct downloads.
+# Direct downloads (the notes are our own).
 DOWNLOADS = [
-    ("panoramax", "https://api.panoramax.xyz/data/geoparquet/panoramax.parquet", "panoramax.parquet"),
-    ("panoramax_pg_dump", "https://api.panoramax.xyz/data/pg_dump/panoramax.dump", "panoramax.dump"),
-    ("svmap_google_index", "https://d3q761cy2sygif.cloudfront.net/index.json", "index.json"),
+    ("panoramax", "https://api.panoramax.xyz/data/geoparquet/panoramax.parquet", "panoramax.parquet", "The catalog as GeoParquet, renewed every week: the download to start from."),
+    ("panoramax_pg_dump", "https://api.panoramax.xyz/data/pg_dump/panoramax.dump", "panoramax.dump", "The whole database, much larger: only for fields that the GeoParquet lacks."),
+    ("svmap_google_index", "https://d3q761cy2sygif.cloudfront.net/index.json", "index.json", "An index of archives by date: tells where the package of a date is."),
 ]
 NOTES = [
     ("apple_lookaround", "The public host asks not to be automated at scale: use a self-hosted or throttled setup."),
@@ -77,7 +77,7 @@ def presets(spark: SparkSession) -> DataFrame:
 
 
 def downloads(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DOWNLOADS, "name string, url string, filename string")
+    return spark.createDataFrame(DOWNLOADS, "name string, url string, filename string, notes string")
 
 
 def notes(spark: SparkSession, default: str = "") -> DataFrame:

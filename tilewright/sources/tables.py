@@ -23,11 +23,13 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
         raise
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
-    """Columns in order, header always, nulls empty, booleans as True and False."""
+def write_csv(df: DataFrame, path: str, columns: list[str], folders: tuple[str, ...] = ()) -> None:
+    """Columns in order, header always, nulls empty, booleans as True and False; with ``folders``, a folder for each of their values."""
     kinds = dict(df.dtypes)
     shown = [F.initcap(F.col(c).cast("string")).alias(c) if kinds.get(c) == "boolean" else F.col(c) if c in kinds else F.lit("").alias(c) for c in columns]
-    df.select(*shown).write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="", escape='"')
+    rows = df.select(*shown, *[F.col(c).alias(f"in_{c}") for c in folders])
+    writer = rows.write.mode("overwrite").options(header=True, nullValue="", emptyValue="", escape='"')
+    (writer.partitionBy(*[f"in_{c}" for c in folders]) if folders else writer).csv(path)
 
 
 def read_manifests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -51,11 +53,23 @@ def load_results(manifests: DataFrame) -> DataFrame:
     )
 
 
+def write_table(df: DataFrame, path: str, *folders: str) -> None:
+    """Parquet by folders. A table without rows is one file without rows, so that it can be read."""
+    df.write.mode("overwrite").partitionBy(*folders).parquet(path)
+    try:
+        df.sparkSession.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        df.limit(0).write.mode("overwrite").parquet(path)
+
+
 def write_run(jobs: DataFrame, processed: DataFrame, path: str, with_tiles: bool = True) -> None:
     """All tables of a run, as Parquet by provider and label. Raises before writing if a run is to stop at its first error.
 
-    ``processed`` is read once for each table: hand in one that was written.
+    ``processed`` is read once for each table: hand in one that was written. Access tokens of jobs are not written.
     """
+    jobs = jobs.drop("access_token", "extra_headers")
     outcome.raise_on_errors(processed)
     tables = {
         "tile_summary": outcome.tile_summary(processed),
@@ -65,10 +79,10 @@ def write_run(jobs: DataFrame, processed: DataFrame, path: str, with_tiles: bool
         "skipped_tiles": outcome.skipped_tiles(processed),
     }
     for name, df in tables.items():
-        df.write.mode("overwrite").partitionBy("provider", "run_label").parquet(f"{path}/{name}")
+        write_table(df, f"{path}/{name}", "provider", "run_label")
     if with_tiles:
         kept = outcome.fetched(processed).where(F.col("stored_content").isNotNull())
-        kept.select("source_id", "source_zoom", "x", "y", F.col("stored_content").alias("content"), "content_type", "output_path").write.mode("overwrite").partitionBy("source_id", "source_zoom").parquet(f"{path}/tiles_raw")
+        write_table(kept.select("source_id", "source_zoom", "x", "y", F.col("stored_content").alias("content"), "content_type", "output_path"), f"{path}/tiles_raw", "source_id", "source_zoom")
     metrics.manifests(jobs, processed).write.mode("overwrite").parquet(f"{path}/manifests")
 
 
@@ -80,9 +94,26 @@ def manifest_json(manifests: DataFrame) -> DataFrame:
         return rows.map(lambda r: json.dumps(json.loads(r), indent=2, sort_keys=True))
 
     pretty.__annotations__ = {"rows": pd.Series, "return": pd.Series}
-    whole = F.to_json(F.struct(*[c for c in manifests.columns if c != "access_token"]), {"ignoreNullFields": "false"})
+    whole = F.to_json(F.struct(*[c for c in manifests.columns if c not in ("access_token", "extra_headers")]), {"ignoreNullFields": "false"})
     return manifests.select(path.alias("manifest_path"), F.pandas_udf(pretty, "string")(whole).alias("document"))
 
 
+def export_files(spark: SparkSession, run: str, path: str) -> None:
+    """A written run as files for other tools: CSV tables, and a JSON manifest for each job that names them, by namespace and label.
+
+    :func:`load_results` over :func:`read_manifests` of ``manifests/*/*/*`` finds the tables; skipped and failed tiles are JSON lines, where there are any.
+    """
+    manifests, folders = spark.read.parquet(f"{run}/manifests"), ("provider", "run_label")
+    names = {"tile_summary": ("tile_summary_path", outcome.TILE_SUMMARY), "pano_records": ("pano_records_path", outcome.PANO_RECORDS), "feature_records": ("vector_feature_records_path", outcome.FEATURE_RECORDS)}
+    place = F.concat(F.lit("/in_provider="), F.col("provider"), F.lit("/in_run_label="), F.col("run_label"))
+    for name, (key, columns) in names.items():
+        write_csv(spark.read.parquet(f"{run}/{name}"), f"{path}/{name}.csv", columns, folders)
+        manifests = manifests.withColumn(key, F.concat(F.lit(f"{path}/{name}.csv"), place))
+    for name in ("skipped_tiles", "error_tiles"):
+        spark.read.parquet(f"{run}/{name}").write.mode("overwrite").json(f"{path}/{name}")
+    documents = manifest_json(manifests).select(F.split_part("manifest_path", F.lit("/"), F.lit(1)).alias("namespace"), F.split_part("manifest_path", F.lit("/"), F.lit(2)).alias("run_label"), "document")
+    documents.write.mode("overwrite").partitionBy("namespace", "run_label").text(f"{path}/manifests")
+
+
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
