@@ -40,6 +40,7 @@ SPACE = "▁"
 GROUPED_BYTES = 64
 _RADIX, _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), 1 << 18
 _ODD = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD1B54A32D192ED03)]
+_ODD_INTS, _ALL = [int(x) for x in _ODD], (1 << 64) - 1
 
 
 def _model_path(model: str) -> str:
@@ -103,6 +104,7 @@ class CompiledChunks:
             self.weights[i] = -np.log(rank + 2)
         for i in self.single.values():
             self.weights[i] = -np.log(len(self.pieces) + 2)
+        self.odds = np.exp(self.weights)
         self.none, self.longest = n_ids, max(map(len, self.pieces))
         self.byte_ids = np.array([self.single.get(b, n_ids) for b in range(256)])
         self.powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(GROUPED_BYTES + 1, _RADIX))), dtype=np.uint64)
@@ -137,11 +139,12 @@ class CompiledChunks:
         self.cdf, self.log_q = np.empty(self.most_edges), np.empty(self.most_edges, np.float32)
         self.next, self.piece = np.empty(self.most_edges, np.int32), np.empty(self.most_edges, np.uint16)
 
-    def learn(self, chunks: set[bytes]) -> None:
+    def learn(self, chunks: list[bytes]) -> None:
+        """Compile the chunks, each given once, that are not known yet."""
         new = [c for c in chunks if c not in self.known]
         if self.n + 4 * sum(map(len, new)) + 4 * len(new) > self.most_edges:
             self.forget()
-            new = list(chunks)
+            new = chunks
         by_length: dict[int, list[bytes]] = {}
         for c in new:
             by_length.setdefault(len(c) + 1, []).append(c)
@@ -209,11 +212,15 @@ class CompiledChunks:
         return out
 
     def _add(self, length: int, group: list[bytes], edges: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
-        n = len(group)
-        beta = np.full((length + 1, n), -np.inf)
-        beta[length] = 0
+        # Products of up to GROUPED_BYTES weights stay in the range of doubles; sums over longer chunks are taken in log space.
+        n, short = len(group), length <= GROUPED_BYTES
+        beta = np.full((length + 1, n), 0.0 if short else -np.inf)
+        beta[length] = 1 if short else 0
         for i, j, chunk, piece in sorted(edges, key=lambda e: -e[0]):
-            beta[i, chunk] = np.logaddexp(beta[i, chunk], beta[j, chunk] + self.weights[piece])
+            if short:
+                beta[i, chunk] += beta[j, chunk] * self.odds[piece]
+            else:
+                beta[i, chunk] = np.logaddexp(beta[i, chunk], beta[j, chunk] + self.weights[piece])
         degree = np.zeros((n, length + 1), np.int64)
         for i, _, chunk, _ in edges:
             degree[chunk, i] += 1
@@ -224,15 +231,18 @@ class CompiledChunks:
             grow = lambda a: np.concatenate((a, np.empty(self.n + total - len(a), a.dtype)))
             self.cdf, self.log_q, self.next, self.piece = map(grow, (self.cdf, self.log_q, self.next, self.piece))
         begin[:, length] = -1
+        share = np.empty(total)
         for i, j, chunk, piece in edges:
             at = place[chunk, i]
             place[chunk, i] += 1
             with np.errstate(invalid="ignore"):
-                self.log_q[at] = np.minimum(self.weights[piece] + beta[j, chunk] - beta[i, chunk], 0)
+                share[at - self.n] = self.odds[piece] * (beta[j, chunk] / beta[i, chunk]) if short else np.exp(self.weights[piece] + beta[j, chunk] - beta[i, chunk])
             self.next[at] = begin[chunk, j]
             self.piece[at] = piece
         own = slice(self.n, self.n + total)
-        share = np.exp(np.nan_to_num(self.log_q[own].astype(np.float64), nan=-np.inf))
+        share = np.minimum(np.nan_to_num(share, copy=False), 1)  # not a number: where no way leads to the end
+        with np.errstate(divide="ignore"):
+            self.log_q[own] = np.log(share)
         sums = np.cumsum(share)
         first = (begin[:, :length].ravel() - self.n)[degree[:, :length].ravel() > 0]
         cdf = sums - np.repeat(sums[first] - share[first], np.diff(np.append(first, total)))
@@ -253,10 +263,23 @@ def mixed(key: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
     return h
 
 
-def uniform(key: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
+def mixed_one(key: int, *counters: int) -> int:
+    """:func:`mixed` of single numbers."""
+    for c in counters:
+        key = key + (c + 1) * _ODD_INTS[2] & _ALL
+        key = (key ^ key >> 30) * _ODD_INTS[0] & _ALL
+        key = (key ^ key >> 27) * _ODD_INTS[1] & _ALL
+        key ^= key >> 31
+    return key
+
+
+def uniform(key: np.ndarray | int, *counters: np.ndarray | int) -> np.ndarray:
     """Numbers in (0, 1) that depend on the key and the counters alone."""
-    out = ((mixed(key, *counters) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
-    return out if np.ndim(key) or any(map(np.ndim, counters)) else out[0]
+    return ((mixed(key, *counters) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
+
+
+def uniform_one(key: int, *counters: int) -> float:
+    return ((mixed_one(key, *counters) >> 12) + 0.5) / (1 << 52)
 
 
 def _bounds(mass: np.ndarray, most: float, u: np.ndarray) -> np.ndarray:
@@ -274,13 +297,18 @@ class _Path:
 
     def __init__(self, nodes: np.ndarray, edges: np.ndarray, chunk: np.ndarray, log_q: np.ndarray, score: float, key: int, number: int, own_from: int, together_below: float):
         self.nodes, self.edges, self.chunk, self.score, self.key, self.number = nodes, edges, chunk, score, key, number
-        self.before = np.concatenate(([0.0], np.cumsum(log_q)))
-        self.apart = max(own_from, int(np.searchsorted(-self.before[:-1], -together_below)))
+        n, looked = len(edges), 64
+        self.before = np.zeros(n + 1)
+        np.cumsum(log_q, out=self.before[1:])
+        while looked < n and self.before[looked] > together_below:
+            looked *= 4
+        self.apart = max(own_from, int(np.searchsorted(-self.before[:n][: looked + 1], -together_below)))
         self.left_out: dict[int, list[int]] = {}
+        mass = self.before[: self.apart + 1].copy()
         with np.errstate(divide="ignore"):
-            rest = np.log(-np.expm1(self.before[-1] - self.before[self.apart])) if self.apart < len(edges) else -np.inf
-            mass = np.append(self.before[: self.apart] + np.log(-np.expm1(log_q[: self.apart])), self.before[self.apart] + rest)
-        self.bound = _bounds(mass, score, uniform(key, number, np.arange(self.apart + 1), 0, 2))
+            mass[:-1] += np.log(-np.expm1(log_q[: self.apart]))
+            mass[-1] += np.log(-np.expm1(self.before[-1] - self.before[self.apart])) if self.apart < n else -np.inf
+        self.bound = _bounds(mass, score, uniform(mixed_one(key, number, 0, 2), np.arange(self.apart + 1)))
         self.bound[:own_from] = -np.inf
 
     def take_apart(self) -> int:
@@ -290,8 +318,8 @@ class _Path:
             mass = self.before[self.apart : -1] + np.log(-np.expm1(log_q))
         steps = np.arange(self.apart, len(self.edges))
         share = np.cumsum(np.exp(mass - mass.max()))
-        first = min(int(np.searchsorted(share, uniform(self.key, self.number, 3, 0, 6) * share[-1], side="right")), len(steps) - 1)
-        parts = _bounds(mass, score, uniform(self.key, self.number, steps, 0, 7))
+        first = min(int(np.searchsorted(share, uniform_one(self.key, self.number, 3, 6) * share[-1], side="right")), len(steps) - 1)
+        parts = _bounds(mass, score, uniform(mixed_one(self.key, self.number, 0, 7), steps))
         parts[first] = score
         self.bound, self.apart = np.append(np.append(self.bound[:-1], parts), -np.inf), len(self.edges)
         return int(steps[first])
@@ -300,16 +328,18 @@ class _Path:
 def sample_segmentations(table: CompiledChunks, texts: list[str | None], keys: np.ndarray, k: int, together_below: float = -40.0) -> list[list[tuple[float, float, float, np.ndarray]]]:
     """For each text up to ``k`` (perturbed score, log probability, log inclusion score, ids), best first."""
     chunks = [chunks_of(t) for t in texts]
-    table.learn(set().union(*chunks))
+    coded = pa.array([c for own in chunks for c in own], pa.binary()).dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    table.learn(distinct)
     counts = np.array([len(c) for c in chunks], np.int64)
     begin = np.concatenate(([0], np.cumsum(counts)))
-    start = np.array([s for own in chunks for s in map(table.known.__getitem__, own)], np.int64)
+    start = np.fromiter(map(table.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
     doc = np.repeat(np.arange(len(texts)), counts)
     place = np.arange(begin[-1]) - begin[doc]
 
     def draw(number: int, at: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Walk the chunks ``at`` from their states to their ends: chunk, node and edge of each step, by chunk."""
-        seen, step, own = [], 0, mixed(keys[doc[at]], number, 1, place[at])
+        seen, step, own = [], 0, mixed(mixed(keys, number, 1)[doc[at]], place[at])
         while len(at):
             u = uniform(own, step)
             edge = state.copy()
@@ -329,7 +359,7 @@ def sample_segmentations(table: CompiledChunks, texts: list[str | None], keys: n
 
     chunk, node, edge = draw(0, np.arange(begin[-1]), start)
     cut = np.searchsorted(chunk, begin)
-    first = -np.log(-np.log(uniform(keys, 0, 0, 0, 3)))
+    first = -np.log(-np.log(uniform(keys, 0, 0, 3)))
     paths = [
         [_Path(node[a:b], edge[a:b], chunk[a:b], table.log_q[edge[a:b]].astype(np.float64), float(first[d]), int(keys[d]), 0, 0, together_below)]
         for d, (a, b) in enumerate(zip(cut, cut[1:]))
@@ -391,13 +421,13 @@ def _leave(table: CompiledChunks, path: _Path, step: int, key: int, number: int,
     gone = path.left_out.setdefault(step, [int(path.edges[step])])
     open_ = [e for e in edges if e not in gone]
     q = np.exp(table.log_q[open_].astype(np.float64))
-    u = float(uniform(key, number, step, 1, 4))
+    u = uniform_one(key, number, step, 1, 4)
     new = open_[min(int(np.searchsorted(np.cumsum(q), u * q.sum(), side="right")), len(open_) - 1)]
     gone.append(new)
     rest = q.sum() - np.exp(float(table.log_q[new])) if len(open_) > 1 else 0.0
     path.bound[step] = -np.inf
     if rest > 0:
-        path.bound[step] = _bounds(path.before[step] + np.log(rest), score, uniform(key, number, step, 2, 5))
+        path.bound[step] = _bounds(path.before[step] + np.log(rest), score, uniform_one(key, number, step, 2, 5))
     return new
 
 
@@ -425,7 +455,7 @@ def sample_encodings(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("long"), F.lit(seed)).alias("key"))
     names = ["doc_id", "sample_no", "perturbed", "log_prob", "log_inclusion", "n_ids", "ids_crc32"] + ["ids"] * with_ids
-    types = [pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    types = [pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _compiled(model)
@@ -440,9 +470,12 @@ def sample_encodings(
                 out: list[tuple] = []
                 for doc_id, own in zip(part.column(0).to_pylist(), sampled):
                     for n, (score, log_prob, inclusion, ids) in enumerate(own):
-                        row = (doc_id, n + 1, score, log_prob, inclusion, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
-                        out.append((*row, ids.astype(np.int32)) if with_ids else row)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                        out.append((doc_id, n + 1, score, log_prob, inclusion, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+                if with_ids:
+                    stops = np.cumsum([0] + [len(row[3]) for own in sampled for row in own], dtype=np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate([row[3] for own in sampled for row in own]).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, sample_no int, perturbed double, log_prob double, log_inclusion double, n_ids long, ids_crc32 long"
     return rows.mapInArrow(releasing(work), schema + ", ids array<int>" * with_ids)
