@@ -25,6 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from tilewright.llm.workers import releasing
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 GROUPED_BYTES = 64
+#: Bytes of text whose chunks are compiled together, and that are sampled together.
+LEARNED_AT_ONCE, SAMPLED_AT_ONCE = 8 << 20, 2 << 20
 _RADIX, _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), 1 << 18
 _ODD = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD1B54A32D192ED03)]
 _ODD_INTS, _ALL = [int(x) for x in _ODD], (1 << 64) - 1
@@ -96,7 +99,7 @@ class CompiledChunks:
     the next node (-1: the chunk ends) and the id.
     """
 
-    def __init__(self, model: str, most_edges: int = 15_000_000):
+    def __init__(self, model: str, most_edges: int = 12_000_000):
         self.pieces, self.single = read_vocabulary(model)
         n_ids = max([*self.pieces.values(), *self.single.values()]) + 1
         self.weights = np.full(n_ids + 1, -np.inf)
@@ -325,16 +328,29 @@ class _Path:
         return int(steps[first])
 
 
-def sample_segmentations(table: CompiledChunks, texts: list[str | None], keys: np.ndarray, k: int, together_below: float = -40.0) -> list[list[tuple[float, float, float, np.ndarray]]]:
-    """For each text up to ``k`` (perturbed score, log probability, log inclusion score, ids), best first."""
+Chunked = tuple[np.ndarray, np.ndarray, list[bytes]]
+
+
+def chunked(texts: list[str | None]) -> Chunked:
+    """How many chunks each text has, each chunk's place among the distinct ones, and those."""
     chunks = [chunks_of(t) for t in texts]
-    coded = pa.array([c for own in chunks for c in own], pa.binary()).dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    table.learn(distinct)
-    counts = np.array([len(c) for c in chunks], np.int64)
+    coded = pa.array(chain.from_iterable(chunks), pa.binary()).dictionary_encode()
+    return np.array([len(c) for c in chunks], np.int64), coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def sample_segmentations(
+    table: CompiledChunks, texts: list[str | None], keys: np.ndarray, k: int, together_below: float = -40.0, cut: Chunked | None = None
+) -> list[list[tuple[float, float, float, np.ndarray]]]:
+    """For each text up to ``k`` (perturbed score, log probability, log inclusion score, ids), best first.
+
+    ``cut``: the texts as :func:`chunked`, if the table knows the chunks already.
+    """
+    counts, codes, distinct = cut or chunked(texts)
+    if cut is None:
+        table.learn(distinct)
     begin = np.concatenate(([0], np.cumsum(counts)))
-    start = np.fromiter(map(table.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
-    doc = np.repeat(np.arange(len(texts)), counts)
+    start = np.fromiter(map(table.known.__getitem__, distinct), np.int64, len(distinct))[codes]
+    doc = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(begin[-1]) - begin[doc]
 
     def draw(number: int, at: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -460,22 +476,32 @@ def sample_encodings(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _compiled(model)
         for batch in batches:
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy() + 64)
-            first = 0
-            while first < batch.num_rows:  # about 2 MB of text at once
-                last = int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + (2 << 20))) + 1
-                part, first = batch.slice(first, last - first), last
-                keys = part.column(2).to_numpy().astype(np.int64).view(np.uint64)
-                sampled = sample_segmentations(table, part.column(1).to_pylist(), keys, k)
-                out: list[tuple] = []
-                for doc_id, own in zip(part.column(0).to_pylist(), sampled):
-                    for n, (score, log_prob, inclusion, ids) in enumerate(own):
-                        out.append((doc_id, n + 1, score, log_prob, inclusion, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
-                if with_ids:
-                    stops = np.cumsum([0] + [len(row[3]) for own in sampled for row in own], dtype=np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate([row[3] for own in sampled for row in own]).astype(np.int32))))
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for large in parts_of(batch, LEARNED_AT_ONCE):
+                parts = list(parts_of(large, SAMPLED_AT_ONCE))
+                cuts = [chunked(p.column(1).to_pylist()) for p in parts]
+                table.learn(list(set().union(*(distinct for _, _, distinct in cuts))))
+                for part, cut in zip(parts, cuts):
+                    keys = part.column(2).to_numpy().astype(np.int64).view(np.uint64)
+                    yield rows_of(part.column(0).to_pylist(), sample_segmentations(table, [], keys, k, cut=cut))
+
+    def parts_of(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy() + 64)
+        first = 0
+        while first < batch.num_rows:
+            last = int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + size)) + 1
+            yield batch.slice(first, last - first)
+            first = last
+
+    def rows_of(ids: list[int], sampled: list[list[tuple]]) -> pa.RecordBatch:
+        out = []
+        for doc_id, own in zip(ids, sampled):
+            for n, (score, log_prob, inclusion, found) in enumerate(own):
+                out.append((doc_id, n + 1, score, log_prob, inclusion, len(found), zlib.crc32(found.astype("<u4").tobytes())))
+        columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+        if with_ids:
+            stops = np.cumsum([0] + [len(row[3]) for own in sampled for row in own], dtype=np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate([row[3] for own in sampled for row in own]).astype(np.int32))))
+        return pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, sample_no int, perturbed double, log_prob double, log_inclusion double, n_ids long, ids_crc32 long"
     return rows.mapInArrow(releasing(work), schema + ", ids array<int>" * with_ids)
