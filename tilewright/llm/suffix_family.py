@@ -196,7 +196,7 @@ class SlotBytes:
         self.doc = np.searchsorted(self.firsts, self.anchors, side="right") - 1
         last = np.minimum(np.append(begins[1:], NO_LEAST) - 1, self.firsts[self.doc + 1] - length)
         self.high, self.low = self.anchors - begins, self.anchors - last
-        self.hashes = grams(self.data, self.anchors, gram)
+        self.hashes = mix(grams(self.data, self.anchors, gram))  # anchors have small hashes; mixed, they spread over the buckets
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes of the leading bytes, each anchor's among them, and which this slot has under two ids."""
@@ -338,7 +338,7 @@ def remove_repeated_bytes(
             yield to_batch(list(runs_of(slot, hashes, coarse, [rows, least])))
 
     def hash_of(values: list[np.ndarray]) -> np.ndarray:
-        return grams(np.concatenate([values[0][:, :gram].ravel(), np.zeros(_PAD, np.uint8)]), np.arange(len(values[0])) * gram, gram)
+        return mix(grams(np.concatenate([values[0][:, :gram].ravel(), np.zeros(_PAD, np.uint8)]), np.arange(len(values[0])) * gram, gram))
 
     answers, levels, sizes = [], [], []
     batch_no = (F.shiftright("slot", 24) + F.col("slot").bitwiseAND(F.lit((1 << 24) - 1))) % n_batches
