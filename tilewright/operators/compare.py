@@ -125,6 +125,11 @@ def paired_tiles(left: DataFrame, right: DataFrame) -> DataFrame:
     return pair(left, "left_sha256").join(pair(right, "right_sha256"), keys).withColumn("same", F.col("left_sha256").eqNullSafe(F.col("right_sha256")))
 
 
+def shared_tiles(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Tiles of the first run that the second has too."""
+    return left.join(right, ["source_id", "source_zoom", "x", "y"], "left_semi")
+
+
 def missing_tiles(planned: DataFrame, stored: DataFrame) -> DataFrame:
     """Planned tiles that are not stored yet, for resuming a run."""
     return planned.join(stored, ["source_id", "source_zoom", "x", "y"], "left_anti")
