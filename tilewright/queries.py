@@ -140,7 +140,10 @@ def _offset_points(spark, sf_dir):
     return _read(spark, sf_dir, "supplier").select(k.alias("k"), (k * 7919 % 700000 / F.lit(1e4) + 70).alias("lon"), (k * 104729 % 700000 / F.lit(1e4) - 10).alias("lat"))
 
 
-def _gcj_sql() -> str:
+_CHINA_SQL = f"SELECT s_suppkey AS k, {_CHINA} FROM supplier"
+
+
+def _gcj_sql(points: str = _CHINA_SQL) -> str:
     wave = lambda terms: "(" + " + ".join(f"{a} * sin({e} * pi())" for a, e in terms) + ") * 2 / 3"
     shared = wave([(20.0, "6 * u"), (20.0, "2 * u")])
     dlat = f"(-100 + 2 * u + 3 * v + 0.2 * v * v + 0.1 * u * v + 0.2 * sqrt(abs(u)) + {shared} + {wave([(20.0, 'v'), (40.0, 'v / 3')])} + {wave([(160.0, 'v / 12'), (320.0, 'v / 30')])})"
@@ -150,16 +153,16 @@ def _gcj_sql() -> str:
                       CASE WHEN inside THEN lat + {dlat} * 180 / ({a} * (1 - {e2}) / (w * sqrt(w)) * pi()) ELSE lat END AS lat
                FROM (SELECT k, lon, lat, lon - 105 AS u, lat - 35 AS v, 1 - {e2} * sin(radians(lat)) * sin(radians(lat)) AS w,
                             lon BETWEEN 72.004 AND 137.8347 AND lat BETWEEN 0.8293 AND 55.8271 AS inside
-                     FROM (SELECT s_suppkey AS k, {_CHINA} FROM supplier))"""
+                     FROM ({points}))"""
 
 
-def _bd_sql() -> str:
+def _bd_sql(points: str = _CHINA_SQL) -> str:
     turn = "(pi() * 3000 / 180)"
     return f"""SELECT k, r * cos(t) + 0.0065 AS lon, r * sin(t) + 0.006 AS lat
-               FROM (SELECT k, sqrt(lon * lon + lat * lat) + 0.00002 * sin(lat * {turn}) AS r, atan2(lat, lon) + 0.000003 * cos(lon * {turn}) AS t FROM ({_gcj_sql()}))"""
+               FROM (SELECT k, sqrt(lon * lon + lat * lat) + 0.00002 * sin(lat * {turn}) AS r, atan2(lat, lon) + 0.000003 * cos(lon * {turn}) AS t FROM ({_gcj_sql(points)}))"""
 
 
-def _mercator_sql() -> str:
+def _mercator_sql(points: str = _CHINA_SQL) -> str:
     def axis(k: int) -> str:
         cases = []
         for band, c in zip((75, 60, 45, 30, 15, -1000), grid.BAND_COEFFICIENTS):
@@ -172,7 +175,7 @@ def _mercator_sql() -> str:
             cases.append(f"WHEN lat >= {band} THEN {value}")
         return f"CASE {' '.join(cases)} END"
 
-    return f"SELECT k, {axis(0)} AS x, {axis(1)} AS y FROM (SELECT k, lon, greatest(least(lat, 74), -74) AS lat FROM ({_bd_sql()}))"
+    return f"SELECT k, {axis(0)} AS x, {axis(1)} AS y FROM (SELECT k, lon, greatest(least(lat, 74), -74) AS lat FROM ({_bd_sql(points)}))"
 
 
 @query(f"SELECT k, round(lon, 7) AS lon, round(lat, 7) AS lat FROM ({_gcj_sql()})")
@@ -205,13 +208,13 @@ def baidu_tile(spark, sf_dir):
     return _offset_points(spark, sf_dir).select("k", x.alias("x"), y.alias("y"))
 
 
-_BOX = "(n_nationkey * 7919) % 1200 / 1e1 - 60 AS w, (n_nationkey * 104729) % 1000 / 1e1 - 50 AS s"
+_BOX = "(n_nationkey * 7919) % 1200 / 1e1 - 60 + CASE WHEN n_nationkey % 3 = 2 THEN 100 ELSE 0 END AS w, (n_nationkey * 104729) % 1000 / 1e1 - 50 AS s"
 _BOXES_SQL = f"SELECT CAST(n_nationkey AS BIGINT) AS k, w, s, w + 0.5 + n_nationkey / 1e1 AS e, s + 0.25 + n_nationkey / 1e2 AS n FROM (SELECT n_nationkey, {_BOX} FROM nation)"
 
 
 def _boxes(spark, sf_dir):
     k = F.col("n_nationkey").cast("long")
-    df = _read(spark, sf_dir, "nation").select(k.alias("k"), (k * 7919 % 1200 / F.lit(1e1) - 60).alias("w"), (k * 104729 % 1000 / F.lit(1e1) - 50).alias("s"))
+    df = _read(spark, sf_dir, "nation").select(k.alias("k"), (k * 7919 % 1200 / F.lit(1e1) - 60 + F.when(k % 3 == 2, 100).otherwise(0)).alias("w"), (k * 104729 % 1000 / F.lit(1e1) - 50).alias("s"))
     e, n = F.col("w") + 0.5 + F.col("k") / F.lit(1e1), F.col("s") + 0.25 + F.col("k") / F.lit(1e2)
     return df.select("k", F.struct(F.col("w").alias("min_lon"), F.col("s").alias("min_lat"), e.alias("max_lon"), n.alias("max_lat")).alias("bbox"))
 
@@ -219,13 +222,16 @@ def _boxes(spark, sf_dir):
 def _range_sql(z: str) -> str:
     (xw, yn), (xe, ys) = _tile_sql("w", "n", z), _tile_sql("e", "s", z)
     (fw, fn), (fe, fs) = _elliptic_tile_sql("w", "n", z), _elliptic_tile_sql("e", "s", z)
-    pick = lambda f, a, b, c, d: f"CASE WHEN k % 2 = 1 THEN {f}({c}, {d}) ELSE {f}({a}, {b}) END"
-    return f"SELECT k, {pick('least', xw, xe, fw, fe)} AS x_min, {pick('greatest', xw, xe, fw, fe)} AS x_max, {pick('least', yn, ys, fn, fs)} AS y_min, {pick('greatest', yn, ys, fn, fs)} AS y_max FROM ({_BOXES_SQL})"
+    pick = lambda f, a, b, c, d: f"CASE WHEN k % 3 = 1 THEN {f}({c}, {d}) ELSE {f}({a}, {b}) END"
+    near = f"SELECT k, {pick('least', xw, xe, fw, fe)} AS x_min, {pick('greatest', xw, xe, fw, fe)} AS x_max, {pick('least', yn, ys, fn, fs)} AS y_min, {pick('greatest', yn, ys, fn, fs)} AS y_max FROM ({_BOXES_SQL}) WHERE k % 3 <> 2"
+    corners = f"SELECT k, unnest([w, w, e, e]) AS lon, unnest([s, n, s, n]) AS lat FROM ({_BOXES_SQL}) WHERE k % 3 = 2"
+    x, y = (f"CAST(floor({c} / (256 * pow(2.0, 18 - {z}))) AS BIGINT)" for c in "xy")
+    return f"{near} UNION ALL SELECT k, min({x}), max({x}), min({y}), max({y}) FROM ({_mercator_sql(corners)}) GROUP BY k"
 
 
 @query(f"SELECT *, (x_max - x_min + 1) * (y_max - y_min + 1) AS tile_count FROM ({_range_sql('9')})")
 def bbox_tile_range(spark, sf_dir):
-    scheme = F.when(F.col("k") % 2 == 1, grid.ELLIPTIC).otherwise(grid.WEB_MERCATOR)
+    scheme = F.when(F.col("k") % 3 == 1, grid.ELLIPTIC).when(F.col("k") % 3 == 2, grid.BAIDU).otherwise(grid.WEB_MERCATOR)
     df = _boxes(spark, sf_dir).withColumn("r", grid.tile_range(F.col("bbox"), F.lit(9), scheme))
     return df.select("k", "r.*", grid.tile_count(F.col("r")).alias("tile_count"))
 
@@ -339,22 +345,23 @@ def _lineitem_tiles(spark, sf_dir):
     q = F.col("l_quantity").cast("long")
     state = F.when(F.col("l_returnflag") == "R", "skipped").when(F.col("l_linestatus") == "F", "error").otherwise("fetched")
     reason = F.when(F.col("l_returnflag") == "R", F.when(F.col("l_linenumber") % 2 == 0, "http_404").otherwise("content_type_mismatch"))
-    return _read(spark, sf_dir, "lineitem").where(F.col("l_suppkey") % 3 != 0).select(
+    return _read(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("request_id"), F.lit(0).alias("job_index"), state.alias("outcome"), reason.alias("reason"), q.alias("pano_count"), (q * 2).alias("feature_count"),
         q.alias("coverage_pixel_count"), F.lit(100).cast("long").alias("total_pixel_count"), (q % 2 == 0).alias("is_empty"),
     )
 
 
 @query(
-    """WITH t AS (SELECT l_suppkey AS k, CASE WHEN l_returnflag = 'R' THEN 'skipped' WHEN l_linestatus = 'F' THEN 'error' ELSE 'fetched' END AS o, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS q FROM lineitem WHERE l_suppkey % 3 <> 0)
-       SELECT s_suppkey AS request_id, 0 AS job_index, count(*) FILTER (o = 'fetched') AS tile_count, count(*) FILTER (o = 'skipped') AS skipped_404_count,
+    """WITH t AS (SELECT l_suppkey AS k, CASE WHEN l_returnflag = 'R' THEN 'skipped' WHEN l_linestatus = 'F' THEN 'error' ELSE 'fetched' END AS o, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+            j AS (SELECT s_suppkey, i FROM supplier, (VALUES (0), (1)) AS n(i))
+       SELECT s_suppkey AS request_id, i AS job_index, count(*) FILTER (o = 'fetched') AS tile_count, count(*) FILTER (o = 'skipped') AS skipped_404_count,
               count(*) FILTER (o = 'skipped' AND n % 2 = 0) AS http_404_count, count(*) FILTER (o = 'error') AS error_count,
               coalesce(sum(q) FILTER (o = 'fetched'), 0)::BIGINT AS pano_record_count, coalesce(sum(2 * q) FILTER (o = 'fetched'), 0)::BIGINT AS vector_feature_record_count,
               (sum(q) FILTER (o = 'fetched'))::DOUBLE / (sum(100) FILTER (o = 'fetched')) AS aggregate_coverage_ratio, count(*) FILTER (o = 'fetched' AND q % 2 = 0) AS empty_tile_count
-       FROM supplier LEFT JOIN t ON s_suppkey = k GROUP BY s_suppkey"""
+       FROM j LEFT JOIN t ON s_suppkey = k AND i = 0 GROUP BY s_suppkey, i"""
 )
 def manifest_zero_tile_jobs(spark, sf_dir):
-    jobs = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("request_id"), F.lit(0).alias("job_index"))
+    jobs = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("request_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("job_index"))
     columns = ["request_id", "job_index", "tile_count", "skipped_404_count", "http_404_count", "error_count", "pano_record_count", "vector_feature_record_count", "aggregate_coverage_ratio", "empty_tile_count"]
     return metrics.manifests(jobs, _lineitem_tiles(spark, sf_dir)).select(*columns)
 
