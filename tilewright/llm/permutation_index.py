@@ -1,14 +1,15 @@
 """Approximate nearest neighbours by a permutation index.
 
-A bounded set of pivots is drawn from the vectors. Each vector is represented by
+For each length of vectors, a bounded set of pivots is drawn from the distinct ones. Each vector is represented by
 the order in which it sees the pivots (nearest first) and posted in the inverted
 files of its nearest pivots. A query reads the files of its own nearest pivots,
 ranks what it finds there by the footrule distance between the two pivot orders,
-and reranks the best by the exact cosine.
+and reranks the best share by the exact cosine.
 
 Files and the queries that read them are cut into blocks of bounded size, so a
-file that holds a third of all vectors is many tasks, each of which ranks its
-own best; no candidate is left out for being in a long file.
+file that holds a third of all vectors is many tasks; no candidate is left out for being in a long file. As the best
+share of each block is reranked, not a number, what is found does not depend on how many blocks there are.
+Vectors are posted with their files: the pairs that are reranked would fetch each vector more often than the files hold it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilewright.llm.scratch import stage
 
@@ -24,12 +26,29 @@ FOUND = "query_id long, vec_id long, score double"
 
 
 def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, v``: rows with an id and a finite, non-zero vector of the table's most common length."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    """``vec_id, v, dim``: rows with an id and a vector that is finite and not zero. Floats stay floats, other numbers become doubles."""
+    floats = isinstance(vectors.schema[vector_col].dataType, T.ArrayType) and isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    v = F.col(vector_col) if floats else F.col(vector_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
     bad: Column = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(~bad & F.exists("v", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0]["size"] if sizes else 0))
+    return rows.withColumn("dim", F.size("v"))
+
+
+def draw_pivots(good: DataFrame, n_pivots: int) -> dict[int, np.ndarray]:
+    """At most ``n_pivots`` distinct vectors of each length, of length 1, drawn by hash; about twice as many reach the driver."""
+    kinds = good.groupBy("dim").agg(F.approx_count_distinct(F.xxhash64("v")).alias("n")).collect()
+    if not kinds:
+        return {}
+    share = F.create_map(*[F.lit(x) for r in kinds for x in (r["dim"], min(1.0, 2 * n_pivots / r["n"]) if r["n"] > n_pivots else 1.0)])
+    place = F.xxhash64("v").cast("double") / 2.0**64 + 0.5
+    drawn = good.where(place <= F.element_at(share, F.col("dim"))).select("dim", "v").distinct().withColumn("place", place).collect()
+    out: dict[int, list] = {}
+    for r in sorted(drawn, key=lambda r: (r["place"], r["v"])):
+        own = out.setdefault(r["dim"], [])
+        if len(own) < n_pivots:
+            own.append(r["v"])
+    return {dim: _unit(np.array(own, np.float64)) for dim, own in out.items()}
 
 
 def pivot_order(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -55,92 +74,88 @@ def permutation_search(
     vector_col: str = "embedding",
     k: int = 5,
     n_pivots: int = 256,
-    post_in: int = 8,
-    read_from: int = 32,
-    rerank: int = 256,
+    post_in: int = 4,
+    read_from: int = 64,
+    rerank_share: float = 0.1,
+    rerank_least: int = 64,
     block_rows: int = 8192,
 ) -> DataFrame:
     """The ``k`` nearest vectors found for each row with ``is_query``: ``query_id, rank, vec_id, score``.
 
-    ``n_pivots`` bounds the sample the index is fitted on; every vector is
-    posted. ``rerank`` candidates of each block of a file that a query reads are
-    scored. A query that finds fewer than ``k`` reads all files. Ties go to the
-    smaller id. Null ids, null or zero vectors, vectors with null or non-finite
-    components and those of another length than most take no part. A row is never
+    ``n_pivots`` bounds the sample the index is fitted on, for each length of vectors; every vector is
+    posted. ``rerank_share`` of what a query finds in a block of a file, ``rerank_least`` at least, is
+    scored. With ``read_from`` equal to ``n_pivots`` and a share of 1 the search is exact. A query that finds fewer than ``k`` reads all files. Ties go to the
+    smaller id. Null ids, null or zero vectors and vectors with null or non-finite
+    components take no part; vectors of different lengths have no cosine and never meet. A row is never
     its own neighbour, nor is another row with its id; where an id is repeated, its
     best score counts. Other columns serve only in ``is_query``. An empty table
     gives no rows.
     """
-    spark = vectors.sparkSession
     good = usable_vectors(vectors, id_col, vector_col)
     asked = vectors.where(F.coalesce(is_query, F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id")).distinct()
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()
-    if not sample:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    pivots = _unit(np.array([r["v"] for r in sample], np.float64))
+    pivots = draw_pivots(good, n_pivots)
 
     def post(batches):
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
-                part = batch.slice(first, 1024)
-                m = np.array(part.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(part.num_rows, -1)
-                order = pivot_order(_unit(m), pivots)[:, :read_from]
-                files = pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), files], ["vec_id", "v", "files"])
-
-    index = stage(good.mapInArrow(post, "vec_id long, v array<double>, files array<int>"), "permutations")
+                part = pa.Table.from_batches([batch.slice(first, 1024)])
+                for dim in set(part["dim"].to_pylist()):
+                    own = part.filter(pa.compute.equal(part["dim"], dim))
+                    order = pivot_order(_unit(_matrix(own["v"], dim)), pivots[dim])[:, :read_from]
+                    files = pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))
+                    yield from own.append_column("files", files).combine_chunks().to_batches()
+
+    index = stage(good.mapInArrow(post, T.StructType([*good.schema.fields, T.StructField("files", T.ArrayType(T.IntegerType()))])), "permutations")
     queries = stage(index.join(asked, "vec_id", "left_semi"), "queries")
-    found = stage(_read_files(index, queries, F.slice("files", 1, read_from), pivots, post_in, read_from, k, rerank, block_rows), "found")
-    n_others = index.select("vec_id").distinct().limit(k + 1).count() - 1
+    settings = (pivots, post_in, k, rerank_share, rerank_least, block_rows)
+    found = stage(_read_files(index, queries, F.col("files"), *settings), "found")
     per_query = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n"))
-    short = queries.join(per_query.where(F.col("n") >= min(k, n_others)), F.col("vec_id") == F.col("query_id"), "left_anti")
-    short = stage(short, "short-queries")
+    short = stage(queries.join(per_query.where(F.col("n") >= k), F.col("vec_id") == F.col("query_id"), "left_anti"), "short-queries")
     if not short.isEmpty():
-        every = F.array(*[F.lit(i) for i in range(len(pivots))])
-        found = found.union(_read_files(index, short, every, pivots, post_in, len(pivots), k, rerank, block_rows))
+        every = F.create_map(*[x for dim, p in pivots.items() for x in (F.lit(dim), F.lit(len(p)))])
+        found = found.union(_read_files(index, short, F.sequence(F.lit(0), F.element_at(every, F.col("dim")) - 1), *settings))
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _matrix(v: pa.ChunkedArray, dim: int) -> np.ndarray:
+    return np.array(v.combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
+
+
 def _read_files(
-    index: DataFrame, queries: DataFrame, files: Column, pivots: np.ndarray, post_in: int, read_from: int, k: int, rerank: int, block_rows: int
+    index: DataFrame, queries: DataFrame, files: Column, pivots: dict[int, np.ndarray], post_in: int, k: int, share: float, least: int, block_rows: int
 ) -> DataFrame:
     """The ``k`` best of each query in each block of each file it reads; a pair is judged in the first file of the query's that holds it."""
-    posted = index.select("vec_id", "v", F.explode(F.slice("files", 1, post_in)).alias("file"))
-    asking = queries.select("vec_id", "v", F.explode(files).alias("file"))
-    n_posted = dict(posted.groupBy("file").count().collect())  # a row for each pivot, at most
-    n_asking = dict(asking.groupBy("file").count().collect())
-    parts = {p: (-(-n_posted.get(p, 0) // block_rows), -(-n_asking.get(p, 0) // block_rows)) for p in range(len(pivots))}
-    n_rows, n_cols = (F.array(*[F.lit(max(1, parts[p][i])) for p in range(len(pivots))]) for i in (0, 1))
-    own = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.element_at(n, F.col("file") + 1)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.element_at(n, F.col("file") + 1) - 1))
-    posted = posted.withColumn("row_block", own(n_rows)).withColumn("query_block", each(n_cols))
-    asking = asking.withColumn("query_block", own(n_cols)).withColumn("row_block", each(n_rows))
+    posted = index.select("vec_id", "v", "dim", F.explode(F.slice("files", 1, post_in)).alias("file"))
+    asking = queries.select("vec_id", "v", "dim", F.explode(files).alias("file"))
+    # A row for each pivot at most, as pivots are few for each length.
+    blocks = lambda rows, name: rows.groupBy("dim", "file").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
+    parts = stage(blocks(posted, "n_rows").join(blocks(asking, "n_cols"), ["dim", "file"]), "blocks")
+    own = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    posted = posted.join(parts, ["dim", "file"]).withColumns({"row_block": own("n_rows"), "query_block": each("n_cols")}).drop("n_rows", "n_cols")
+    asking = asking.join(parts.toDF(*parts.columns), ["dim", "file"]).withColumns({"query_block": own("n_cols"), "row_block": each("n_rows")}).drop("n_rows", "n_cols")
 
     def search(key, asking: pa.Table, posted: pa.Table) -> pa.Table:
-        file, out = key[0].as_py(), []
+        dim, file, out = key[0].as_py(), key[1].as_py(), []
         if asking.num_rows and posted.num_rows:
             posted = posted.sort_by("vec_id")
-            ids, v = posted["vec_id"].to_numpy(), np.array(posted["v"].combine_chunks().flatten()).reshape(posted.num_rows, -1)
-            unit = _unit(v)
-            order = pivot_order(unit, pivots)
-            ranks = ranks_of(order)
-            held = np.zeros(ranks.shape, bool)
-            np.put_along_axis(held, order[:, :post_in], True, axis=1)
-            q = _unit(np.array(asking["v"].combine_chunks().flatten()).reshape(asking.num_rows, -1))
-            q_order = pivot_order(q, pivots)
-            for query_id, u, o, r in zip(asking["vec_id"].to_pylist(), q, q_order, ranks_of(q_order)):
-                before = o[: r[file]]
-                mine = np.flatnonzero(~held[:, before].any(axis=1) & (ids != query_id))
-                footrule = np.abs(ranks[mine] - r).sum(axis=1, dtype=np.int64)
-                if len(mine) > rerank:
-                    mine = mine[np.argpartition(footrule * len(ids) + mine, rerank - 1)[:rerank]]
+            ids, unit = posted["vec_id"].to_numpy(), _unit(_matrix(posted["v"], dim))
+            order = pivot_order(unit, pivots[dim])
+            ranks, held = ranks_of(order), order[:, :post_in]
+            q = _unit(_matrix(asking["v"], dim))
+            for query_id, u, r in zip(asking["vec_id"].to_pylist(), q, ranks_of(pivot_order(q, pivots[dim]))):
+                mine = np.flatnonzero((r[held].min(axis=1) == r[file]) & (ids != query_id))
+                n = max(least, int(np.ceil(share * len(mine))))
+                if len(mine) > n:
+                    footrule = np.abs(ranks[mine] - r).sum(axis=1, dtype=np.int64)
+                    mine = mine[np.argpartition(footrule * len(ids) + mine, n - 1)[:n]]
                 score = (unit[mine] * u).sum(axis=1)
                 top = np.lexsort((ids[mine], -score))[:k]
                 out += [(query_id, ids[mine[t]], score[t]) for t in top]
         columns = list(zip(*out)) if out else [(), (), ()]
         return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
 
-    keys = ["file", "row_block", "query_block"]
+    keys = ["dim", "file", "row_block", "query_block"]
     return asking.groupBy(*keys).cogroup(posted.groupBy(*keys)).applyInArrow(search, FOUND)
