@@ -163,6 +163,47 @@ def test_scores_of_documents(docs, rows, empty):
     assert subword_lm.score_documents(empty, fold).count() == 0
 
 
+def test_score_is_the_model_by_brute_force(spark):
+    """Discounted counts, three rounds of expectation maximisation and the sum over all spellings, over small words."""
+    rng = random.Random(6)
+    kinds = ["".join(rng.choices("abcdé", k=rng.randint(1, 5))) for _ in range(30)] + ["x" * 60]
+    texts = {i: " ".join(rng.choices(kinds, k=rng.randint(0, 12))) for i in range(60)}
+    held = {i: i % 4 == 0 for i in texts}
+    texts[0] += " onlyhere A"
+    pieces = subword_lm.read_pieces()
+    number = {p: n for n, p in enumerate(pieces)}
+
+    def sums(word, weights):
+        """The sum over all spellings, and each piece's expected number of uses."""
+        n, alpha = len(word), [1.0] + [0.0] * len(word)
+        edges = [(i, j, number[k]) for j in range(1, n + 1) for i in range(j) if (k := (word[i:j], j == n)) in number]
+        for i, j, p in edges:
+            alpha[j] += alpha[i] * weights[p]
+        beta = [0.0] * n + [1.0]
+        for i, j, p in sorted(edges, key=lambda e: -e[0]):
+            beta[i] += weights[p] * beta[j]
+        return alpha[n], [(p, alpha[i] * weights[p] * beta[j] / alpha[n]) for i, j, p in edges]
+
+    counts = Counter(w for i, t in texts.items() if not held[i] for w in t.lower().encode().split())
+    n_docs = sum(not h for h in held.values())
+    n_train = counts.total() + n_docs
+    once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+    discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+    weights = 1 / (2.0 + np.arange(len(pieces)))
+    weights /= weights.sum()
+    for _ in range(3):
+        new = np.full(len(pieces), 0.1)
+        for w in counts:
+            for p, share in sums(w, weights)[1]:
+                new[p] += share
+        weights = new / new.sum()
+    score = lambda w: np.log10((max(0, counts[w] - discount) if counts[w] else 0) / n_train + discount * len(counts) / n_train * sums(w, weights)[0])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    for r in subword_lm.score_documents(docs, F.col("doc_id") % 4 == 0).collect():
+        expected = sum(score(w) for w in texts[r["doc_id"]].lower().encode().split()) + np.log10(n_docs / n_train)
+        assert r["score"] == pytest.approx(expected, rel=1e-9)
+
+
 def test_scores_without_training_rows(spark):
     found = subword_lm.score_documents(frame(spark, [(1, "a b"), (None, None), (1, "a b")]), F.lit(True)).collect()
     assert len(found) == 3 and all(r["train_tokens"] == 0 and r["n_known"] == 0 and np.isfinite(r["score"]) for r in found)
@@ -430,6 +471,34 @@ def test_codewords_differ_in_several_bits(n):
     assert least >= (1 if n == 2 else 4)
 
 
+def test_language_decoding_by_brute_force(spark):
+    """The least trusted logistic loss over all codewords, its share, and the flag, computed bit by bit."""
+    rng, names = np.random.default_rng(2), [f"l{i}" for i in range(7)]
+    code = language_id.codewords(7)
+    bits = code.shape[1]
+    trust = rng.random(bits)
+    model = language_id.LanguageModel(names, code, rng.standard_normal((language_id.DIMS, bits)), rng.standard_normal(bits), trust / trust.sum())
+    texts = [(i, t) for i, t in enumerate(["abc", "Ünder the sea", "x", "1 2 3", None, "", "the " * 500, "ab ab ba", "zz top"])] + [(7, "ab ab ba"), (None, "abc")]
+    found = language_id.identify_language(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    assert len(found) == len(texts)
+    for (i, text), r in zip(sorted(texts, key=str), sorted(found, key=lambda r: str((r["doc_id"], dict(texts).get(r["doc_id"]))))):
+        assert r["doc_id"] == i
+        if not text or not any(map(str.isalpha, text)):
+            assert (r["lang_pred"], r["score"], r["ambiguous"]) == ("und", 0.0, False)
+            continue
+        x = language_id.features(text)
+        losses = []
+        for word in code:
+            loss = 0.0
+            for b in range(bits):
+                margin = sum(x[d] * model.weights[d, b] for d in np.flatnonzero(x)) + model.offsets[b]
+                loss += model.trust[b] * np.log1p(np.exp(-margin * word[b]))
+            losses.append(loss)
+        shares = np.exp(-4.0 * np.array(losses))
+        shares /= shares.sum()
+        assert r["lang_pred"] == names[int(np.argmin(losses))] and r["score"] == pytest.approx(shares.max()) and r["ambiguous"] == (shares.max() < 0.6)
+
+
 # 6: SimHash near-dedup
 
 

@@ -3,8 +3,11 @@
 import random
 
 import corpus_pipeline
+import duckdb
+import pytest
 from tilewright.llm import queries
 
+FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -66,7 +69,80 @@ def test_run(spark, tmp_path):
     assert {0, 100, 104, 105} & ids == set() and set(range(1, 40)) - {2} <= ids and 101 in ids
 
 
-def test_queries_run_on_the_small_tables(spark):
-    for name, query in queries.QUERIES.items():
-        if name in ("op1_exact_dedup", "op9_suffix_family", "op10_permutation_index"):
-            assert query(spark, "/root/testdata/sf0.001").count() > 0
+def test_stages_on_repeated_rows_null_ids_and_clashing_names(spark):
+    """Each stage: columns named like its own, none called n_chars, repeated rows and ids, null ids; and no rows at all."""
+    rng = random.Random(5)
+    long = sentence(rng, 500)
+    near = words_changed(rng, long, 10)
+    rows = [(1, long), (1, long), (2, long), (3, "once only here"), (3, "once only here"), (3, "another text of three"), (None, "without an id"), (None, "without an id"), (None, long), (4, near), (4, near), (None, None), (9, None), (9, ""), (10, " ")]
+    extra = ["n_removed", "removed", "lang_pred", "score", "ambiguous", "kept", "kept_hash", "stays_id", "stays_hash", "n", "slot", "own_0", "text_hash"]
+    docs = spark.createDataFrame([(i, t, "en", *["x"] * len(extra)) for i, t in rows], "doc_id long, text string, lang string, " + ", ".join(f"{c} string" for c in extra)).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    got = {name: step(spark, docs, "") for name, step in stages.items()}
+    assert all(got[n].columns == docs.columns for n in stages if n != "packing")
+    assert sorted(((r["doc_id"], r["text"]) for r in got["exact_dedup"].collect()), key=str) == sorted([(2, long), (3, "once only here"), (3, "another text of three"), (None, "without an id"), (4, near), (9, got["exact_dedup"].where("doc_id = 9").first()["text"]), (10, " ")], key=str)
+    left = {(r["doc_id"], r["text"]) for r in got["simhash_near_dedup"].collect()}
+    assert {(1, long), (3, "once only here"), (3, "another text of three"), (None, "without an id")} <= left and not {(2, long), (4, near), (None, long)} & left
+    assert got["simhash_near_dedup"].count() == len(left)
+    assert got["packing"].where("start = 0").count() == len(rows)
+    assert got["substring_dedup"].count() <= len(rows) and {r["n_removed"] for r in got["substring_dedup"].collect()} == {"x"}
+    assert all(step(spark, docs.where("false"), "").count() == 0 for step in stages.values())
+
+
+def similar(a, b):
+    sets = []
+    for t in (a, b):
+        w = (t or "").lower().split()
+        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1])
+
+
+def test_stages_against_brute_force(spark):
+    """Copies, near copies and repeated passages of a small table, stage by stage."""
+    rng = random.Random(9)
+    base = [sentence(rng, rng.randint(30, 120)) for _ in range(25)]
+    passage = sentence(rng, 40)
+    texts = base + base[:6] + [words_changed(rng, t, 1) for t in base[3:12]] + [f"{t} {passage}" for t in base[12:20]] + ["short text", "short text"]
+    rng.shuffle(texts)
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    last = {t: i for i, t in enumerate(texts)}
+    once = stages["exact_dedup"](spark, docs, "").cache()
+    assert {r["doc_id"] for r in once.collect()} == set(last.values())
+    root = {i: i for i in last.values()}
+    for i in sorted(root):
+        for j in sorted(root):
+            if i < j and similar(texts[i], texts[j]):
+                a, b = root[i], root[j]
+                root = {k: min(a, b) if v in (a, b) else v for k, v in root.items()}
+    near = stages["simhash_near_dedup"](spark, once, "").cache()
+    assert {r["doc_id"] for r in near.collect()} == set(root.values()) != set(root)
+    first = {}
+    for i in sorted(set(root.values())):
+        words = texts[i].split()
+        for p in range(len(words) - 12):
+            first.setdefault(tuple(words[p : p + 13]), i)
+    expected = {}
+    for i in sorted(set(root.values())):
+        words = texts[i].split()
+        gone = {q for p in range(len(words) - 12) if first[tuple(words[p : p + 13])] < i for q in range(p, p + 13)}
+        if len(gone) < len(words):
+            expected[i] = " ".join(w for q, w in enumerate(words) if q not in gone)
+    cut = stages["substring_dedup"](spark, near, "")
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in cut.collect()} == {i: (t, len(t)) for i, t in expected.items()}
+    assert any(len(t) < len(texts[i]) for i, t in expected.items())
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_registered_queries_run_on_the_small_tables(spark, name):
+    df = queries.QUERIES[name](spark, FOLDER)
+    rows = df.collect()
+    assert rows and len(set(df.columns)) == len(df.columns)
+    if name in queries.ORACLE_SQL:
+        duck = duckdb.connect()
+        for table in ("documents", "embeddings"):
+            duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
+        found = duck.execute(queries.ORACLE_SQL[name])
+        names = [d[0] for d in found.description]
+        assert sorted(names) == sorted(df.columns)
+        assert sorted(map(repr, found.fetchall())) == sorted(repr(tuple(r[n] for n in names)) for r in rows)

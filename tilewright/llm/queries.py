@@ -79,4 +79,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    # Words hold no space, so joined windows are equal only if their words are. Coverage is by word.
+    "op4_substring_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+             w AS (SELECT r, doc_id, i, array_to_string(words[i : i + 12], ' ') AS s FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM d WHERE len(words) > 12)),
+             first AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+             gone AS (SELECT DISTINCT r, i + o AS i FROM (SELECT r, i FROM w JOIN first USING (s) WHERE doc_id > least), range(13) AS t(o)),
+             kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d) ANTI JOIN gone USING (r, i) GROUP BY r)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
+    # Bytes as pairs of hexadecimal digits; strings that overlap or touch make one run.
+    "op9_suffix_family": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+             w AS (SELECT r, doc_id, i, substr(h, 2 * i - 1, 100) AS s FROM (SELECT *, unnest(range(1, length(h) // 2 - 48)) AS i FROM d WHERE length(h) >= 100)),
+             first AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+             gone AS (SELECT r, i, i > lag(i, 1, -50) OVER (PARTITION BY r ORDER BY i) + 50 AS new FROM w JOIN first USING (s) WHERE doc_id > least),
+             runs AS (SELECT r, min(i) AS a, max(i) + 49 AS b FROM (SELECT r, i, sum(new::INTEGER) OVER (PARTITION BY r ORDER BY i) AS g FROM gone) GROUP BY r, g),
+             between_runs AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM runs),
+             kept AS (SELECT r, count(*) AS n_spans, sum(b - a + 1)::BIGINT AS n, string_agg(substr(h, 2 * before + 1, 2 * (a - 1 - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h
+                      FROM between_runs JOIN d USING (r) GROUP BY r)
+        SELECT doc_id, length(d.h) // 2 AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
 }

@@ -39,13 +39,17 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = max(1, len(words) - shingle_words + 1)
     stops = ends[min(shingle_words, len(words)) - 1 :]
-    ones = np.zeros(BITS, np.int64)
     digest = xxhash.xxh64_intdigest
-    for first in range(0, last, 65_536):
-        part = zip(starts[first : min(last, first + 65_536)].tolist(), stops[first : first + 65_536].tolist())
-        hashes = np.array([digest(whole[i:j], SEED) for i, j in part], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > last, bitorder="little").view("<u8")[0])
+    return majority_bits(np.array([digest(whole[i:j], SEED) for i, j in zip(starts[:last].tolist(), stops.tolist())], np.uint64))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """A number with the bits that are set in over half the hashes."""
+    ones = np.zeros(BITS, np.int64)
+    for first in range(0, len(hashes), 65_536):
+        own = hashes[first : first + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(own, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def covering_masks(radius: int) -> list[int]:
