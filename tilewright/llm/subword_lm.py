@@ -41,6 +41,7 @@ _RADIX, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SLOTS = 1 << 18
 #: Words longer than this are scored and learned from one by one; shorter ones, all of a length at once.
 GROUPED_BYTES = 48
+_SCALE = 1000.0
 
 
 @cache
@@ -58,10 +59,15 @@ def read_pieces(vocabulary: str = VOCABULARY) -> tuple[tuple[bytes, bool], ...]:
 
 
 class Lattice:
-    """Natural-log scores of the pieces, and forward and backward recursions over words."""
+    """Natural-log scores of the pieces, and forward and backward recursions over words.
+
+    Words of up to ``GROUPED_BYTES`` go in groups of one length. Their recursions multiply odds instead of adding logs:
+    each piece's odds are its probability times ``_SCALE`` for each of its bytes, so that a word's products stay in the range of doubles.
+    """
 
     def __init__(self, pieces: tuple[tuple[bytes, bool], ...], scores: np.ndarray):
         self.scores = np.append(scores, -np.inf)  # the last is for what is no piece
+        self.odds = np.exp(self.scores + np.append([len(p) for p, _ in pieces], 0) * math.log(_SCALE))
         self.values = self.scores.tolist()
         self.longest = max(len(p) for p, _ in pieces)
         self.plain = {p: i for i, (p, ends) in enumerate(pieces) if not ends}
@@ -69,19 +75,21 @@ class Lattice:
         self.powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(GROUPED_BYTES, _RADIX))), dtype=np.uint64)
         self.tables = [self._table(t) for t in (self.plain, self.final)]
 
-    def _table(self, pieces: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, int]:
-        """An open-addressed table: hashes and piece numbers by the top 18 bits of the hash, and the most steps to the right slot."""
+    def _table(self, pieces: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+        """An open-addressed table: hashes and piece numbers by the top 18 bits of the hash, the most steps to the right slot, and
+        which hashes (by 22 bits) some piece starts like; strays there only cost a look-up."""
         words = list(pieces)
-        hashes, ids, most = np.zeros(_SLOTS + 4096, np.uint64), np.full(_SLOTS + 4096, len(self.scores) - 1, np.int32), 1
+        hashes, ids, most, begins = np.zeros(_SLOTS + 4096, np.uint64), np.full(_SLOTS + 4096, len(self.scores) - 1, np.int32), 1, np.zeros(1 << 22, bool)
         for length in {len(p) for p in words}:
             own = [p for p in words if len(p) == length]
-            own_hashes = self._prefixes(np.frombuffer(b"".join(own), np.uint8).reshape(-1, length))[:, -1]
-            for p, h, first in zip(own, own_hashes, (own_hashes * _MIX >> np.uint64(46)).tolist()):
+            prefixes = self._prefixes(np.frombuffer(b"".join(own), np.uint8).reshape(-1, length))
+            begins[(prefixes[:, 1:].ravel() * _MIX >> np.uint64(42)).astype(np.int64)] = True
+            for p, h, first in zip(own, prefixes[:, -1], (prefixes[:, -1] * _MIX >> np.uint64(46)).tolist()):
                 at = first
                 while hashes[at]:
                     at += 1
                 hashes[at], ids[at], most = h, pieces[p], max(most, at - first + 1)
-        return hashes, ids, most
+        return hashes, ids, most, begins
 
     @staticmethod
     def _prefixes(rows: np.ndarray) -> np.ndarray:
@@ -90,32 +98,53 @@ class Lattice:
             out[:, k + 1] = out[:, k] * _RADIX + rows[:, k].astype(np.uint64) + np.uint64(1)
         return out
 
-    def edges(self, words: list[bytes]) -> list[tuple[int, int, np.ndarray]]:
-        """(from, to, piece of each word) for words of one length; what is no piece has the last number."""
+    def _find(self, h: np.ndarray, mixed: np.ndarray, table: int) -> np.ndarray:
+        hashes, ids, most, _ = self.tables[table]
+        none, slot = len(self.scores) - 1, (mixed >> np.uint64(46)).astype(np.int64)
+        found = np.where(hashes[slot] == h, ids[slot], none)
+        for step in range(1, most):
+            miss = np.flatnonzero((found == none) & (hashes[slot + step - 1] != 0))
+            if not len(miss):
+                break
+            there = slot[miss] + step
+            found[miss] = np.where(hashes[there] == h[miss], ids[there], none)
+        return found
+
+    def edges(self, words: list[bytes]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(from, to, words, their pieces) of all edges of words of one length, by rising end."""
         length, none = len(words[0]), len(self.scores) - 1
         sums = np.ascontiguousarray(self._prefixes(np.frombuffer(b"".join(words), np.uint8).reshape(-1, length)).T)
-        out = []
-        for j in range(1, length + 1):
-            hashes, ids, most = self.tables[j == length]
-            for i in range(max(0, j - self.longest), j):
-                h = sums[j] - sums[i] * self.powers[j - i]
-                slot = (h * _MIX >> np.uint64(46)).astype(np.int64)
-                found = np.where(hashes[slot] == h, ids[slot], none)
-                for step in range(1, most):
-                    miss = np.flatnonzero((found == none) & (hashes[slot + step - 1] != 0))
-                    if not len(miss):
-                        break
-                    there = slot[miss] + step
-                    found[miss] = np.where(hashes[there] == h[miss], ids[there], none)
-                if (found != none).any():
-                    out.append((i, j, found))
-        return out
-
-    def forward(self, n: int, length: int, edges: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
-        alpha = np.full((length + 1, n), -np.inf)
-        alpha[0] = 0
-        for i, j, piece in edges:  # by rising j
-            np.logaddexp(alpha[j], alpha[i] + self.scores[piece], out=alpha[j])
+        out, every = [], np.arange(len(words))
+        for i in range(length):
+            live, start = every, sums[i]
+            for j in range(i + 1, min(length, i + self.longest) + 1):
+                last = j == length
+                if last and length - i > 1:  # pieces that end a word are others: what no plain piece starts like may be one
+                    live, start = every, sums[i]
+                h = sums[j][live] - start * self.powers[j - i]
+                mixed = h * _MIX
+                if last:
+                    found = self._find(h, mixed, 1)
+                    hit = np.flatnonzero(found != none)
+                    if len(hit):
+                        out.append((i, j, live[hit], found[hit]))
+                    break
+                begins = np.flatnonzero(self.tables[0][3][(mixed >> np.uint64(42)).astype(np.int64)])  # else no piece starts like this
+                if len(begins) < len(live):
+                    live, start, h, mixed = live[begins], start[begins], h[begins], mixed[begins]
+                if len(live):
+                    found = self._find(h, mixed, 0)
+                    hit = np.flatnonzero(found != none)
+                    if len(hit):
+                        out.append((i, j, live[hit], found[hit]))
+        return sorted(out, key=lambda e: e[1])
+
+    def forward(self, n: int, length: int, edges: list[tuple[int, int, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Sums of the odds of all ways to each place."""
+        alpha = np.zeros((length + 1, n))
+        alpha[0] = 1
+        for i, j, word, piece in edges:
+            alpha[j, word] += alpha[i, word] * self.odds[piece]
         return alpha
 
     def log_probabilities(self, words: list[bytes]) -> np.ndarray:
@@ -126,7 +155,8 @@ class Lattice:
                 out[at] = [self._forward_one(words[k]) for k in at]
             else:
                 group = [words[k] for k in at]
-                out[at] = self.forward(len(group), length, self.edges(group))[-1]
+                with np.errstate(divide="ignore"):
+                    out[at] = np.log(self.forward(len(group), length, self.edges(group))[-1]) - length * math.log(_SCALE)
         return out
 
     def _forward_one(self, word: bytes) -> float:
@@ -168,13 +198,16 @@ class Lattice:
             group = [words[k] for k in at]
             edges = self.edges(group)
             alpha = self.forward(len(group), length, edges)
-            beta = np.full_like(alpha, -np.inf)
-            beta[-1] = 0
-            for i, j, piece in reversed(edges):
-                np.logaddexp(beta[i], beta[j] + self.scores[piece], out=beta[i])
-            for i, j, piece in edges:
-                share = np.exp(alpha[i] + self.scores[piece] + beta[j] - alpha[-1])
-                out += np.bincount(piece, share * times[at], len(out))
+            beta = np.zeros_like(alpha)
+            beta[-1] = 1
+            for i, j, word, piece in reversed(edges):
+                beta[i, word] += beta[j, word] * self.odds[piece]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                share = np.where(alpha[-1] > 0, times[at] / alpha[-1], 0)
+            beta *= share
+            if edges:
+                used = np.concatenate([piece for *_, piece in edges])
+                out += np.bincount(used, np.concatenate([alpha[i, word] * self.odds[piece] * beta[j, word] for i, j, word, piece in edges]), len(out))
         return out[:-1]
 
 
@@ -190,6 +223,19 @@ def _by_length(words: list[bytes]) -> dict[int, np.ndarray]:
     return {int(lengths[p[0]]): p for p in parts}
 
 
+def large_batches(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many: words of one length are handled together, which pays in large groups."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased."""
     return (text or "").encode("utf-8", "replace").lower().split()
@@ -234,7 +280,7 @@ def fit_scores(words: DataFrame, vocabulary: str = VOCABULARY, rounds: int = 3)
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lattice, total = Lattice(read_pieces(vocabulary), lattice_scores), np.zeros(len(lattice_scores))
-            for batch in batches:
+            for batch in large_batches(batches):
                 total += lattice.expected_counts(batch.column(0).to_pylist(), np.ones(batch.num_rows))
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["piece", "times"])
@@ -283,7 +329,7 @@ def score_documents(
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(read_pieces(vocabulary), scores)
-        for batch in batches:
+        for batch in large_batches(batches):
             times = batch.column(1).to_numpy()
             base = np.log10(times + 0.1) - whole
             as_unit = np.full(len(times), -np.inf)
