@@ -9,12 +9,12 @@ runner-up is close, the text is flagged as ambiguous.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,7 +83,7 @@ def fit_language_model(
     """Fit on a bounded sample: about ``most_per_language`` labelled training rows of each language, never over twice as many.
 
     Rows are drawn by a hash of id and text, so the sample does not depend on
-    partitioning. Rows whose language or text is null teach nothing.
+    partitioning. Rows whose language or text is null teach nothing. The counts of the features that each row has reach the driver, some KB a row.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), is_training.alias("training"))
     rows = rows.where(F.col("training") & F.col("lang").isNotNull() & F.col("text").isNotNull()).drop("training")
@@ -99,29 +99,56 @@ def fit_language_model(
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                found = [features(t.as_py()).astype(np.float32).tobytes() for t in part.column(0)]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.binary())], ["lang", "x"])
-
-    sample = drawn.limit(2 * most_per_language * len(languages)).select("text", "lang").mapInArrow(releasing(count), "lang string, x binary").collect()
-    sample.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in sample])
+                x = [features(t.as_py()).astype(np.float32) for t in part.column(0)]
+                at = [np.flatnonzero(row).astype(np.uint16) for row in x]
+                packed = [[i.tobytes() for i in at], [row[i].tobytes() for row, i in zip(x, at)]]
+                yield pa.RecordBatch.from_arrays([part.column(1), *(pa.array(c, pa.binary()) for c in packed)], ["lang", "at", "x"])
+
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")  # over the few rows drawn
+    bounded = drawn.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2 * most_per_language)
+    sample = bounded.select("text", "lang").mapInArrow(releasing(count), "lang string, at binary, x binary").collect()
+    sample.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["x"])))
+    x = [(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["x"], np.float32)) for r in sample]
     y = code[[languages.index(r["lang"]) for r in sample]]
     per_row = np.array([1 / sum(r["lang"] == n for r in sample) for n in languages])[[languages.index(r["lang"]) for r in sample]]
-    w, b = _fit(x, y, per_row / per_row.sum())
-    wrong = (((x @ w + b) * y < 0) * (per_row / per_row.sum())[:, None]).sum(axis=0)
+    blocks = _dense(x)
+    w, b = _fit(blocks, y, per_row / per_row.sum())
+    margins = np.concatenate([own() @ w + b for _, own in blocks])
+    wrong = ((margins * y < 0) * (per_row / per_row.sum())[:, None]).sum(axis=0)
     trust = 1 - 2 * np.clip(wrong, 0, 0.49)
     return LanguageModel(languages, code, w, b, trust / trust.sum())
 
 
-def _fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 100, rate: float = 60.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+Blocks = list[tuple[slice, Callable[[], np.ndarray]]]
+
+
+def _dense(x: list[tuple[np.ndarray, np.ndarray]], rows: int = 4096) -> Blocks:
+    """Rows of features in dense blocks (134 MB each); one block is kept, of several each is made when it is needed."""
+
+    def block(own: slice) -> np.ndarray:
+        out = np.zeros((len(x[own]), DIMS), np.float32)
+        for row, (at, value) in zip(out, x[own]):
+            row[at] = value
+        return out
+
+    cuts = [slice(a, a + rows) for a in range(0, len(x), rows)]
+    kept = block(cuts[0]) if len(cuts) == 1 else None
+    return [(c, lambda c=c: kept if kept is not None else block(c)) for c in cuts]
+
+
+def _fit(blocks: Blocks, y: np.ndarray, share: np.ndarray, steps: int = 100, rate: float = 60.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Logistic regressions for all bits at once, by gradient steps with momentum."""
-    x, y, share = x.astype(np.float32), y.astype(np.float32), share.astype(np.float32)
-    w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
+    y, share = y.astype(np.float32), share.astype(np.float32)
+    w, b = np.zeros((DIMS, y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(steps):
-        pull = y / (1 + np.exp(np.clip(y * (x @ w + b), -30, 30))) * share[:, None]
-        vw = 0.9 * vw + 0.1 * rate * (x.T @ pull - np.float32(decay) * w)
-        vb = 0.9 * vb + 0.1 * pull.sum(axis=0)
+        up, sums = np.zeros_like(w), np.zeros_like(b)
+        for own, dense in blocks:
+            x = dense()
+            pull = y[own] / (1 + np.exp(np.clip(y[own] * (x @ w + b), -30, 30))) * share[own, None]
+            up, sums = up + x.T @ pull, sums + pull.sum(axis=0)
+        vw = 0.9 * vw + 0.1 * rate * (up - np.float32(decay) * w)
+        vb = 0.9 * vb + 0.1 * sums
         w, b = w + vw, b + vb
     return w, b
 
