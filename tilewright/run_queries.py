@@ -196,9 +196,10 @@ def run_feature_records(spark, sf_dir):
 )
 def run_written(spark, sf_dir):
     """All tables of a run, written as Parquet and read back."""
-    done = _processed(spark, sf_dir).withColumn("stop_on_error", F.lit(False))
-    jobs = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("request_id"), F.lit(0).alias("job_index"), F.lit("kartaview").alias("provider"), F.lit("l").alias("run_label")).distinct()
     path = _scratch(spark)
+    _processed(spark, sf_dir).withColumn("stop_on_error", F.lit(False)).write.parquet(f"{path}/processed")
+    done = spark.read.parquet(f"{path}/processed")
+    jobs = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("request_id"), F.lit(0).alias("job_index"), F.lit("kartaview").alias("provider"), F.lit("l").alias("run_label")).distinct()
     tables.write_run(jobs, done, path)
     out = None
     for name in ("tile_summary", "pano_records", "feature_records", "error_tiles", "skipped_tiles", "tiles_raw", "manifests"):
