@@ -117,17 +117,28 @@ def simhash_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.mapInArrow(releasing(work), "doc_id long, print long")
 
 
-def print_links(prints: DataFrame, radius: int) -> DataFrame:
-    """``a, b``: links between distinct fingerprints (column ``print``) that connect what the radius connects."""
+def print_links(prints: DataFrame, radius: int, hot_rows: int = 100_000) -> DataFrame:
+    """``a, b``: links between distinct fingerprints (column ``print``) that connect what the radius connects.
+
+    A bucket of more than ``hot_rows`` is not linked as one: pairs within the radius agree on one of ``radius + 1`` blocks of bits, so it is cut
+    into those that agree on a block, each linked by itself.
+    """
     masks = [m - (1 << BITS) if m >> (BITS - 1) else m for m in covering_masks(radius)]
     tables = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("print").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks)]))
     keyed = prints.select("print", tables.alias("at")).select("at.t", "at.key", "print")
-    keyed = keyed.repartition("t", "key").sortWithinPartitions("t", "key")
+    hot = stage(keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("t", "key", F.lit(True).alias("hot")), "hot-buckets")
+    width = -(-BITS // (radius + 1))
+    of_block = lambda i: F.shiftrightunsigned("print", i * width).bitwiseAND(F.lit((1 << width) - 1 if width < BITS else -1))
+    part = lambda block, bits: F.struct(F.lit(block).alias("block"), bits.alias("bits"))
+    parts = F.when(F.col("hot"), F.array(*[part(i, of_block(i)) for i in range(radius + 1)])).otherwise(F.array(part(-1, F.lit(0).cast("long"))))
+    bucket = ["t", "key", "block", "bits"]
+    keyed = keyed.join(hot, ["t", "key"], "left").select("t", "key", "print", F.explode(parts).alias("part")).select("t", "key", "part.*", "print")
+    keyed = keyed.repartition(*bucket).sortWithinPartitions(*bucket)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def link(rows: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
             found = []
-            for group in np.split(rows[:, 2].copy().view(np.uint64), cuts) if len(cuts) < len(rows) - 1 else ():
+            for group in np.split(rows[:, -1].copy().view(np.uint64), cuts) if len(cuts) < len(rows) - 1 else ():
                 if len(group) > 1:
                     found += links_within(group, radius)
             pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
@@ -137,12 +148,12 @@ def print_links(prints: DataFrame, radius: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.column_stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)])
-            if rest and (rows[-1, :2] == rest[0][0, :2]).all():
+            rows = np.column_stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])
+            if rest and (rows[-1, :4] == rest[0][0, :4]).all():
                 rest.append(rows)
                 continue
             rows = np.concatenate([*rest, rows])
-            cuts = np.flatnonzero((np.diff(rows[:, :2], axis=0) != 0).any(axis=1)) + 1
+            cuts = np.flatnonzero((np.diff(rows[:, :4], axis=0) != 0).any(axis=1)) + 1
             if len(cuts):
                 yield link(rows[: cuts[-1]], cuts[:-1])
                 rest = [rows[cuts[-1] :]]
