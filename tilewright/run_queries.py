@@ -5,6 +5,8 @@ Bodies of tiles are made from keys (:mod:`tilewright.samples`), so that SQL can
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,10 +22,20 @@ from tilewright.sources import catalog, tables, transport
 from tilewright.streaming import tiles as streaming
 
 
+_own: list[str] = []
+
+
 def _scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share; machine-local only in a session without ``spark.checkpoint.dir``, which is a local one."""
+    """A new folder that all executors share: in ``spark.checkpoint.dir``, or a temporary one in a ``local[...]`` session without that setting."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{named.rstrip('/') if named else 'file://' + tempfile.mkdtemp(prefix='tilewright-')}/{uuid.uuid4().hex}"
+    if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="tilewright-"))
+            atexit.register(shutil.rmtree, _own[0], True)
+        named = f"file://{_own[0]}"
+    return f"{named.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 # Bytes
