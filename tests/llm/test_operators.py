@@ -536,7 +536,8 @@ def test_simhash(docs, rows, empty):
     assert simhash.simhash_components(empty).count() == 0
 
 
-def test_covering_tables_miss_no_pair(spark):
+@pytest.mark.parametrize("hot_rows", [100_000, 3])
+def test_covering_tables_miss_no_pair(spark, hot_rows):
     rng = random.Random(8)
     prints = {0, (1 << 64) - 1}
     for _ in range(40):
@@ -547,7 +548,7 @@ def test_covering_tables_miss_no_pair(spark):
                 p ^= 1 << b
     prints = sorted(prints)
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
-    links = simhash.print_links(spark.createDataFrame(signed, "print long").repartition(3), 3)
+    links = simhash.print_links(spark.createDataFrame(signed, "print long").repartition(3), 3, hot_rows)
     roots = {r["node"] % (1 << 64): r["root"] for r in components(links).collect()}
     expected = slow_components(prints, prints)
     for p in prints:
@@ -579,6 +580,25 @@ def test_near_copies_are_those_of_brute_force(spark, empty, all_pairs, monkeypat
     assert near_copies.near_copies(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_blocks_of_a_bucket_miss_no_similar_pair(spark, monkeypatch, block):
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rng = random.Random(3)
+    base = [rng.choices("abcdefghijklmnop", k=150) for _ in range(4)]
+    texts = []
+    for i in range(40):
+        words = list(base[i % 4])
+        for _ in range(rng.choice([0, 1, 2, 8])):
+            words[rng.randrange(150)] = f"new{rng.random()}"
+        texts.append((i, " ".join(words)))
+    sets = [set(near_copies.shingle_set(t).tolist()) for _, t in texts]
+    left = [(t, 5, i, len(sets[i])) for t in (0, 1) for i in range(t, 40)] + [(2, 6, 39, len(sets[39]))]
+    found = near_copies._agreeing(spark.createDataFrame(left, "t int, key long, print long, size long").repartition(3), spark.createDataFrame(texts, "print long, text string"), 0.8, 5)
+    found = {tuple(r) for r in found.collect()}
+    alike = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(40) for j in range(i + 1, 40)}
+    assert {p for p, s in alike.items() if s >= 0.8} <= found and all(alike[p] > 0.4 for p in found)
+
+
 def test_large_buckets_link_the_same():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
