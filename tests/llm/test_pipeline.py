@@ -140,7 +140,7 @@ def test_registered_queries_run_on_the_small_tables(spark, name):
     assert rows and len(set(df.columns)) == len(df.columns)
     if name in queries.ORACLE_SQL:
         duck = duckdb.connect()
-        for table in ("documents", "embeddings"):
+        for table in ("documents", "embeddings", "conversations"):
             duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
         found = duck.execute(queries.ORACLE_SQL[name])
         names = [d[0] for d in found.description]
