@@ -112,7 +112,7 @@ def test_lattice_probability_is_the_sum_over_segmentations():
     words = [b"a", b"ab", b"abba", b"aabab", b"ab" * 40]
     got = lattice.log_probabilities(words)
     assert got[:4] == pytest.approx([np.log(total(w)) for w in words[:4]])
-    assert got[4] == pytest.approx(lattice._forward_one(words[4]))
+    assert got[4] == pytest.approx(lattice._forward_one(words[4])[-1])
     assert lattice.log_probabilities([b"c"])[0] == -np.inf
     counts = lattice.expected_counts([b"ab"], np.array([2.0]))
     one, two = 0.2 * 0.1, 0.2
@@ -142,6 +142,36 @@ def test_expected_counts_of_long_words(word):
     assert got == pytest.approx(3 * parts / whole if whole else np.zeros(len(p)))
 
 
+@pytest.mark.parametrize("total", [4e6, 4e9, 1e13])
+def test_words_of_rare_pieces_do_not_underflow(total):
+    """Groups of words give what the recursion in logs gives, however small the pieces' probabilities are."""
+    pieces = subword_lm.read_pieces()
+    lattice = subword_lm.Lattice(pieces, np.log(np.where(np.arange(len(pieces)) % 9, 0.1, 0.1 + total / len(pieces)) / total))
+    rng = random.Random(4)
+    words = [bytes(rng.choices(range(1, 256), k=n)) for n in (1, 5, 17, 40, 47, 48, 48, 60)] + [b"\x01" * 48, b"the" * 16, b"\xff\x02" * 24]
+    logs = [lattice._forward_one(w)[-1] for w in words]
+    assert np.isfinite(logs).all()
+    assert lattice.log_probabilities(words) == pytest.approx(logs, rel=1e-12)
+    alone = np.zeros(len(lattice.scores))
+    for w in words:
+        lattice._expect_one(w, 2.0, alone)
+    assert lattice.expected_counts(words, np.full(len(words), 2.0)) == pytest.approx(alone[:-1], rel=1e-9, abs=1e-12)
+    assert alone.sum() > len(words)
+
+
+def test_a_long_word_takes_little_memory():
+    import tracemalloc
+
+    pieces = subword_lm.read_pieces()
+    lattice = subword_lm.Lattice(pieces, np.full(len(pieces), -np.log(len(pieces))))
+    word, out = bytes(random.Random(1).choices(b"abcdefgh01", k=100_000)), np.zeros(len(lattice.scores))
+    tracemalloc.start()
+    lattice._expect_one(word, 1.0, out)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 * len(word) and out.sum() > 10_000
+
+
 def test_scores_of_documents(docs, rows, empty):
     fold = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     found = {r["doc_id"]: r for r in subword_lm.score_documents(docs, fold, rounds=1, most_frequent=50).collect()}

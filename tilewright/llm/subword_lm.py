@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -42,6 +43,8 @@ _SLOTS = 1 << 18
 #: Words longer than this are scored and learned from one by one; shorter ones, all of a length at once.
 GROUPED_BYTES = 48
 _SCALE = 1000.0
+#: A word that meets odds below this in its group is done by itself, in logs: no step from here on can leave the range of doubles.
+_LEAST = 1e-100
 
 
 @cache
@@ -62,7 +65,8 @@ class Lattice:
     """Natural-log scores of the pieces, and forward and backward recursions over words.
 
     Words of up to ``GROUPED_BYTES`` go in groups of one length. Their recursions multiply odds instead of adding logs:
-    each piece's odds are its probability times ``_SCALE`` for each of its bytes, so that a word's products stay in the range of doubles.
+    each piece's odds are its probability times ``_SCALE`` for each of its bytes, so that most words' products stay in the range of doubles.
+    Words whose products come near its end (:meth:`lost`) and longer words go one by one, in logs; that takes 8 bytes of memory a byte.
     """
 
     def __init__(self, pieces: tuple[tuple[bytes, bool], ...], scores: np.ndarray):
@@ -147,45 +151,48 @@ class Lattice:
             alpha[j, word] += alpha[i, word] * self.odds[piece]
         return alpha
 
+    @staticmethod
+    def lost(sums: np.ndarray) -> np.ndarray:
+        """Which words (columns) have sums too small to go on with, or none at the end."""
+        return ((sums > 0) & (sums < _LEAST)).any(axis=0) | (sums[-1] == 0)
+
     def log_probabilities(self, words: list[bytes]) -> np.ndarray:
         """Natural logs of the words' probabilities."""
         out = np.empty(len(words))
         for length, at in _by_length(words).items():
             if length > GROUPED_BYTES:
-                out[at] = [self._forward_one(words[k]) for k in at]
-            else:
-                group = [words[k] for k in at]
-                with np.errstate(divide="ignore"):
-                    out[at] = np.log(self.forward(len(group), length, self.edges(group))[-1]) - length * math.log(_SCALE)
+                out[at] = [self._forward_one(words[k])[-1] for k in at]
+                continue
+            group = [words[k] for k in at]
+            alpha = self.forward(len(group), length, self.edges(group))
+            with np.errstate(divide="ignore"):
+                out[at] = np.log(alpha[-1]) - length * math.log(_SCALE)
+            for k in at[self.lost(alpha)]:
+                out[k] = self._forward_one(words[k])[-1]
         return out
 
-    def _forward_one(self, word: bytes) -> float:
-        alpha = [0.0]
-        for j in range(1, len(word) + 1):
-            pieces = self.final if j == len(word) else self.plain
-            into = [alpha[i] + self.values[p] for i in range(max(0, j - self.longest), j) if (p := pieces.get(word[i:j])) is not None]
-            top = max(into, default=-math.inf)
-            alpha.append(top + math.log(sum(math.exp(x - top) for x in into)) if top > -math.inf else top)
-        return alpha[-1]
+    def _forward_one(self, word: bytes) -> array:
+        """Logs of the sums of all ways to each place."""
+        n, alpha = len(word), array("d", [0.0])
+        for j in range(1, n + 1):
+            pieces = self.final if j == n else self.plain
+            alpha.append(_log_sum([alpha[i] + self.values[p] for i in range(max(0, j - self.longest), j) if (p := pieces.get(word[i:j])) is not None]))
+        return alpha
 
     def _expect_one(self, word: bytes, times: float, out: np.ndarray) -> None:
         """Adds one word's expected counts to ``out``."""
-        n, alpha, beta, edges = len(word), [0.0], [-math.inf] * len(word) + [0.0], []
-        for j in range(1, n + 1):
-            pieces = self.final if j == n else self.plain
-            into = [(i, j, p) for i in range(max(0, j - self.longest), j) if (p := pieces.get(word[i:j])) is not None and alpha[i] > -math.inf]
-            alpha.append(_log_sum([alpha[i] + self.values[p] for i, _, p in into]))
-            edges += into
+        n, alpha = len(word), self._forward_one(word)
         if alpha[-1] == -math.inf:
             return
-        leaving: list[list[float]] = [[] for _ in range(n)]
-        for at in range(len(edges) - 1, -1, -1):
-            i, j, p = edges[at]
-            if j < n and leaving[j]:
-                beta[j], leaving[j] = _log_sum(leaving[j]), []
-            leaving[i].append(beta[j] + self.values[p])
-        for i, j, p in edges:
-            out[p] += times * math.exp(alpha[i] + self.values[p] + beta[j] - alpha[-1])
+        beta = array("d", bytes(8 * n)) + array("d", [0.0])
+        for i in range(n - 1, -1, -1):
+            ways = []
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                p = (self.final if j == n else self.plain).get(word[i:j])
+                if p is not None and beta[j] > -math.inf:
+                    ways.append(way := self.values[p] + beta[j])
+                    out[p] += times * math.exp(alpha[i] + way - alpha[-1])
+            beta[i] = _log_sum(ways)
 
     def expected_counts(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
         """How often each piece is expected when word k occurs ``times[k]`` times; a word that cannot be spelled adds nothing."""
@@ -202,9 +209,10 @@ class Lattice:
             beta[-1] = 1
             for i, j, word, piece in reversed(edges):
                 beta[i, word] += beta[j, word] * self.odds[piece]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                share = np.where(alpha[-1] > 0, times[at] / alpha[-1], 0)
-            beta *= share
+            alone = self.lost(alpha) | self.lost(beta[::-1])
+            for k in at[alone]:
+                self._expect_one(words[k], times[k], out)
+            beta *= np.where(alone, 0, times[at] / np.where(alone, 1, alpha[-1]))
             if edges:
                 used = np.concatenate([piece for *_, piece in edges])
                 out += np.bincount(used, np.concatenate([alpha[i, word] * self.odds[piece] * beta[j, word] for i, j, word, piece in edges]), len(out))
@@ -311,7 +319,8 @@ def score_documents(
     the vocabulary's own weights are used, N and V are 0, and a token is the end
     with probability one half. Repeated rows are each
     scored and each learned from. ``most_frequent`` bounds the words that are
-    copied to workers (64 bytes each at most); it changes no result. Other columns are not
+    copied to workers (64 bytes each at most); it changes no result. A word of any length is scored whole, in time
+    and memory proportional to it. Other columns are not
     read. An empty table gives no rows.
     """
     spark = docs.sparkSession
