@@ -14,12 +14,15 @@ def plan(spark: SparkSession, requests: list[planner.AreaRequest]) -> DataFrame:
     return planner.build_jobs(planner.to_frame(spark, requests))
 
 
-def process(jobs: DataFrame, stored: DataFrame | None = None, fetch: transport.Fetch | None = None, discovered: DataFrame | None = None) -> DataFrame:
-    """Decoded tiles of jobs, from a stored table or by a fetch function; ``discovered`` as :func:`transport.discover` gives it."""
+def process(jobs: DataFrame, stored: DataFrame | None = None, fetch: transport.Fetch | None = None, discovered: DataFrame | None = None, **fetching) -> DataFrame:
+    """Decoded tiles of jobs, from a stored table or by a fetch function; ``discovered`` as :func:`transport.discover` gives it.
+
+    ``fetching``: what :func:`transport.read_by` takes besides, as ``path`` (where fetched tiles are kept: without it each action fetches again), ``retries``, ``per_second`` and ``partitions``.
+    """
     if (stored is None) == (fetch is None):
         raise ValueError("hand in either stored tiles or a fetch function")
     wanted = transport.tile_requests(planner.job_tiles(jobs.where("NOT dry_run")), keep_token=fetch is not None, discovered=discovered)
-    read = transport.read_stored(wanted, stored) if stored is not None else transport.read_by(wanted, fetch)
+    read = transport.read_stored(wanted, stored) if stored is not None else transport.read_by(wanted, fetch, **fetching)
     return outcome.process_tiles(read)
 
 

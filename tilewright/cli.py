@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright import api
-from tilewright.operators import compare
+from tilewright.operators import compare, outcome
 from tilewright.plans import planner
 from tilewright.sources import catalog, tables, transport
 
@@ -86,8 +86,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, fetch
             sys.exit("hand in --stored-tiles, or --allow-network to fetch")
         done = api.process(jobs, stored=spark.read.parquet(a.stored_tiles)) if a.stored_tiles else api.process(jobs, fetch=fetch)
         done.drop("access_token").write.mode("overwrite").parquet(f"{a.output_root}/processed")
-        tables.write_run(jobs.drop("access_token"), spark.read.parquet(f"{a.output_root}/processed"), a.output_root)
+        tables.write_run(jobs.drop("access_token"), spark.read.parquet(f"{a.output_root}/processed"), a.output_root, written=True, raise_failed=False)
         show(compare.summarize(spark.read.parquet(f"{a.output_root}/manifests")).orderBy(F.col("job_index")))
+        outcome.raise_first(spark.read.parquet(f"{a.output_root}/failed_runs"))
     else:
         show(compare.summarize_documents(tables.read_manifests(spark, a.paths)))
     return 0

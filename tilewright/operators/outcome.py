@@ -80,7 +80,7 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
             "last_modified": F.col("document.lastModified"),
             "stored_content": stored,
             "output_path": F.when(stored.isNotNull(), F.concat(place, suffix)),
-            "metadata_path": F.concat(place, F.lit(".metadata.json")),
+            "metadata_path": F.concat(place, F.when(stored.isNotNull(), suffix).otherwise(F.lit(".png")), F.lit(".metadata.json")),
         }
     ).drop("first", "ok", "special")
 
@@ -122,8 +122,13 @@ def first_errors(df: DataFrame) -> DataFrame:
     return bad.groupBy(*RUN).agg(F.min_by(F.struct("x", "y", "tile_url", "reason"), F.struct("x", "y")).alias("error"))
 
 
-def raise_on_errors(df: DataFrame) -> None:
-    """Raise the first error of a run that is to stop; called before any table is written."""
-    first = first_errors(df).orderBy(*RUN).limit(1).collect()  # its URL has no token's value
+def raise_first(failed: DataFrame) -> None:
+    """Raise the error of the first of :func:`first_errors`, if there is one."""
+    first = failed.orderBy(*RUN).limit(1).collect()  # its URL has no token's value
     if first:
         raise RuntimeError(f"{first[0]['run_label']}: {first[0]['error']['tile_url']}: {first[0]['error']['reason']}")
+
+
+def raise_on_errors(df: DataFrame) -> None:
+    """Raise the first error of a run that is to stop."""
+    raise_first(first_errors(df))

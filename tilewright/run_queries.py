@@ -5,11 +5,6 @@ Bodies of tiles are made from keys (:mod:`tilewright.samples`), so that SQL can
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,24 +13,13 @@ from tilewright.functions import grid, text
 from tilewright.operators import compare, decode, metrics, outcome
 from tilewright.plans import planner
 from tilewright.queries import _BOXES_SQL, _boxes, _elliptic_tile_sql, _lat, _lat_of_sql, _lat_sql, _lon, _lon_sql, _manifest_documents, _read, _rounded, _tile_sql, query
-from tilewright.sources import catalog, tables, transport
+from tilewright.scratch import new_dir
+from tilewright.sources import catalog, tables, tile_format, transport
 from tilewright.streaming import tiles as streaming
 
 
-_own: list[str] = []
-
-
 def _scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share: in ``spark.checkpoint.dir``, or a temporary one in a ``local[...]`` session without that setting."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="tilewright-"))
-            atexit.register(shutil.rmtree, _own[0], True)
-        named = f"file://{_own[0]}"
-    return f"{named.rstrip('/')}/{uuid.uuid4().hex}"
+    return new_dir(spark, "query")
 
 
 # Bytes
@@ -212,7 +196,7 @@ def run_written(spark, sf_dir):
     _processed(spark, sf_dir).withColumn("stop_on_error", F.lit(False)).write.parquet(f"{path}/processed")
     done = spark.read.parquet(f"{path}/processed")
     jobs = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("request_id"), F.lit(0).alias("job_index"), F.lit("kartaview").alias("provider"), F.lit("l").alias("run_label")).distinct()
-    tables.write_run(jobs, done, path)
+    tables.write_run(jobs, done, path, written=True)
     out = None
     for name in ("tile_summary", "pano_records", "feature_records", "error_tiles", "skipped_tiles", "tiles_raw", "manifests"):
         one = spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
@@ -220,6 +204,94 @@ def run_written(spark, sf_dir):
     return out
 
 
+_LABEL = "'run_' || o_orderstatus"
+_LABELLED = {"F": 0, "O": 1, "P": 2}
+
+
+def _labelled_run(spark, sf_dir, **given) -> tuple[DataFrame, DataFrame]:
+    """Jobs and processed tiles with one job for each label; label P stops on errors."""
+    status = F.substring("run_label", 5, 1)
+    number = F.element_at(F.create_map(*[F.lit(v) for kv in _LABELLED.items() for v in kv]), status)
+    done = _processed(spark, sf_dir).withColumns({"request_id": number.cast("long")} | given)
+    rows = [(n, 0, f"run_{s}", "kartaview", "ns") for s, n in _LABELLED.items()]
+    return spark.createDataFrame(rows, "request_id long, job_index int, run_label string, provider string, namespace string"), done
+
+
+@query(
+    f"""SELECT run_label, t AS name, n FROM (SELECT {_LABEL} AS run_label, count(*) FILTER (o_orderkey % 5 < 3) AS tile_summary, coalesce(sum(o_orderkey % 3) FILTER (o_orderkey % 5 = 2), 0)::BIGINT AS pano_records,
+              count(*) FILTER (o_orderkey % 5 = 4 OR o_orderkey % 10 = 8) AS error_tiles FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL) UNPIVOT (n FOR t IN (tile_summary, pano_records, error_tiles))
+        UNION ALL SELECT {_LABEL}, 'failed_runs', min(o_orderkey) FROM orders WHERE o_orderstatus = 'P' AND (o_orderkey % 5 = 4 OR o_orderkey % 10 = 8) GROUP BY ALL"""
+)
+def run_commits(spark, sf_dir):
+    """Of three runs one fails and stops: the others are committed and readable, and the failed one's first error is kept."""
+    path = _scratch(spark)
+    tables.write_run(*_labelled_run(spark, sf_dir), path, raise_failed=False)
+    out = spark.read.parquet(f"{path}/failed_runs").select("run_label", F.lit("failed_runs").alias("name"), F.col("error.x").alias("n"))
+    for name in ("tile_summary", "pano_records", "error_tiles"):
+        out = out.union(tables.read_run(spark, path, name).groupBy("run_label").agg(F.lit(name).alias("name"), F.count("*").alias("n")))
+    return out
+
+
+@query(f"SELECT {_LABEL} AS run_label, o_orderkey AS x, CASE o_orderkey % 5 WHEN 1 THEN o_orderkey % 4 + 1 WHEN 2 THEN o_orderkey % 3 END AS record_count FROM orders WHERE {_OK} AND o_orderstatus = 'F'")
+def run_records(spark, sf_dir):
+    """The tile summary of the jobs whose manifests match; only their folders are read."""
+    path = _scratch(spark)
+    tables.write_run(*_labelled_run(spark, sf_dir, stop_on_error=F.lit(False)), path)
+    return tables.read_run(spark, path, "tile_summary", F.col("run_label") == "run_F").select("run_label", "x", "record_count")
+
+
+@query(f"SELECT {_LABEL} AS run_label, o_orderkey::VARCHAR AS x, {_KINDS} AS source_kind, CASE o_orderkey % 5 WHEN 1 THEN o_orderkey % 4 + 1 WHEN 2 THEN o_orderkey % 3 END::VARCHAR AS record_count FROM orders WHERE {_OK}")
+def records_of_results(spark, sf_dir):
+    """An exported run: JSON manifests name their CSV tables, whose rows meet them by path."""
+    path = _scratch(spark)
+    tables.write_run(*_labelled_run(spark, sf_dir, stop_on_error=F.lit(False)), f"{path}/run")
+    tables.export_files(spark, f"{path}/run", f"{path}/export")
+    results = tables.load_results(tables.read_manifests(spark, f"{path}/export/manifests/*/*/*"))
+    rows = tables.load_records(results, "tile_summary_path", outcome.TILE_SUMMARY, f"{path}/export/tile_summary.csv/*/*")
+    return rows.select(F.col("result_run_label").alias("run_label"), "x", "source_kind", "record_count")
+
+
+@query(
+    f"""SELECT {_LABEL} || '/' || {_KINDS} || '/5/' || o_orderkey || '/' || o_custkey || CASE o_orderkey % 5 WHEN 0 THEN '.png' WHEN 1 THEN '.mvt' ELSE '.json' END AS output_path,
+              CASE o_orderkey % 5 WHEN 0 THEN {_COVERED.format(k='o_orderkey')} WHEN 1 THEN o_orderkey % 4 + 1 ELSE o_orderkey % 3 END AS n FROM orders WHERE {_OK}"""
+)
+def tile_files(spark, sf_dir):
+    """Payloads written as files by the executors, read back and decoded from the files."""
+    path = _scratch(spark)
+    tile_format.write_files(_processed(spark, sf_dir), path)
+    files, content = tile_format.read_files(spark, path), F.col("content")
+    of = lambda suffix: F.when(F.endswith("output_path", F.lit(suffix)), content)
+    features = F.aggregate(decode.decode_mvt_tiles(of(".mvt"))["layers"], F.lit(0).cast("long"), lambda n, x: n + F.size(x["features"]))
+    panos = F.size(decode.read_coverage_json(of(".json"))["panos"]).cast("long")
+    counted = F.coalesce(decode.summarize_png(of(".png"))["coverage_pixel_count"], features, panos)
+    return files.select(F.regexp_replace("output_path", "^[^/]*/", "").alias("output_path"), counted.alias("n"))
+
+
+@query(
+    f"""SELECT s_suppkey, CAST(y AS BIGINT) AS y, 'https://h/9/' || s_suppkey || '/' || y AS tile_url, CASE WHEN s_suppkey % 7 = 3 THEN 404 ELSE 200 END AS http_status, CASE WHEN s_suppkey % 5 = 0 AND s_suppkey % 7 <> 3 THEN 2 ELSE 1 END AS attempts,
+              CASE WHEN s_suppkey % 7 <> 3 THEN {_COVERED.format(k='s_suppkey')} END AS coverage_pixel_count FROM supplier, range(2) AS r(y)"""
+)
+def tile_source(spark, sf_dir):
+    """``spark.read.format("tiles")`` over the suppliers' range of x: each fifth column fails once and is tried again, each seventh is not there."""
+    asked: dict[str, int] = {}
+
+    def fetch(url: str, headers: dict[str, str], timeout: int) -> tuple[bytes, str, int]:
+        x, asked[url] = int(url.split("/")[-2]), asked.get(url, 0) + 1
+        if x % 7 == 3:
+            return b"", "", 404
+        if x % 5 == 0 and asked[url] == 1:
+            raise TimeoutError("once")
+        return samples.png_body(x), "image/png", 200
+
+    supplier = _read(spark, sf_dir, "supplier").select("s_suppkey")
+    first, last = supplier.agg(F.min("s_suppkey"), F.max("s_suppkey")).first()
+    tile_format.register(spark, fetch, "tiles_of_suppliers")
+    given = dict(template="https://h/{z}/{x}/{y}", zoom=9, x_min=first or 0, x_max=-1 if last is None else last, y_min=0, y_max=1, backoff=0, partitions=spark.sparkContext.defaultParallelism)
+    tiles = spark.read.format("tiles_of_suppliers").options(**given).load()
+    found = tiles.join(supplier, F.col("x") == F.col("s_suppkey")).withColumn("s", decode.summarize_png(F.when(F.col("http_status") == 200, F.col("content"))))
+    return found.select("s_suppkey", "y", "tile_url", "http_status", "attempts", "s.coverage_pixel_count")
+
+
 @query("SELECT p_partkey::VARCHAR AS p_partkey, p_name, CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'False' END AS flag, NULL::VARCHAR AS absent FROM part")
 def csv_round_trip(spark, sf_dir):
     path = f"{_scratch(spark)}/part.csv"

@@ -6,7 +6,7 @@ import json
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.operators import metrics, outcome
@@ -64,38 +64,86 @@ def write_table(df: DataFrame, path: str, *folders: str) -> None:
         df.limit(0).write.mode("overwrite").parquet(path)
 
 
-def write_run(jobs: DataFrame, processed: DataFrame, path: str, with_tiles: bool = True) -> None:
-    """All tables of a run, as Parquet by provider and label. Raises before writing if a run is to stop at its first error.
+RECORDS = ("tile_summary", "pano_records", "feature_records", "error_tiles", "skipped_tiles")
 
-    ``processed`` is read once for each table: hand in one that was written. Access tokens of jobs are not written.
+
+def write_run(jobs: DataFrame, processed: DataFrame, path: str, with_tiles: bool = True, written: bool = False, raise_failed: bool = True) -> None:
+    """All tables of a run, as Parquet by provider and label, committed run by run.
+
+    Outcomes are written first (``outcomes``; not again if ``processed`` is ``written``), so that no tile is read or decoded twice. Runs that are to stop
+    on errors and have one are found by one aggregate (``failed_runs``, with the first error of each); the tables have the rows of all other runs,
+    and ``committed``, the list of these runs, is written last: :func:`read_run` shows no other. Tiles that were read stay in ``tiles_raw``, whatever became of their run.
+    At the end the first failed run raises, unless ``raise_failed`` is False. Access tokens of jobs are not written.
     """
-    jobs = jobs.drop("access_token", "extra_headers")
-    outcome.raise_on_errors(processed)
-    tables = {
-        "tile_summary": outcome.tile_summary(processed),
-        "pano_records": outcome.pano_records(processed),
-        "feature_records": outcome.feature_records(processed),
-        "error_tiles": outcome.error_tiles(processed),
-        "skipped_tiles": outcome.skipped_tiles(processed),
-    }
-    for name, df in tables.items():
-        write_table(df, f"{path}/{name}", "provider", "run_label")
+    spark, jobs = processed.sparkSession, jobs.drop("access_token", "extra_headers")
+    if not written:
+        kept = [c for c in processed.columns if c not in ("content", "plain", "png")]
+        processed.select(*kept).write.mode("overwrite").parquet(f"{path}/outcomes")
+        processed = spark.read.schema(processed.select(*kept).schema).parquet(f"{path}/outcomes")
+    outcome.first_errors(processed).write.mode("overwrite").parquet(f"{path}/failed_runs")
+    failed = spark.read.parquet(f"{path}/failed_runs")
+    good = processed.join(failed.select(*outcome.RUN), outcome.RUN, "left_anti")
+    for name in RECORDS:
+        write_table(getattr(outcome, name)(good), f"{path}/{name}", "provider", "run_label")
     if with_tiles:
-        kept = outcome.fetched(processed).where(F.col("stored_content").isNotNull())
-        write_table(kept.select("source_id", "source_zoom", "x", "y", F.col("stored_content").alias("content"), "content_type", "output_path"), f"{path}/tiles_raw", "source_id", "source_zoom")
-    metrics.manifests(jobs, processed).write.mode("overwrite").parquet(f"{path}/manifests")
+        tiles = outcome.fetched(processed).where(F.col("stored_content").isNotNull())
+        write_table(tiles.select("source_id", "source_zoom", "x", "y", F.col("stored_content").alias("content"), "content_type", "output_path"), f"{path}/tiles_raw", "source_id", "source_zoom")
+    kept_jobs = jobs.join(failed.select(*outcome.RUN), outcome.RUN, "left_anti")
+    metrics.manifests(kept_jobs, good).write.mode("overwrite").parquet(f"{path}/manifests")
+    runs = spark.read.parquet(f"{path}/manifests").select(*outcome.RUN, "provider", "tile_count", "error_count")
+    runs.write.mode("overwrite").parquet(f"{path}/committed")
+    if raise_failed:
+        outcome.raise_first(failed)
+
+
+def read_run(spark: SparkSession, path: str, table: str, which: Column | None = None) -> DataFrame:
+    """A record table of a written run: the rows of committed jobs, or of those among them whose manifest matches ``which``.
+
+    Tables are laid out by provider and label, so only the folders of matching manifests are read (dynamic partition pruning).
+    """
+    keys = [*outcome.RUN, "provider"]
+    jobs = spark.read.parquet(f"{path}/committed").select(*keys)
+    if which is not None:
+        jobs = spark.read.parquet(f"{path}/manifests").where(which).select(*keys).join(jobs, keys, "left_semi")
+    jobs = jobs.distinct().withColumnsRenamed({k: f"_{k}" for k in keys})
+    rows = spark.read.parquet(f"{path}/{table}")
+    same = [rows[k] == jobs[f"_{k}"] for k in keys]
+    return rows.join(jobs, same, "left_semi")
+
+
+def load_records(results: DataFrame, key: str, columns: list[str], files: str) -> DataFrame:
+    """Rows of the CSV tables that results name in ``key`` (:func:`load_results`), with the results' provider, job and label beside them.
+
+    ``files`` is a pattern of paths that holds them all; a table is a file or a folder of part files. Results and tables meet by path, so any number of manifests is one scan.
+    """
+    spark = results.sparkSession
+    rows = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).csv(files, header=True, multiLine=True, escape='"')
+    plain = lambda c: F.regexp_replace(c, "^file:/*", "/")
+    place = F.regexp_replace(F.url_decode(plain(F.col("_metadata.file_path"))), "/part-[^/]*$", "")
+    rows = rows.select("*", place.alias("_place"))
+    own = results.select(plain(F.col(key)).alias("_place"), F.col("provider").alias("result_provider"), F.col("job_index").alias("result_job_index"), F.col("run_label").alias("result_run_label"))
+    return rows.join(own, "_place").drop("_place")
+
+
+def _pretty(rows: pd.Series) -> pd.Series:
+    return rows.map(lambda r: None if r is None else json.dumps(json.loads(r), indent=2, sort_keys=True))
+
+
+def pretty_text(document: Column) -> Column:
+    """JSON texts with sorted keys and an indent of two."""
+    return F.pandas_udf(_pretty, "string")(document)
+
+
+def pretty_json(row: Column) -> Column:
+    """A struct as such a text, nulls included."""
+    return pretty_text(F.to_json(row, {"ignoreNullFields": "false"}))
 
 
 def manifest_json(manifests: DataFrame) -> DataFrame:
     """``manifest_path, document``: each manifest row as JSON with sorted keys and an indent of two."""
     path = F.concat_ws("/", "namespace", "run_label", F.lit("manifest.json"))
-
-    def pretty(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: json.dumps(json.loads(r), indent=2, sort_keys=True))
-
-    pretty.__annotations__ = {"rows": pd.Series, "return": pd.Series}
-    whole = F.to_json(F.struct(*[c for c in manifests.columns if c not in ("access_token", "extra_headers")]), {"ignoreNullFields": "false"})
-    return manifests.select(path.alias("manifest_path"), F.pandas_udf(pretty, "string")(whole).alias("document"))
+    kept = F.struct(*[c for c in manifests.columns if c not in ("access_token", "extra_headers")])
+    return manifests.select(path.alias("manifest_path"), pretty_json(kept).alias("document"))
 
 
 def export_files(spark: SparkSession, run: str, path: str) -> None:

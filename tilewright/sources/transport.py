@@ -5,8 +5,7 @@ Nothing here opens a connection unless a caller hands in a way to fetch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from urllib.parse import parse_qsl, quote_plus, urlsplit
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,9 +13,8 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import grid, text
 from tilewright.sources import catalog
+from tilewright.sources.tile_format import Fetch, Pace, read_tile
 
-#: (url, headers, timeout in seconds) to (body, content type, status).
-Fetch = Callable[[str, dict[str, str], int], tuple[bytes, str, int]]
 # Fixed value: the style document of the panorama layers.
 PANORAMA_STYLE = "https://map.pstatic.net/nrb/styles/basic.json?fmt=png&callback=__naver_maps_callback__0"
 #: Columns of requests that may hold secrets; nothing that is written has them.
@@ -52,35 +50,34 @@ def read_stored(requests: DataFrame, stored: DataFrame) -> DataFrame:
     return df.withColumn("http_status", F.when(absent, F.lit(404)).otherwise(F.col("http_status"))).drop(*SECRETS)
 
 
-def read_by(requests: DataFrame, fetch: Fetch, partitions: int | None = None, timeout_seconds: int = 60) -> DataFrame:
-    """Requests read by ``fetch`` on the executors, one try each; a failure is text in ``transport_error``.
+def read_by(
+    requests: DataFrame, fetch: Fetch, partitions: int | None = None, timeout_seconds: int = 60, retries: int = 0, backoff: float = 1.0, per_second: float = 0.0, path: str | None = None
+) -> DataFrame:
+    """Requests read by ``fetch`` on the executors; a failure is text in ``transport_error``.
 
     ``fetch_url`` is read where it is there, else ``tile_url``. It and the columns ``headers``, ``extra_headers`` and ``access_token``, which hold secrets,
-    are dropped, and their values are replaced in the texts of failures.
+    are dropped, and their values are replaced in the texts of failures. Failures that may pass are tried again ``retries`` times. ``per_second`` bounds the requests
+    to a host by all ``partitions`` (which it needs) together. With ``path``, what was read is written there and read back: each tile is then fetched once, however
+    many tables are made from it; without, every action fetches again.
     """
+    if per_second and not partitions:
+        raise ValueError("a rate needs a number of partitions to be shared among")
 
-    def get(urls: pd.Series, headers: pd.Series, timeouts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for url, own, timeout in zip(urls, headers, timeouts):
-            try:
-                body, kind, status = fetch(url, dict(own or {}), int(timeout) if pd.notna(timeout) and timeout else timeout_seconds)
-                rows.append((body, kind or "", status, None))
-            except Exception as e:
-                rows.append((None, None, getattr(e, "code", None), f"{type(e).__name__}: {hide(str(e), url, dict(own or {}))}"))
-        return pd.DataFrame(rows, columns=["content", "content_type", "http_status", "transport_error"])
-
-    def hide(message: str, url: str, headers: dict[str, str]) -> str:
-        """The message without values of the URL's query and of headers other than these two."""
-        values = [v for _, v in parse_qsl(urlsplit(url).query)] + [v for k, v in headers.items() if k not in ("User-Agent", "Accept")]
-        for v in sorted(filter(lambda v: len(v) > 3, values), key=len, reverse=True):
-            message = message.replace(v, "REDACTED").replace(quote_plus(v), "REDACTED")
-        return message
-
-    get.__annotations__ = {"urls": pd.Series, "headers": pd.Series, "timeouts": pd.Series, "return": pd.DataFrame}
+    def get(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        pace = Pace(per_second / (partitions or 1))
+        for urls, headers, timeouts in batches:
+            rows = [read_tile(fetch, url, dict(own or {}), int(t) if pd.notna(t) and t else timeout_seconds, retries, backoff, pace) for url, own, t in zip(urls, headers, timeouts)]
+            yield pd.DataFrame(rows, columns=["content", "content_type", "http_status", "transport_error", "attempts"])
+
+    get.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
     url = "fetch_url" if "fetch_url" in requests.columns else "tile_url"
     df = requests.repartition(partitions, url) if partitions else requests
-    read = F.pandas_udf(get, "content binary, content_type string, http_status int, transport_error string")
-    return df.withColumn("read", read(url, "headers", "timeout_seconds")).select("*", "read.*").drop("read", "fetch_url", *SECRETS)
+    read = F.pandas_udf(get, "content binary, content_type string, http_status int, transport_error string, attempts int").asNondeterministic()
+    out = df.withColumn("read", read(url, "headers", "timeout_seconds")).select("*", "read.*").drop("read", "fetch_url", *SECRETS)
+    if path is None:
+        return out
+    out.write.parquet(path)
+    return out.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def http_fetch(url: str, headers: dict[str, str], timeout: int) -> tuple[bytes, str, int]:
