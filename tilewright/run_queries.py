@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tilewright import samples
 from tilewright.functions import grid, text
-from tilewright.operators import compare, decode, metrics, outcome
+from tilewright.operators import compare, decode, metrics, outcome, spatial
 from tilewright.plans import planner
 from tilewright.queries import _BOXES_SQL, _boxes, _elliptic_tile_sql, _lat, _lat_of_sql, _lat_sql, _lon, _lon_sql, _manifest_documents, _read, _rounded, _tile_sql, query
 from tilewright.scratch import new_dir
@@ -539,3 +539,12 @@ def namespace_labels(spark, sf_dir):
     k = F.col("c_custkey")
     provider = F.when(k % 3 == 0, F.lit("baidu_mapsv_raster")).when(k % 3 == 1, F.lit("yandex")).otherwise(F.lit("unknown"))
     return compare.with_labels(_read(spark, sf_dir, "customer").select(k.alias("k"), _lon(k).alias("lon"), _lat(k).alias("lat"), provider.alias("provider"))).drop("colour")
+
+
+@query(f"SELECT event_id, k FROM events JOIN (SELECT k, w - 5 AS w, e + 5 AS e, s - 3 AS s, n + 3 AS n FROM ({_BOXES_SQL})) ON {_lon_sql('event_id')} BETWEEN w AND e AND {_lat_sql('event_id')} BETWEEN s AND n")
+def pano_in_box(spark, sf_dir):
+    """Events as points against wide boxes of nations: each box that holds them."""
+    k, b = F.col("event_id"), F.col("bbox")
+    wide = F.struct((b["min_lon"] - 5).alias("min_lon"), (b["min_lat"] - 3).alias("min_lat"), (b["max_lon"] + 5).alias("max_lon"), (b["max_lat"] + 3).alias("max_lat"))
+    points = _read(spark, sf_dir, "events").select("event_id", _lon(k).alias("lon"), _lat(k).alias("lat"))
+    return spatial.points_in_boxes(points, _boxes(spark, sf_dir).withColumn("bbox", wide)).select("event_id", "k")
