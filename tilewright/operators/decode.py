@@ -13,10 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.functions import grid
+from tilewright.operators import rasters, vector_tiles
 
 # PNG
 
@@ -111,16 +113,12 @@ def summarize_png(content: Column) -> Column:
 
 def _summarize_png(content: pd.Series) -> pd.DataFrame:
     rows = []
-    for data in content:
-        if data is None:
-            rows.append((None,) * 6)
-            continue
-        try:
-            on = png_alpha(bytes(data))
+    for on in rasters.masks([None if data is None else bytes(data) for data in content]):
+        if isinstance(on, np.ndarray):
             covered, total = int(on.sum()), on.size
             rows.append((on.shape[1], on.shape[0], covered, total, covered / total if total else 0.0, None))
-        except Exception as e:  # a broken tile is a row of errors, not a failed job
-            rows.append((None, None, None, None, None, f"{type(e).__name__}: {e}"))
+        else:
+            rows.append((None, None, None, None, None, None if on is None else f"{type(on).__name__}: {on}"))
     out = pd.DataFrame(rows, columns=["width", "height", "coverage_pixel_count", "total_pixel_count", "coverage_ratio", "error"])
     return out.astype({c: "Int64" for c in out.columns[:4]} | {"coverage_ratio": "float64"})
 
@@ -129,18 +127,17 @@ MASK = "width int, height int, rgba binary, error string"
 
 
 def recolour_mask(content: Column, colour: Column) -> Column:
-    """The raster as an overlay: pixels that are not fully transparent in the colour (a struct of r, g, b, a), the rest clear."""
+    """The raster as an overlay: pixels that are not fully transparent in the colour (a struct of r, g, b, a), the rest clear; of null, nulls."""
     return F.pandas_udf(_recolour_mask, MASK)(content, colour)
 
 
 def _recolour_mask(content: pd.Series, colour: pd.DataFrame) -> pd.DataFrame:
     rows = []
-    for data, own in zip(content, colour[["r", "g", "b", "a"]].to_numpy()):
-        try:
-            on = png_alpha(bytes(data))
-            rows.append((on.shape[1], on.shape[0], (on[..., None] * own.astype(np.uint8)).astype(np.uint8).tobytes(), None))
-        except Exception as e:
-            rows.append((None, None, None, f"{type(e).__name__}: {e}"))
+    for on, own in zip(rasters.masks([None if data is None else bytes(data) for data in content]), colour[["r", "g", "b", "a"]].to_numpy()):
+        if isinstance(on, np.ndarray):
+            rows.append((on.shape[1], on.shape[0], (on[..., None] * own.astype(np.uint8)).tobytes(), None))
+        else:
+            rows.append((None, None, None, None if on is None else f"{type(on).__name__}: {on}"))
     return pd.DataFrame(rows, columns=["width", "height", "rgba", "error"]).astype({"width": "Int64", "height": "Int64"})
 
 
@@ -294,25 +291,30 @@ MVT = (
 
 
 def decode_mvt_tiles(content: Column) -> Column:
-    """Layers of vector tiles, or the error; of null, neither."""
-    return F.pandas_udf(_decode_mvt_tiles, MVT)(content)
+    """Layers of vector tiles, or the error; of null, neither. Tiles of a batch are read together (:mod:`tilewright.operators.vector_tiles`)."""
+    return F.arrow_udf(_decode_mvt_tiles, MVT)(content)
+
+
+def _decode_mvt_tiles(content: pa.Array) -> pa.Array:
+    return vector_tiles.read_tiles(content)
+
+
+_decode_mvt_tiles.__annotations__ = {"content": pa.Array, "return": pa.Array}
 
 
-def _decode_mvt_tiles(content: pd.Series) -> pd.DataFrame:
+def decode_rows(tiles: list[bytes]) -> list[dict]:
+    """``layers`` or ``error`` of each tile, read one after the other."""
     rows = []
-    for data in content:
-        if data is None:
-            rows.append((None, None))
-            continue
+    for data in tiles:
         try:
-            layers = decode_mvt(bytes(data))
+            layers = decode_mvt(data)
             for layer in layers:
                 for f in layer["features"]:
                     f["mvt_id"], f["parts"] = str(f["mvt_id"]), [[{"x": float(x), "y": float(y)} for x, y in p] for p in f["parts"]]
-            rows.append((layers, None))
+            rows.append({"layers": layers, "error": None})
         except Exception as e:
-            rows.append((None, f"{type(e).__name__}: {e}"))
-    return pd.DataFrame(rows, columns=["layers", "error"])
+            rows.append({"layers": None, "error": f"{type(e).__name__}: {e}"})
+    return rows
 
 
 GEOMETRY = "geometry_type string, parts array<array<struct<x: double, y: double>>>, error string"
@@ -320,19 +322,26 @@ GEOMETRY = "geometry_type string, parts array<array<struct<x: double, y: double>
 
 def decode_geometry(commands: Column, kind: Column) -> Column:
     """Type and parts of command streams (arrays of numbers) of a kind: 1 points, 2 lines, 3 polygons."""
+    return F.arrow_udf(_decode_geometry, GEOMETRY)(commands.cast("array<long>"), kind.cast("long"))
+
+
+def _decode_geometry(commands: pa.Array, kind: pa.Array) -> pa.Array:
+    return vector_tiles.read_streams(commands, kind)
+
+
+_decode_geometry.__annotations__ = {"commands": pa.Array, "kind": pa.Array, "return": pa.Array}
 
-    def decode(commands: pd.Series, kind: pd.Series) -> pd.DataFrame:
-        rows = []
-        for own, k in zip(commands, kind):
-            try:
-                name, parts = read_geometry([int(c) for c in own], int(k))
-                rows.append((name, [[{"x": float(x), "y": float(y)} for x, y in p] for p in parts], None))
-            except Exception as e:
-                rows.append((None, None, f"{type(e).__name__}: {e}"))
-        return pd.DataFrame(rows, columns=["geometry_type", "parts", "error"])
-
-    decode.__annotations__ = {"commands": pd.Series, "kind": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(decode, GEOMETRY)(commands, kind)
+
+def geometry_rows(commands: list, kinds: list) -> list[dict]:
+    """``geometry_type, parts`` or ``error`` of each stream, read one after the other."""
+    rows = []
+    for own, k in zip(commands, kinds):
+        try:
+            name, parts = read_geometry([int(c) for c in own], int(k))
+            rows.append({"geometry_type": name, "parts": [[{"x": float(x), "y": float(y)} for x, y in p] for p in parts], "error": None})
+        except Exception as e:
+            rows.append({"geometry_type": None, "parts": None, "error": f"{type(e).__name__}: {e}"})
+    return rows
 
 
 def project_parts(parts: Column, x: Column, y: Column, zoom: Column, extent: Column) -> Column:

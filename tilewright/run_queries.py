@@ -37,6 +37,25 @@ def png_summary(spark, sf_dir):
     return df.select("p_partkey", "s.width", "s.height", "s.coverage_pixel_count", "s.total_pixel_count", F.round("s.coverage_ratio", 9).alias("coverage_ratio"))
 
 
+@query(f"SELECT p_partkey, CAST(1 + p_partkey % 9 AS INTEGER) AS width, CAST(1 + p_partkey % 7 AS INTEGER) AS height, {_COVERED.format(k='p_partkey')} AS coverage_pixel_count FROM part")
+def png_forms(spark, sf_dir):
+    """Palettes of 1, 2 and 4 bits, pictures of 16 bits, half of them interlaced."""
+    df = _read(spark, sf_dir, "part").withColumn("s", decode.summarize_png(samples.made("png_form", F.col("p_partkey"))))
+    return df.select("p_partkey", "s.width", "s.height", "s.coverage_pixel_count")
+
+
+@query(
+    """SELECT o_orderkey, '{"b": ' || (o_orderkey % 2 = 1) || ', "d": ' || (o_orderkey / 8.0::DOUBLE) || ', "f": ' || (o_orderkey / 4.0::DOUBLE) || ', "i": ' || (-1 - o_orderkey) || ', "n": ' || (-1 - o_orderkey) || ', "s": "s' || o_orderkey || '", "u": ' || o_orderkey || '}' AS properties_json,
+              1.0::DOUBLE AS x, 2.0::DOUBLE AS y FROM orders"""
+)
+def mvt_values(spark, sf_dir):
+    """A property of each kind of value: string, float, double, int, uint, sint, bool."""
+    k = F.col("o_orderkey")
+    feature = decode.decode_mvt_tiles(samples.made("values", k))["layers"][0]["features"][0]
+    point = F.col("f.parts")[0][0]
+    return _read(spark, sf_dir, "orders").select(k, feature.alias("f")).select("o_orderkey", "f.properties_json", point["x"].alias("x"), point["y"].alias("y"))
+
+
 @query(
     f"""SELECT p_partkey, CAST({_COVERED.format(k='p_partkey')} AS BIGINT) AS coloured, CAST(4 * {_PIXELS.format(k='p_partkey')} AS BIGINT) AS byte_length FROM part"""
 )
