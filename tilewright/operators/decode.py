@@ -411,6 +411,14 @@ def read_coverage_json(content: Column) -> Column:
     return F.from_json(F.decode(gunzip(content), "UTF-8"), COVERAGE_JSON)
 
 
+def pano_count(data: bytes) -> int | None:
+    """Panoramas of a plain JSON tile; null if it isn't JSON."""
+    try:
+        return len(json.loads(bytes(data)).get("panos") or [])
+    except (ValueError, AttributeError, TypeError):
+        return None
+
+
 def pano_rows(tiles: DataFrame, keep: list[str], document: str = "document") -> DataFrame:
     """A row per panorama; ``lastModified`` is the tile's."""
     return tiles.select(*keep, F.explode(f"{document}.panos").alias("pano"), F.col(f"{document}.lastModified").alias("lastModified")).select(*keep, "pano.*", "lastModified")

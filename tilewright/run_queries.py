@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright import samples
-from tilewright.functions import grid, text
+from tilewright.functions import grid, registry, text
 from tilewright.operators import compare, decode, metrics, outcome, spatial
 from tilewright.plans import planner
 from tilewright.queries import _BOXES_SQL, _boxes, _elliptic_tile_sql, _lat, _lat_of_sql, _lat_sql, _lon, _lon_sql, _manifest_documents, _read, _rounded, _tile_sql, query
@@ -567,3 +567,26 @@ def pano_in_box(spark, sf_dir):
     wide = F.struct((b["min_lon"] - 5).alias("min_lon"), (b["min_lat"] - 3).alias("min_lat"), (b["max_lon"] + 5).alias("max_lon"), (b["max_lat"] + 3).alias("max_lat"))
     points = _read(spark, sf_dir, "events").select("event_id", _lon(k).alias("lon"), _lat(k).alias("lat"))
     return spatial.points_in_boxes(points, _boxes(spark, sf_dir).withColumn("bbox", wide)).select("event_id", "k")
+
+
+@query(
+    f"""SELECT k, x, y, CASE (x + y) % 2 WHEN 0 THEN 'raster' ELSE 'vector_mvt' END AS source_kind, CASE (x + y) % 2 WHEN 0 THEN {_COVERED.format(k="(1000 * x + y)")} ELSE (1000 * x + y) % 4 + 1 END AS n_records
+        FROM (SELECT k, least({_tile_sql('w', 'n', '6')[0]}, {_tile_sql('e', 's', '6')[0]}) AS a, greatest({_tile_sql('w', 'n', '6')[0]}, {_tile_sql('e', 's', '6')[0]}) AS b, least({_tile_sql('w', 'n', '6')[1]}, {_tile_sql('e', 's', '6')[1]}) AS c,
+                     greatest({_tile_sql('w', 'n', '6')[1]}, {_tile_sql('e', 's', '6')[1]}) AS d FROM ({_BOXES_SQL}) WHERE k % 3 = 0), unnest(generate_series(a, b)) AS xs(x), unnest(generate_series(c, d)) AS ys(y)
+        UNION ALL SELECT k, x, y, 'raster', NULL FROM (SELECT k, least({_elliptic_tile_sql('w', 'n', '6')[0]}, {_elliptic_tile_sql('e', 's', '6')[0]}) AS a, greatest({_elliptic_tile_sql('w', 'n', '6')[0]}, {_elliptic_tile_sql('e', 's', '6')[0]}) AS b,
+                     least({_elliptic_tile_sql('w', 'n', '6')[1]}, {_elliptic_tile_sql('e', 's', '6')[1]}) AS c, greatest({_elliptic_tile_sql('w', 'n', '6')[1]}, {_elliptic_tile_sql('e', 's', '6')[1]}) AS d FROM ({_BOXES_SQL}) WHERE k % 3 = 1),
+                     unnest(generate_series(a, b)) AS xs(x), unnest(generate_series(c, d)) AS ys(y)"""
+)
+def sql_tiles(spark, sf_dir):
+    """One SQL text over registered functions: boxes are planned in the grid of their provider, tiles listed and decoded by kind."""
+    registry.register_functions(spark, "tw_")
+    for body in ("png", "vector"):
+        spark.udf.register(f"tw_made_{body}", samples.maker(body))
+    _boxes(spark, sf_dir).createOrReplaceTempView("tw_boxes")
+    catalog.providers(spark).createOrReplaceTempView("tw_providers")
+    return spark.sql(
+        """WITH planned AS (SELECT k, tw_tile_columns(r) AS xs, tw_tile_rows(r) AS ys, scheme FROM (SELECT k, tw_tile_range(bbox, 6, scheme) AS r, scheme FROM tw_boxes JOIN tw_providers ON provider = CASE k % 3 WHEN 0 THEN 'kartaview' WHEN 1 THEN 'yandex' END)),
+                listed AS (SELECT k, x, y, scheme, 1000 * x + y AS key, CASE WHEN scheme = 'web_mercator' AND (x + y) % 2 = 1 THEN 'vector_mvt' ELSE 'raster' END AS source_kind
+                           FROM planned LATERAL VIEW explode(xs) AS x LATERAL VIEW explode(ys) AS y)
+           SELECT k, x, y, source_kind, tw_tile_record_count(source_kind, CASE WHEN scheme = 'web_mercator' THEN CASE source_kind WHEN 'raster' THEN tw_made_png(key, false) ELSE tw_made_vector(key, key % 2 = 0) END END) AS n_records FROM listed"""
+    )

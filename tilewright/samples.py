@@ -104,15 +104,20 @@ def json_body(k: int) -> bytes:
     return json.dumps({"lastModified": f"m{k}", "panos": panos}).encode()
 
 
-def made(body: str, key: Column, zipped: Column | None = None) -> Column:
-    """The body (``png``, ``png_form``, ``vector``, ``values``, ``json``) of each key, compressed where ``zipped``; null of a null key."""
+def maker(body: str):
+    """A vectorised function of keys, and whether to compress, to the bodies (``png``, ``png_form``, ``vector``, ``values``, ``json``)."""
     make = {"png": png_body, "png_form": png_form_body, "vector": vector_body, "values": values_body, "json": json_body}[body]
 
     def bodies(keys: pd.Series, zipped: pd.Series) -> pd.Series:
         return pd.Series([None if pd.isna(k) else gzip.compress(make(int(k)), mtime=0) if z else make(int(k)) for k, z in zip(keys, zipped)], dtype=object)
 
     bodies.__annotations__ = {"keys": pd.Series, "zipped": pd.Series, "return": pd.Series}
-    return F.pandas_udf(bodies, "binary")(key, F.lit(False) if zipped is None else zipped)
+    return F.pandas_udf(bodies, "binary")
+
+
+def made(body: str, key: Column, zipped: Column | None = None) -> Column:
+    """The body of each key, compressed where ``zipped``; null of a null key."""
+    return maker(body)(key, F.lit(False) if zipped is None else zipped)
 
 
 def compressed(content: Column) -> Column:
