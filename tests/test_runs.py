@@ -9,7 +9,7 @@ from test_decode import RGBA, png, tile
 
 from tilewright import api, cli
 from tilewright.operators import compare, metrics, outcome
-from tilewright.plans.planner import AreaRequest, build_jobs, to_frame
+from tilewright.plans.planner import AreaRequest, build_jobs, job_tiles, to_frame
 from tilewright.sources import catalog, tables, transport
 from tilewright.streaming import tiles as streaming
 
@@ -228,6 +228,36 @@ def test_stream_equals_batch(spark, stored, run, tmp_path):
     assert counts(streaming.current_manifests(spark, jobs, f"{tmp_path}/out/*")) == counts(metrics.manifests(jobs, done))
 
 
+def planner_tiles(jobs):
+    return job_tiles(jobs.where("NOT dry_run"))
+
+
+@pytest.mark.parametrize("compact_every", [2, 3, 16])
+def test_kept_manifests_are_those_of_the_whole_table(spark, run, stored, tmp_path, compact_every):
+    jobs, done = run
+    read = transport.read_stored(transport.tile_requests(planner_tiles(jobs)), stored).withColumn("fetched_at", F.lit("2026-01-01T00:00:00+00:00"))
+    read.repartition(5).write.parquet(f"{tmp_path}/in")
+    read.limit(3).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")  # some arrive again
+    stream = streaming.arriving_tiles(spark, f"{tmp_path}/in", read.schema, files_per_batch=1)
+    out = f"{tmp_path}/out"
+    streaming.keep_manifests(stream, out, f"{tmp_path}/checkpoint", compact_every).awaitTermination(120)
+    rows = lambda: sorted(repr(r.asDict()) for r in streaming.kept_manifests(spark, jobs, out, compact_every).collect())
+    expected = sorted(repr(r.asDict()) for r in metrics.manifests(jobs, done).collect())
+    assert rows() == expected
+    last = spark.read.parquet(f"{out}/partials").agg(F.max("batch")).first()[0]
+    assert last >= 4
+    names = [c for c in read.columns if c in spark.read.parquet(f"{tmp_path}/in").columns]
+    seen = spark.read.parquet(f"{out}/summaries").where(F.col("batch") == last).select("request_id", "job_index", "x", "y")
+    again = read.select(*names).join(seen, ["request_id", "job_index", "x", "y"], "left_semi")
+    streaming.merge_batch(again, last, out, compact_every)  # the last batch is replayed
+    assert rows() == expected
+    if compact_every == 2:
+        assert len(list((tmp_path / "out" / "bases").iterdir())) >= (last + 1) // 2
+        tiles = spark.read.schema(read.schema).parquet(f"{tmp_path}/in").where("false")
+        streaming.merge_batch(tiles, 0, f"{tmp_path}/none", compact_every)
+        assert streaming.kept_manifests(spark, jobs, f"{tmp_path}/none", compact_every).agg(F.sum("tile_count")).first()[0] == 0
+
+
 def test_command_line(spark, stored, tmp_path, capsys):
     stored.write.parquet(f"{tmp_path}/stored")
     box = [str(v) for v in BOX]

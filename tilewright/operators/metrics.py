@@ -34,12 +34,35 @@ def run_counts() -> list[Column]:
     ]
 
 
+JOB = ["request_id", "job_index"]
+_RATIO = "aggregate_coverage_ratio"
+
+
+def partial_sums(tiles: DataFrame) -> DataFrame:
+    """What tiles add to their jobs' manifests: a row per job that has any. Such rows can be put together by :func:`merge_sums`."""
+    return tiles.groupBy(*JOB).agg(*run_counts()).drop(_RATIO)
+
+
+def merge_sums(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*JOB).agg(*[F.sum(c).alias(c) for c in partials.columns if c not in JOB])
+
+
+def manifests_of_sums(jobs: DataFrame, sums: DataFrame) -> DataFrame:
+    """Manifests from sums that are whole: those of :func:`partial_sums` over all tiles, or merged."""
+    ratio = F.try_divide(F.col("total_coverage_pixels"), F.nullif("total_pixels", F.lit(0)))
+    at = sums.columns.index("total_pixels") + 1  # its place in manifests
+    return _with_jobs(jobs, sums.select(*sums.columns[:at], ratio.alias(_RATIO), *sums.columns[at:]))
+
+
 def manifests(jobs: DataFrame, tiles: DataFrame) -> DataFrame:
     """A row per job, jobs without tiles included; the jobs' own tile counts become ``planned_tile_count``. One shuffle of partial sums; the tiles' bytes are not read."""
-    keys = ["request_id", "job_index"]
-    sums = tiles.groupBy(*keys).agg(*run_counts())
+    return _with_jobs(jobs, tiles.groupBy(*JOB).agg(*run_counts()))
+
+
+def _with_jobs(jobs: DataFrame, sums: DataFrame) -> DataFrame:
+    keys = JOB
     joined = jobs.withColumnRenamed("tile_count", "planned_tile_count").join(sums, keys, "left")
-    counts = [c for c in sums.columns if c not in keys and c != "aggregate_coverage_ratio"]
+    counts = [c for c in sums.columns if c not in keys and c != _RATIO]
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
 
 

@@ -590,3 +590,18 @@ def sql_tiles(spark, sf_dir):
                            FROM planned LATERAL VIEW explode(xs) AS x LATERAL VIEW explode(ys) AS y)
            SELECT k, x, y, source_kind, tw_tile_record_count(source_kind, CASE WHEN scheme = 'web_mercator' THEN CASE source_kind WHEN 'raster' THEN tw_made_png(key, false) ELSE tw_made_vector(key, key % 2 = 0) END END) AS n_records FROM listed"""
     )
+
+
+@query(
+    f"""SELECT o_custkey AS request_id, count(*) FILTER ({_OK}) AS tile_count, count(*) FILTER (o_orderkey % 10 = 3) AS http_404_count, count(*) FILTER (o_orderkey % 5 = 4 OR o_orderkey % 10 = 8) AS error_count,
+              coalesce(sum(o_orderkey % 3) FILTER (o_orderkey % 5 = 2), 0)::BIGINT AS pano_record_count, coalesce(sum({_COVERED.format(k='o_orderkey')}) FILTER (o_orderkey % 5 = 0), 0)::BIGINT AS total_coverage_pixels FROM orders GROUP BY o_custkey"""
+)
+def streamed_manifests(spark, sf_dir):
+    """Manifests kept up by a stream over files of tiles, a few files a batch, without a second look at any tile."""
+    path, tiles = _scratch(spark), _tiles(spark, sf_dir).withColumn("fetched_at", F.lit("2026-01-01T00:00:00+00:00"))
+    tiles.repartition(6).write.parquet(f"{path}/in")
+    stream = streaming.arriving_tiles(spark, f"{path}/in", tiles.schema, files_per_batch=2)
+    streaming.keep_manifests(stream, f"{path}/out", f"{path}/checkpoint", compact_every=2).awaitTermination()
+    jobs = tiles.select("request_id", "job_index").distinct()
+    kept = streaming.kept_manifests(spark, jobs, f"{path}/out", compact_every=2)
+    return kept.select("request_id", "tile_count", "http_404_count", "error_count", "pano_record_count", "total_coverage_pixels")
