@@ -56,3 +56,12 @@ def test_small_ones(spark):
     assert one(spark, text.iso_utc(F.timestamp_seconds(L(1.9)))) == ("1970-01-01T00:00:01+00:00",)
     assert tuple(one(spark, text.hex_to_rgba(L("#1f78b4")))[0]) == (31, 120, 180, 190)
     assert one(spark, text.sorted_json(F.create_map(L("b"), L(1), L("a"), L(2)))) == ('{"a":2,"b":1}',)
+
+
+def test_tokens_of_odd_parameters_are_replaced(spark):
+    """The parameter is written form-encoded, and is no pattern."""
+    url = F.lit("https://h/x?a=1")
+    for parameter in ("access token", "a.b", "t[]", "k$", "(x"):
+        full = text.with_token(url, F.lit(parameter), F.lit("s3cret&more"))
+        row = spark.range(1).select(full.alias("full"), text.redact_token(full, F.lit(parameter)).alias("kept"), text.redact_token(F.lit("https://h/x?aXb=1"), F.lit(parameter)).alias("other")).first()
+        assert "s3cret" in row["full"] and "s3cret" not in row["kept"] and row["kept"].endswith("=REDACTED") and row["other"].endswith("aXb=1")

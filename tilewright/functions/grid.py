@@ -203,19 +203,26 @@ def baidu_lonlat_to_tile(lon: Column, lat: Column, zoom: Column) -> tuple[Column
 
 
 def tile_range(bbox: Column, zoom: Column, scheme: Column) -> Column:
-    """``struct<x_min, x_max, y_min, y_max>``, inclusive; unknown schemes are spherical."""
+    """``struct<x_min, x_max, y_min, y_max>``, inclusive; unknown schemes are spherical.
+
+    In the two Mercator grids columns follow from longitudes and rows from latitudes alone, so two corners are enough, in plain expressions.
+    The offset grid takes all four.
+    """
     w, s, e, n = (bbox[c] for c in ("min_lon", "min_lat", "max_lon", "max_lat"))
     corners = F.array(*[F.struct(a.alias("lon"), b.alias("lat")) for a in (w, e) for b in (s, n)])
 
-    def tile(p: Column) -> Column:
-        pack = lambda xy: F.struct(xy[0].alias("x"), xy[1].alias("y"))
-        at = (p["lon"], p["lat"], zoom)
-        return F.when(scheme == BAIDU, pack(baidu_lonlat_to_tile(*at))).when(scheme == ELLIPTIC, pack(elliptic_lonlat_to_tile(*at))).otherwise(pack(lonlat_to_tile(*at)))
+    def between(ends: list[tuple[Column, Column]]) -> Column:
+        return F.struct(*[f(ends[0][i], ends[1][i]).alias(f"{c}_{name}") for i, c in enumerate("xy") for f, name in ((F.least, "min"), (F.greatest, "max"))])
 
     def spread(tiles: Column) -> Column:
         return F.struct(*[f(tiles[c]).alias(f"{c}_{name}") for c in ("x", "y") for f, name in ((F.array_min, "min"), (F.array_max, "max"))])
 
-    return _let(F.transform(corners, tile), spread)  # each grid's expression once, for all corners
+    def offset_tile(p: Column) -> Column:
+        x, y = baidu_lonlat_to_tile(p["lon"], p["lat"], zoom)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    plain = [between([tile(w, n, zoom), tile(e, s, zoom)]) for tile in (elliptic_lonlat_to_tile, lonlat_to_tile)]
+    return F.when(scheme == BAIDU, _let(F.transform(corners, offset_tile), spread)).when(scheme == ELLIPTIC, plain[0]).otherwise(plain[1])
 
 
 def tile_count(rng: Column) -> Column:

@@ -66,7 +66,7 @@ def with_token(url: Column, parameter: Column, token: Column) -> Column:
 
 def redact_token(url: Column, parameter: Column) -> Column:
     """The value of the token parameter replaced, so that no secret is stored."""
-    pattern = F.concat(F.lit("([?&]"), parameter, F.lit("=)[^&]*"))
+    pattern = F.concat(F.lit(r"([?&]\Q"), form_encode(parameter), F.lit(r"\E=)[^&]*"))
     return F.when(F.coalesce(parameter, F.lit("")) == "", url).otherwise(F.regexp_replace(url, pattern, F.lit("$1REDACTED")))
 
 

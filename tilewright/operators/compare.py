@@ -61,10 +61,10 @@ def summarize_results(manifests: DataFrame) -> DataFrame:
     return summarize_documents(manifests, RESULT_SUMMARY, default_job=0)
 
 
-def summarize(manifest: DataFrame) -> DataFrame:
-    """Summary rows of a manifest table; several tables are one union or one scan."""
+def summarize(manifest: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Summary rows of a manifest table, with the columns of ``keep`` before them; several tables are one union or one scan."""
     path = F.col("manifest_path") if "manifest_path" in manifest.columns else F.concat_ws("/", "namespace", "run_label", F.lit("manifest.json"))
-    return manifest.withColumn("manifest_path", path).select(*SUMMARY)
+    return manifest.withColumn("manifest_path", path).select(*keep, *SUMMARY)
 
 
 def with_labels(df: DataFrame, name: str = "provider") -> DataFrame:
@@ -74,12 +74,13 @@ def with_labels(df: DataFrame, name: str = "provider") -> DataFrame:
     return joined.withColumns({"label": F.coalesce("label", name), "colour": F.coalesce("colour", F.lit(catalog.OTHER_COLOUR))})
 
 
-def panels(summary: DataFrame, columns: int = 3, jobs: list[int] | None = None, figure: tuple[str, ...] = ("job_index",)) -> DataFrame:
+def panels(summary: DataFrame, columns: int = 3, jobs: list[int] | None = None, figure: tuple[str, ...] | None = None) -> DataFrame:
     """Where each result stands in its figure: ordered by label and source, row by row.
 
-    ``figure`` names the columns whose values tell figures apart; summaries of many requests need their box or request
-    there, which also spreads the work. Selecting jobs of which there are no results raises.
+    ``figure`` names the columns whose values tell figures apart: by default the request, where the summary has kept it
+    (:func:`summarize` with ``keep=("request_id",)``), and the job. A figure is one task's; it has a panel for each source of a box. Selecting jobs of which there are no results raises.
     """
+    figure = figure or tuple(c for c in ("request_id", "job_index") if c in summary.columns)
     df = summary
     if jobs is not None:
         df = summary.where(F.col("job_index").isin(jobs))

@@ -66,6 +66,12 @@ def _with_jobs(jobs: DataFrame, sums: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
 
 
+def layer_counts(features: DataFrame, keys: list[str], layer: str = "layer_name") -> DataFrame:
+    """``keys`` and ``counts``, a map of each tile's layers to their features; rows are counted, not gathered."""
+    per_layer = features.groupBy(*keys, layer).agg(F.count("*").alias("n"))
+    return per_layer.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(layer, "n"))).alias("counts"))
+
+
 def job_indexes(manifest: DataFrame) -> DataFrame:
     """The job indexes that have results, each once, in order."""
     return manifest.select("job_index").distinct().orderBy("job_index")

@@ -368,8 +368,7 @@ def manifest_zero_tile_jobs(spark, sf_dir):
 
 @query("SELECT l_orderkey, l_returnflag AS layer_name, count(*) AS feature_count FROM lineitem GROUP BY ALL")
 def layer_counts(spark, sf_dir):
-    layers = _read(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_returnflag").alias("name")).agg(F.collect_list("l_linenumber").alias("features"))
-    per_tile = layers.groupBy("l_orderkey").agg(decode.layer_counts(F.collect_list(F.struct("name", "features"))).alias("counts"))
+    per_tile = metrics.layer_counts(_read(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_returnflag")
     return per_tile.select("l_orderkey", F.explode("counts").alias("layer_name", "feature_count"))
 
 
@@ -535,9 +534,17 @@ def window_counts(spark, sf_dir):
     return counts(_read(spark, sf_dir, "events"), "ts", ["event_type"]).select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), F.col("count").alias("n"))
 
 
-@query("SELECT provider, printf('%s', colour) AS colour FROM (VALUES ('apple_lookaround', '#1f78b4'), ('baidu', '#b15928'), ('kartaview', '#5e3c99'), ('mapillary', '#d01c8b'), ('panoramax', '#4daf4a'), ('svmap_google', '#e66101'), ('yandex', '#1f9d8a')) AS t(provider, colour)")
+_COLOURS_SQL = "(VALUES ('apple_lookaround', '#1f78b4'), ('baidu', '#b15928'), ('kartaview', '#5e3c99'), ('mapillary', '#d01c8b'), ('panoramax', '#4daf4a'), ('svmap_google', '#e66101'), ('yandex', '#1f9d8a')) AS t(provider, colour)"
+
+
+@query(f"SELECT provider, colour, count(n_nationkey) AS n_nations FROM (SELECT *, row_number() OVER (ORDER BY provider) - 1 AS i FROM {_COLOURS_SQL}) LEFT JOIN nation ON n_nationkey % 7 = i GROUP BY ALL")
 def provider_listing(spark, sf_dir):
-    return compare.with_labels(catalog.providers(spark).select("provider")).select("provider", "colour").orderBy("provider")
+    """Providers in order with their colours, and how many nations are dealt to each."""
+    nations = _read(spark, sf_dir, "nation").groupBy((F.col("n_nationkey") % 7).cast("int").alias("i")).agg(F.count("*").alias("n"))
+    listed = compare.with_labels(catalog.providers(spark).select("provider", "provider_ordinal")).orderBy("provider")
+    ranks = {p: i for i, p in enumerate(sorted(p[0] for p in catalog.PROVIDERS))}
+    place = F.element_at(F.create_map(*[F.lit(v) for kv in ranks.items() for v in kv]), F.col("provider"))
+    return listed.withColumn("i", place).join(nations, "i", "left").select("provider", "colour", F.coalesce("n", F.lit(0)).cast("long").alias("n_nations"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,3 +126,8 @@ def compressed(content: Column) -> Column:
 
     each.__annotations__ = {"values": pd.Series, "return": pd.Series}
     return F.pandas_udf(each, "binary")(content)
+
+
+def clear_png() -> bytes:
+    """One pixel, fully transparent."""
+    return _png(0, 4, 8, 0, b"", lambda c: (7, 0))
