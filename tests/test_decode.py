@@ -147,3 +147,22 @@ def test_coverage_json(spark):
     df = spark.createDataFrame([(1, body), (2, gzip.compress(body)), (3, b"{}")], "k int, content binary").withColumn("document", decode.read_coverage_json(F.col("content")))
     rows = decode.pano_rows(df, ["k"]).orderBy("k", "panoid").collect()
     assert [(r["k"], r["panoid"], r["lat"], r["lastModified"]) for r in rows] == [(1, "p", 1.5, "m"), (1, "q", None, "m"), (2, "p", 1.5, "m"), (2, "q", None, "m")]
+
+
+def test_texts_of_a_batch(spark):
+    """WKT of all kinds beside each other, with nulls and empty parts."""
+    rows = [("Point", [[(1.0, -0.0)]]), ("MultiPoint", [[(1.5, 2.5), (0.000000005, 1e9)]]), ("LineString", [[(0.1, 0.2), (3.0, 4.0)], [(9.0, 9.0)]]), ("Point", []), ("Point", [[]]), ("Unknown", [[(1.0, 1.0)]]), (None, [[(1.0, 1.0)]]), ("Polygon", None)]
+    rows += [("Polygon", [[(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)], [], [(2.0, 2.0)]]), ("MultiLineString", [[(5.0, 5.0), (6.0, 6.0)], None, [(7.0, 7.0)]])] + [("Point", [[(float(i), 0.5)]]) for i in range(5000)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, kind string, parts array<array<struct<x: double, y: double>>>")
+
+    def ring(part):
+        return "(" + ", ".join(f"{x:.8f} {y:.8f}" for x, y in part or []) + ")"
+
+    def text(kind, parts):
+        own = parts or []
+        if kind in ("Point", "MultiPoint", "LineString"):
+            return f"{kind.upper()} {ring(own[0] if own else [])}"
+        return f"{kind.upper()} ({', '.join(map(ring, own))})" if kind in ("MultiLineString", "Polygon") else ""
+
+    got = {r["i"]: r["t"] for r in df.select("i", decode.write_wkt(F.col("kind"), F.col("parts")).alias("t")).collect()}
+    assert got == {i: text(*r) for i, r in enumerate(rows)}

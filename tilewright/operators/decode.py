@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -356,22 +357,33 @@ def project_parts(parts: Column, x: Column, y: Column, zoom: Column, extent: Col
 
 def write_wkt(geometry_type: Column, parts: Column) -> Column:
     """WKT with eight exact decimals; an unknown type is empty. Built-in formatting rounds halves differently."""
-    return F.pandas_udf(_write_wkt, "string")(geometry_type, parts)
-
-
-def _write_wkt(geometry_type: pd.Series, parts: pd.Series) -> pd.Series:
-    def ring(part) -> str:
-        return "(" + ", ".join(f"{p['x']:.8f} {p['y']:.8f}" for p in part) + ")"
-
-    def one(kind, own) -> str:
-        own = [] if own is None else list(own)
+    return F.arrow_udf(_write_wkt, "string")(geometry_type, parts.cast("array<array<struct<x: double, y: double>>>"))
+
+
+def _write_wkt(geometry_type: pa.Array, parts: pa.Array) -> pa.Array:
+    """All coordinates of a batch are written by a few calls of one pattern, and joined by rings and rows."""
+    rings = parts.flatten()
+    points = rings.flatten()
+    numbers = np.column_stack([points.field(i).to_numpy(zero_copy_only=False) for i in (0, 1)]).ravel()
+    pairs: list[str] = []
+    for at in range(0, len(numbers), 8192):
+        some = numbers[at : at + 8192].tolist()
+        pairs += ("%.8f %.8f\n" * (len(some) // 2) % tuple(some)).split("\n")[:-1]
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(rings.value_lengths(), 0).to_numpy(zero_copy_only=False))]).tolist()
+    written = ["(" + ", ".join(pairs[a:b]) + ")" for a, b in zip(ends, ends[1:])]
+    rows = np.concatenate([[0], np.cumsum(pc.fill_null(parts.value_lengths(), 0).to_numpy(zero_copy_only=False))]).tolist()
+
+    def one(kind: str | None, own: list[str]) -> str:
         if kind in ("Point", "MultiPoint", "LineString"):
-            return f"{kind.upper()} {ring(own[0] if own else [])}"
+            return f"{kind.upper()} {own[0] if own else '()'}"
         if kind in ("MultiLineString", "Polygon"):
-            return f"{kind.upper()} ({', '.join(map(ring, own))})"
+            return f"{kind.upper()} ({', '.join(own)})"
         return ""
 
-    return pd.Series([one(k, p) for k, p in zip(geometry_type, parts)], dtype=object)
+    return pa.array([one(kind, written[a:b]) for kind, a, b in zip(geometry_type.to_pylist(), rows, rows[1:])], pa.string())
+
+
+_write_wkt.__annotations__ = {"geometry_type": pa.Array, "parts": pa.Array, "return": pa.Array}
 
 
 def parse_wkt(wkt: Column) -> Column:
