@@ -4,10 +4,10 @@ Vectors are scaled to integers and written once, in packs, as a table bucketed b
 assigns every part to its nearest codebook entry and writes the assignments as a table with the
 same buckets, so that the next round meets them without a shuffle. Beside them it writes, once a
 task, what the parts whose assignment changed add to their new entries and take from their old ones. Only
-these contributions are shuffled; they update running integer sums, from which the next codebooks
+these contributions are shuffled; they are added to a table of running integer sums, from which the next codebooks
 follow exactly: integers leave no rounding behind, however the rows were dealt out.
 
-The driver holds the codebooks and their sums, whose size is given by the parameters.
+The driver reads the codebooks' sums, whose size is given by the parameters.
 """
 
 from __future__ import annotations
@@ -146,12 +146,14 @@ def assign_round(packs: Packs, before: DataFrame | None, books: np.ndarray) -> D
 def fit_codebooks(packs: Packs, n_parts: int, rounds: int) -> np.ndarray:
     """(parts, entries, components) after so many rounds, from the parts of ``packs.first``."""
     books = packs.first.astype(np.int64).reshape(len(packs.first), n_parts, -1).transpose(1, 0, 2)
-    sums, before = np.zeros((*books.shape[:2], books.shape[2] + 1), np.int64), None
+    sums, before, running = np.zeros((*books.shape[:2], books.shape[2] + 1), np.int64), None, None
     for _ in range(rounds):
         before = assign_round(packs, before, books)
-        each = before.select(F.explode(F.arrays_zip("places", "amounts")).alias("c")).groupBy("c.places").agg(F.sum("c.amounts").alias("amount"))
-        for r in each.collect():  # a row at most for each number in the codebooks
-            sums.ravel()[r["places"]] += r["amount"]
+        changes = before.select(F.explode(F.arrays_zip("places", "amounts")).alias("c")).select(F.col("c.places").alias("place"), F.col("c.amounts").alias("amount"))
+        rows = changes if running is None else changes.union(running)
+        running = stage(rows.groupBy("place").agg(F.sum("amount").alias("amount")), "running-sums")
+        for r in running.collect():  # a row at most for each number in the codebooks
+            sums.ravel()[r["place"]] = r["amount"]
         used = sums[..., -1:] > 0
         books = np.where(used, sums[..., :-1] // np.maximum(sums[..., -1:], 1), books)
     return books
