@@ -200,7 +200,7 @@ def some_turns(seed=2):
         for t in range(rng.choice([1, 2, 3, 5, 9])):
             rows.append((c, rng.choice([t, t, None]), rng.choice(["user", "user", None, "1"]), rng.choice(["a", "a b", "", None, " \t", ":a"])))
     rows += [(c, t, "user", f"same words {t}") for c in range(200, 380) if c % 20 for t in range(6)]  # one conversation for half of all; no bases
-    rows += [(500, t, "user", "long " * (t % 3)) for t in range(1500)] + [(501, t, "user", "long " * (t % 3)) for t in range(1400)]
+    rows += [(500, t, "user", "long " * (t % 3)) for t in range(300)] + [(501, t, "user", "long " * (t % 3)) for t in range(260)]
     rows += [rows[4], rows[4], (None, 0, "user", "nobody's"), (7, 3, "user", "x"), (7, 3, "user", "w")]
     rng.shuffle(rows)
     return rows
