@@ -22,6 +22,12 @@ def _scratch(spark: SparkSession) -> str:
     return new_dir(spark, "query")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A small table may be one partition; where each row takes long, its rows (narrow ones) are dealt to all cores."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 # Bytes
 
 _PIXELS = "(1 + {k} % 9) * (1 + {k} % 7)"
@@ -33,14 +39,14 @@ _COVERED = f"CAST(len(list_filter(range({_PIXELS}), lambda i: (7 * i + {{k}}) %
               CAST({_PIXELS.format(k='p_partkey')} AS BIGINT) AS total_pixel_count, round({_COVERED.format(k='p_partkey')} / ({_PIXELS.format(k='p_partkey')})::DOUBLE, 9) AS coverage_ratio FROM part"""
 )
 def png_summary(spark, sf_dir):
-    df = _read(spark, sf_dir, "part").withColumn("s", decode.summarize_png(samples.made("png", F.col("p_partkey"))))
+    df = _spread(_read(spark, sf_dir, "part").select("p_partkey")).withColumn("s", decode.summarize_png(samples.made("png", F.col("p_partkey"))))
     return df.select("p_partkey", "s.width", "s.height", "s.coverage_pixel_count", "s.total_pixel_count", F.round("s.coverage_ratio", 9).alias("coverage_ratio"))
 
 
 @query(f"SELECT p_partkey, CAST(1 + p_partkey % 9 AS INTEGER) AS width, CAST(1 + p_partkey % 7 AS INTEGER) AS height, {_COVERED.format(k='p_partkey')} AS coverage_pixel_count FROM part")
 def png_forms(spark, sf_dir):
     """Palettes of 1, 2 and 4 bits, pictures of 16 bits, half of them interlaced."""
-    df = _read(spark, sf_dir, "part").withColumn("s", decode.summarize_png(samples.made("png_form", F.col("p_partkey"))))
+    df = _spread(_read(spark, sf_dir, "part").select("p_partkey")).withColumn("s", decode.summarize_png(samples.made("png_form", F.col("p_partkey"))))
     return df.select("p_partkey", "s.width", "s.height", "s.coverage_pixel_count")
 
 
@@ -53,7 +59,7 @@ def mvt_values(spark, sf_dir):
     k = F.col("o_orderkey")
     feature = decode.decode_mvt_tiles(samples.made("values", k))["layers"][0]["features"][0]
     point = F.col("f.parts")[0][0]
-    return _read(spark, sf_dir, "orders").select(k, feature.alias("f")).select("o_orderkey", "f.properties_json", point["x"].alias("x"), point["y"].alias("y"))
+    return _spread(_read(spark, sf_dir, "orders").select(k)).select(k, feature.alias("f")).select("o_orderkey", "f.properties_json", point["x"].alias("x"), point["y"].alias("y"))
 
 
 @query(
@@ -61,7 +67,7 @@ def mvt_values(spark, sf_dir):
 )
 def mask_overlay(spark, sf_dir):
     colour = text.hex_to_rgba(F.lit("#0000ff"), 1)  # of a coloured pixel two bytes are not zero
-    df = _read(spark, sf_dir, "part").select("p_partkey", decode.recolour_mask(samples.made("png", F.col("p_partkey")), colour)["rgba"].alias("rgba"))
+    df = _spread(_read(spark, sf_dir, "part").select("p_partkey")).select("p_partkey", decode.recolour_mask(samples.made("png", F.col("p_partkey")), colour)["rgba"].alias("rgba"))
     zeros = F.regexp_count(F.hex("rgba"), F.lit("0000FF01"))
     return df.select("p_partkey", zeros.cast("long").alias("coloured"), F.octet_length("rgba").cast("long").alias("byte_length"))
 
@@ -77,7 +83,7 @@ def gunzip(spark, sf_dir):
 
 def _vector_tiles(spark, sf_dir) -> DataFrame:
     k = F.col("o_orderkey")
-    df = _read(spark, sf_dir, "orders").select(k, (k % 8).alias("x"), (k % 5).alias("y"), F.lit(3).alias("source_zoom"), samples.made("vector", k, k % 2 == 0).alias("content"))
+    df = _spread(_read(spark, sf_dir, "orders").select(k)).select(k, (k % 8).alias("x"), (k % 5).alias("y"), F.lit(3).alias("source_zoom"), samples.made("vector", k, k % 2 == 0).alias("content"))
     return df.withColumn("layers", decode.decode_mvt_tiles(decode.gunzip(F.col("content")))["layers"]).drop("content")
 
 
@@ -150,7 +156,7 @@ def _tiles(spark, sf_dir) -> DataFrame:
     of = lambda i, body, zipped=None: F.when(k % 5 == i, samples.made(body, F.when(k % 5 == i, k), zipped))
     none = F.lit(None).cast("string")
     kind = F.when(k % 5 == 1, "vector_mvt").when(k % 5 == 2, "coverage_json").otherwise("raster")
-    return _read(spark, sf_dir, "orders").select(
+    return _spread(_read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")).select(
         F.col("o_custkey").alias("request_id"), F.lit(0).alias("job_index"), F.concat(F.lit("run_"), F.col("o_orderstatus")).alias("run_label"), F.lit("kartaview").alias("provider"), F.lit("s").alias("source_id"),
         kind.alias("source_kind"), F.lit(5).alias("display_zoom"), F.lit(5).alias("source_zoom"), k.alias("x"), F.col("o_custkey").alias("y"), F.concat(F.lit("https://h/"), k.cast("string")).alias("tile_url"),
         F.when(k % 5 == 3, 404).otherwise(200).alias("http_status"), F.lit("image/png").alias("content_type"), F.coalesce(of(0, "png"), of(1, "vector", k % 2 == 0), of(2, "json", k % 2 == 0), F.when(k % 5 == 4, F.lit("no picture").cast("binary"))).alias("content"),
