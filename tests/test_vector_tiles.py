@@ -134,3 +134,11 @@ def test_ten_megabytes_a_second():
 
 def test_made_tiles():
     same([samples.vector_body(k) for k in range(40)])
+
+
+def test_tiles_are_decoded_once(spark):
+    """The filter that an explosion of layers brings along is not pushed below the decoder."""
+    from tilewright import run_queries
+
+    plan = run_queries.mvt_decode(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [_decode_mvt_tiles(") == 1

@@ -1,6 +1,7 @@
 """Tiles to records. Bytes are decoded in Arrow batches; everything after is columns.
 
-No decoder throws: each gives its result and an error text, of which one is null.
+No decoder throws: each gives its result and an error text, of which one is null. Decoders are marked as not deterministic, which they
+are, so that a filter on what they give (such as an explosion brings along) is not pushed below them with a second decoding.
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ PNG_SUMMARY = "width int, height int, coverage_pixel_count long, total_pixel_cou
 
 def summarize_png(content: Column) -> Column:
     """Size, pixels that are not fully transparent, all pixels and their ratio (0 without pixels); of null, nulls."""
-    return F.pandas_udf(_summarize_png, PNG_SUMMARY)(content)
+    return F.pandas_udf(_summarize_png, PNG_SUMMARY).asNondeterministic()(content)
 
 
 def _summarize_png(content: pd.Series) -> pd.DataFrame:
@@ -162,7 +163,7 @@ def _inflate(content: pd.Series) -> pd.Series:
 def gunzip(content: Column) -> Column:
     """Inflated where it starts like gzip (null if broken), else unchanged."""
     zipped = is_gzip(content)  # what is not is not handed to Python
-    return F.when(zipped, F.pandas_udf(_inflate, "binary")(F.when(zipped, content))).otherwise(content)
+    return F.when(zipped, F.pandas_udf(_inflate, "binary").asNondeterministic()(F.when(zipped, content))).otherwise(content)
 
 
 # vector tiles
@@ -293,7 +294,7 @@ MVT = (
 
 def decode_mvt_tiles(content: Column) -> Column:
     """Layers of vector tiles, or the error; of null, neither. Tiles of a batch are read together (:mod:`tilewright.operators.vector_tiles`)."""
-    return F.arrow_udf(_decode_mvt_tiles, MVT)(content)
+    return F.arrow_udf(_decode_mvt_tiles, MVT).asNondeterministic()(content)
 
 
 def _decode_mvt_tiles(content: pa.Array) -> pa.Array:
@@ -323,7 +324,7 @@ GEOMETRY = "geometry_type string, parts array<array<struct<x: double, y: double>
 
 def decode_geometry(commands: Column, kind: Column) -> Column:
     """Type and parts of command streams (arrays of numbers) of a kind: 1 points, 2 lines, 3 polygons."""
-    return F.arrow_udf(_decode_geometry, GEOMETRY)(commands.cast("array<long>"), kind.cast("long"))
+    return F.arrow_udf(_decode_geometry, GEOMETRY).asNondeterministic()(commands.cast("array<long>"), kind.cast("long"))
 
 
 def _decode_geometry(commands: pa.Array, kind: pa.Array) -> pa.Array:
