@@ -116,6 +116,11 @@ def skipped_tiles(df: DataFrame) -> DataFrame:
     return df.where(F.col("outcome") == "skipped").select(*RUN, *ERRORS)
 
 
+def failed_tiles(df: DataFrame) -> DataFrame:
+    """Rows of both tables with their ``outcome``, in one pass."""
+    return df.where(F.col("outcome").isin("error", "skipped")).select(*RUN, *ERRORS, "outcome")
+
+
 def first_errors(df: DataFrame) -> DataFrame:
     """Per run that stops on errors and has one: the first error by place, x before y."""
     bad = df.where((F.col("outcome") == "error") & F.col("stop_on_error"))
