@@ -182,3 +182,29 @@ def test_files_equal_stored_tiles(spark, tmp_path):
         assert json.loads(found) == json.loads(r["stored_content"]) and found.startswith(b"{\n  ") if r["source_kind"] == "coverage_json" else found == bytes(r["stored_content"])
     beside = json.loads(next((tmp_path / "files").glob(f"*/{rows[0]['run_label']}/{rows[0]['metadata_path']}")).read_text())
     assert list(beside) == sorted(outcome.TILE_SUMMARY)
+
+
+def test_packed_files_are_the_same_files(spark, tmp_path):
+    """Rows of a few containers instead of two files and a folder a tile; unpacked, they are the tree that is written singly."""
+    _, done = run(spark)
+    tile_format.write_files(done, f"{tmp_path}/single", partitions=3)
+    tile_format.write_files(done, f"{tmp_path}/packed", partitions=3, packed=True)
+    assert len(list((tmp_path / "packed").rglob("*.parquet"))) <= 3
+    tile_format.unpack_files(spark, f"{tmp_path}/packed", f"{tmp_path}/unpacked")
+    tree = lambda name: {str(f.relative_to(tmp_path / name)): f.read_bytes() for f in (tmp_path / name).rglob("*") if f.is_file()}
+    single, unpacked = tree("single"), tree("unpacked")
+    times = [t.pop(k) for t in (single, unpacked) for k in [k for k in t if k.endswith(".metadata.json")]]
+    assert {**single, "committed.json": b""} == {**unpacked, "committed.json": b""} and len(times) == 2 * outcome.fetched(done).count()
+    read = {r["output_path"]: bytes(r["content"]) for r in tile_format.read_files(spark, f"{tmp_path}/packed", packed=True).collect()}
+    assert read == {k: v for k, v in single.items() if k != "committed.json"}
+    assert tables.read_images(spark, f"{tmp_path}/packed", packed=True).count() == len(single) - 1
+    tile_format.unpack_files(spark, f"{tmp_path}/packed", f"{tmp_path}/some", F.endswith("output_path", F.lit(".mvt")))
+    assert {k.split(".", 1)[1] for k in tree("some")} == {"mvt", "mvt.metadata.json", "json"}
+
+
+def test_packed_manifests_read_as_those_of_files(spark, tmp_path):
+    rows = spark.range(40).select(F.concat(F.lit("l"), "id").alias("run_label"), F.lit("ns").alias("namespace"), F.lit("s3cret").alias("access_token"))
+    tables.pack_manifests(rows.coalesce(2), f"{tmp_path}/packed")
+    assert len(list((tmp_path / "packed").rglob("*.parquet"))) == 2  # not a folder each
+    read = {r["manifest_path"]: json.loads(r["document"]) for r in tables.packed_manifests(spark, f"{tmp_path}/packed").collect()}
+    assert read == {f"ns/l{i}/manifest.json": {"namespace": "ns", "run_label": f"l{i}"} for i in range(40)}

@@ -163,5 +163,18 @@ def export_files(spark: SparkSession, run: str, path: str) -> None:
     documents.write.mode("overwrite").partitionBy("namespace", "run_label").text(f"{path}/manifests")
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
+def pack_manifests(manifests: DataFrame, path: str) -> None:
+    """The files of :func:`manifest_json` as rows of Parquet containers: for more manifests than a disk should have folders."""
+    manifest_json(manifests).write.mode("append").parquet(path)
+
+
+def packed_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """Packed manifests as :func:`read_manifests` gives them."""
+    return spark.read.parquet(path).select("document", "manifest_path")
+
+
+def read_images(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
+    """Files as a table with ``path`` and ``content``; of ``packed`` ones (:func:`tilewright.sources.tile_format.write_files`) with their places."""
+    if packed:
+        return spark.read.parquet(path).where("output_path IS NOT NULL AND content IS NOT NULL").select(F.col("output_path").alias("path"), "content")
     return spark.read.format("binaryFile").load(path)
