@@ -610,6 +610,31 @@ def test_near_copies_are_those_of_brute_force(spark, empty, all_pairs, monkeypat
     assert near_copies.near_copies(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_hubs_lose_no_link_of_a_bucket(spark, monkeypatch, block):
+    """All texts in one bucket: close copies of a text, and pairs of which only one is similar to it."""
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(400)]
+
+    def changed(words, places):
+        return [f"new{rng.random()}" if i in places else w for i, w in enumerate(words)]
+
+    texts = [base] + [changed(base, {rng.randrange(400)}) for _ in range(45)]
+    for i in range(12):
+        inner = changed(base, set(range(i, 400, 57)))
+        texts += [inner, changed(inner, set(range(i + 28, 400, 57)))]
+    texts = [" ".join(t) for t in texts]
+    sets = [set(near_copies.shingle_set(t).tolist()) for t in texts]
+    pairs = [(j, i) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert all((i, i + 1) in pairs and (0, i) in pairs and (0, i + 1) not in pairs for i in range(46, 70, 2))
+    monkeypatch.setattr(near_copies, "_buckets", lambda *_: spark.createDataFrame([(0, 0, i, len(s)) for i, s in enumerate(sets)], "t int, key long, print long, size long"))
+    links = near_copies.similar_links(spark.createDataFrame(list(enumerate(texts)), "print long, text string").repartition(3), 0.8, 5)
+    found = {tuple(r) for r in links.collect()}
+    assert found <= set(pairs)
+    assert slow_groups(range(len(texts)), found) == slow_groups(range(len(texts)), pairs)
+
+
 @pytest.mark.parametrize("block", [1024, 7])
 def test_blocks_of_a_bucket_miss_no_similar_pair(spark, monkeypatch, block):
     monkeypatch.setattr(near_copies, "BLOCK", block)

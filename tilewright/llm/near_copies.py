@@ -6,15 +6,19 @@ the covering tables of :mod:`tilewright.llm.simhash` over the fingerprints of th
 the radius. Fingerprints alone cannot list the pairs at a threshold
 like 0.8: those of such a pair differ in about ten of 64 bits, and
 covering tables grow as 2**radius. So texts that agree on
-a band of MinHashes share a bucket too (24 bands of 5: a pair at 0.8 shares
-one with probability 0.9999).
+a band of MinHashes share a bucket too (40 bands of 5: a pair at 0.8 shares
+none with probability 10**-7).
 
 Buckets of at most ``all_pairs`` texts are compared pair by pair. In larger ones
 everything is compared to a few hubs: the text that is in the largest buckets, which others are copies of, and some by hash, the same
 in all buckets that hold them; so work stays linear in a large group of near copies. That goes on as long as hubs take in a
 quarter of what is left. The rest of a bucket is alike in little more than
 a band: its MinHashes are compared in blocks of bounded size, and only pairs that agree in enough of them (a pair at the threshold fails
-with probability 10**-5) are candidates.
+with probability 10**-7) are candidates.
+
+Two texts that a hub takes in are linked by it. Of a pair of which it takes in only one, the other is not far from the hub either: 1 - Jaccard is a
+metric, so their similarity is at least 2 * ``least`` - 1. Such texts, the hub's rim, are compared to what it takes in, by
+MinHashes in blocks as above. So hubs lose no link between texts that share a bucket.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from tilewright.llm.scratch import stage
 from tilewright.llm.simhash import covering_masks, majority_bits
 from tilewright.llm.workers import releasing
 
-BANDS, BAND_ROWS, HUBS, BLOCK, SEED = 24, 5, 2, 1024, 42
+BANDS, BAND_ROWS, HUBS, BLOCK, SEED = 40, 5, 2, 1024, 42
 
 
 def shingle_hashes(text: str | None, shingle_words: int = 5) -> np.ndarray:
@@ -100,7 +104,8 @@ def _buckets(texts: DataFrame, shingle_words: int, radius: int) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, least: float, shingle_words: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar; only texts of candidates are read."""
+    """``a, b, share, linked``: the pairs whose sets are similar or, not ``linked``, may be so by a third (see above); only texts of candidates are read."""
+    nearby = max(0.0, 2 * least - 1)
     needed = pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,22 +120,28 @@ def _similar(pairs: DataFrame, texts: DataFrame, least: float, shingle_words: in
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, shares, linked = [], [], []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= least * max(len(x), len(y)) else 0
-                keep.append(both + 1e-9 >= least * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) + 1e-9 >= nearby * max(len(x), len(y)) else 0
+                whole = len(x) + len(y) - both
+                keep.append(both + 1e-9 >= nearby * whole)
+                shares.append(both / whole)
+                linked.append(both + 1e-9 >= least * whole)
+            told = [batch.column(0), batch.column(1), pa.array(shares, pa.float64()), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(told, ["a", "b", "share", "linked"]).filter(pa.array(keep, pa.bool_()))
 
     sides = pairs.join(own.select(F.col("print").alias("a"), F.col("shingles").alias("x")), "a")
     sides = sides.join(own.select(F.col("print").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    return stage(sides.mapInArrow(releasing(compare), "a long, b long"), "similar")
+    return stage(sides.mapInArrow(releasing(compare), "a long, b long, share double, linked boolean"), "similar")
 
 
 def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: int) -> DataFrame:
-    """``a, b``: pairs of a bucket of ``t, key, print, size`` whose MinHashes agree as often as those of similar texts."""
+    """``a, b``: pairs of a bucket of ``t, key, print, size`` whose MinHashes agree as often as those of similar texts. With a column ``rim``, pairs of one in it and one not."""
+    sided = "rim" in left.columns
+    left = left if sided else left.withColumn("rim", F.lit(False))
     n_hashes, p = BANDS * BAND_ROWS, least + (1 - least) / 256
-    enough = int(n_hashes * p - 4.3 * np.sqrt(n_hashes * p * (1 - p)))
+    enough = int(n_hashes * p - 5.3 * np.sqrt(n_hashes * p * (1 - p)))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +157,7 @@ def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: in
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sketches, "print")
     # A row for each block that a text's block meets; a group holds two blocks, or one.
     group = ["t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
-    rows = placed.select(*group, "own", "print", "size", "sketch")
+    rows = placed.select(*group, "own", "print", "size", "sketch", "rim")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -167,15 +178,20 @@ def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: in
 
     def pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
-        prints, sizes, block = (rows[c].to_numpy() for c in ("print", "size", "own"))
+        prints, sizes, block, rim = (rows[c].to_numpy() for c in ("print", "size", "own", "rim"))
         sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, n_hashes)
         crossed, out = rows["i"][0].as_py() != rows["j"][0].as_py(), [np.zeros((0, 2), np.int64)]
-        for k in range(len(prints) - 1):
-            near = (sketches[k + 1 :] == sketches[k]).sum(axis=1) >= enough
-            near &= np.minimum(sizes[k + 1 :], sizes[k]) >= least * np.maximum(sizes[k + 1 :], sizes[k])
+        if sided:  # the rim last: each of the others is compared to it alone
+            order = np.argsort(rim, kind="stable")
+            prints, sizes, block, sketches = prints[order], sizes[order], block[order], sketches[order]
+        n_inner = int((~rim).sum()) if sided else len(prints) - 1
+        for k in range(n_inner):
+            first = n_inner if sided else k + 1
+            near = (sketches[first:] == sketches[k]).sum(axis=1) >= enough
+            near &= np.minimum(sizes[first:], sizes[k]) >= least * np.maximum(sizes[first:], sizes[k])
             if crossed:
-                near &= block[k + 1 :] != block[k]
-            found = prints[k + 1 :][near]
+                near &= block[first:] != block[k]
+            found = prints[first:][near]
             out.append(np.column_stack([np.minimum(found, prints[k]), np.maximum(found, prints[k])]))
         both = np.concatenate(out)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
@@ -183,10 +199,28 @@ def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: in
     return rows.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j").mapInArrow(releasing(compare), "a long, b long").distinct()
 
 
+def _both_ways(known: DataFrame) -> DataFrame:
+    """Each pair ``a, b`` as ``print, hub``, either way."""
+    a, b = F.col("a"), F.col("b")
+    return known.select(a.alias("print"), b.alias("hub"), "share", "linked").union(known.select(b, a, "share", "linked"))
+
+
+def _rims(known: DataFrame, hubs: DataFrame, sizes: DataFrame, least: float) -> DataFrame:
+    """``t, key, print, size, rim``: for each hub (its ``key``) that has a rim, the rim and those that it takes in and that may be similar to one of the rim."""
+    around = stage(_both_ways(known).join(hubs, "hub"), "around")
+    nearest = around.where("NOT linked").groupBy("hub").agg(F.max("share").alias("nearest"))
+    # The distance of two texts is no less than the difference of theirs to the hub.
+    may = ~F.col("linked") | (F.col("share") <= F.col("nearest") + (1 - least) + 1e-9)
+    rows = around.join(nearest, "hub").where(may).join(sizes, "print")
+    return stage(rows.select(F.lit(0).alias("t"), F.col("hub").alias("key"), "print", "size", (~F.col("linked")).alias("rim")), "rims")
+
+
 def similar_links(texts: DataFrame, least: float, shingle_words: int, radius: int = 3, all_pairs: int = 32) -> DataFrame:
     """``a, b`` over ``print, text``: links between similar texts."""
-    left, n_hubs = _buckets(texts, shingle_words, radius), HUBS
-    links, compared, bucket = None, None, ["t", "key"]
+    whole = _buckets(texts, shingle_words, radius)
+    left, n_hubs = whole, HUBS
+    known, compared, hubs, bucket = None, None, None, ["t", "key"]
+    nearby = max(0.0, 2 * least - 1)
     while True:
         sizes = stage(left.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1"), "sizes")
         sized = stage(left.join(sizes, bucket), "sized")
@@ -202,26 +236,34 @@ def similar_links(texts: DataFrame, least: float, shingle_words: int, radius: in
         many = members.where(F.col("n") > all_pairs)
         met = many.select(*bucket, "print", "size").join(many.where("is_hub").select(*bucket, F.col("print").alias("hub"), F.col("size").alias("other")), bucket).where("print != hub")
         to_hubs = met.select(F.least("print", "hub").alias("a"), F.greatest("print", "hub").alias("b"), "size", "other")
-        # Sets of too different sizes cannot be similar, and a pair is compared once.
-        alike = F.least("size", "other") >= least * F.greatest("size", "other")
-        new = pairs.select("a", "b", "size", "other").union(to_hubs).where(alike).select("a", "b").distinct()
+        # Sets of too different sizes cannot be similar (nor, of a hub, in its rim), and a pair is compared once.
+        alike = lambda share: F.least("size", "other") >= share * F.greatest("size", "other")
+        new = pairs.where(alike(least)).select("a", "b").union(to_hubs.where(alike(nearby)).select("a", "b")).distinct()
         if compared is not None:
             new = new.join(compared, ["a", "b"], "left_anti")
         new = stage(new, "candidates")
         compared = new if compared is None else compared.union(new)
         found = _similar(new, texts, least, shingle_words)
-        links = found if links is None else links.union(found)
+        known = found if known is None else known.union(found)
         n_many = many.count()
         if not n_many:
-            return links.distinct()
-        # What is a hub or similar to one is settled in this bucket.
-        ends = links.select(F.col("a").alias("print"), F.col("b").alias("hub")).union(links.select("b", "a"))
+            break
+        own_hubs = stage(many.where("is_hub").select(F.col("print").alias("hub")).distinct(), "hubs")
+        hubs = own_hubs if hubs is None else hubs.union(own_hubs)
+        # What is a hub or similar to one is settled in this bucket, but for the hub's rim.
+        ends = _both_ways(known.where("linked")).select("print", "hub")
         taken = met.join(ends, ["print", "hub"]).select(*bucket, "print").distinct()
         rest = many.where("NOT is_hub").select(*bucket, "print", "size")
         left, n_hubs = stage(rest.join(taken, [*bucket, "print"], "left_anti"), "left"), 2 * n_hubs
         if left.count() > 0.75 * n_many:
-            new = _agreeing(left, texts, least, shingle_words).join(compared, ["a", "b"], "left_anti")
-            return links.union(_similar(stage(new, "candidates"), texts, least, shingle_words)).distinct()
+            new = stage(_agreeing(left, texts, least, shingle_words).join(compared, ["a", "b"], "left_anti"), "candidates")
+            compared, known = compared.union(new), known.union(_similar(new, texts, least, shingle_words))
+            break
+    if hubs is not None:
+        rims = _rims(known, hubs.distinct(), whole.select("print", "size").distinct(), least)
+        new = stage(_agreeing(rims, texts, least, shingle_words).join(compared, ["a", "b"], "left_anti"), "candidates")
+        known = known.union(_similar(new, texts, least, shingle_words))
+    return known.where("linked").select("a", "b").distinct()
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, radius: int = 3) -> DataFrame:
