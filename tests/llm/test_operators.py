@@ -635,6 +635,22 @@ def test_hubs_lose_no_link_of_a_bucket(spark, monkeypatch, block):
     assert slow_groups(range(len(texts)), found) == slow_groups(range(len(texts)), pairs)
 
 
+def test_links_of_a_large_group_grow_with_its_texts(spark, monkeypatch):
+    """Copies of a text of which many pairs are just under the threshold: few are compared, and the classes are those of all pairs."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    texts = [base] + [[f"new{rng.random()}" if rng.random() < 0.02 else w for w in base] for _ in range(160)]
+    texts = [" ".join(t) for t in texts]
+    sets = [set(near_copies.shingle_set(t).tolist()) for t in texts]
+    shares = {(j, i): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(texts)) for j in range(i)}
+    pairs = [p for p, share in shares.items() if share >= 0.8]
+    assert len([s for s in shares.values() if 0.6 <= s < 0.8]) > 3000
+    monkeypatch.setattr(near_copies, "_buckets", lambda *_: spark.createDataFrame([(0, 0, i, len(s)) for i, s in enumerate(sets)], "t int, key long, print long, size long"))
+    found = [tuple(r) for r in near_copies.similar_links(spark.createDataFrame(list(enumerate(texts)), "print long, text string").repartition(3), 0.8, 5).collect()]
+    assert set(found) <= set(pairs) and len(found) < 6 * len(texts)
+    assert slow_groups(range(len(texts)), found) == slow_groups(range(len(texts)), pairs)
+
+
 @pytest.mark.parametrize("block", [1024, 7])
 def test_blocks_of_a_bucket_miss_no_similar_pair(spark, monkeypatch, block):
     monkeypatch.setattr(near_copies, "BLOCK", block)

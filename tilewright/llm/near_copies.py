@@ -9,16 +9,13 @@ covering tables grow as 2**radius. So texts that agree on
 a band of MinHashes share a bucket too (40 bands of 5: a pair at 0.8 shares
 none with probability 10**-7).
 
-Buckets of at most ``all_pairs`` texts are compared pair by pair. In larger ones
-everything is compared to a few hubs: the text that is in the largest buckets, which others are copies of, and some by hash, the same
-in all buckets that hold them; so work stays linear in a large group of near copies. That goes on as long as hubs take in a
-quarter of what is left. The rest of a bucket is alike in little more than
-a band: its MinHashes are compared in blocks of bounded size, and only pairs that agree in enough of them (a pair at the threshold fails
-with probability 10**-7) are candidates.
-
-Two texts that a hub takes in are linked by it. Of a pair of which it takes in only one, the other is not far from the hub either: 1 - Jaccard is a
-metric, so their similarity is at least 2 * ``least`` - 1. Such texts, the hub's rim, are compared to what it takes in, by
-MinHashes in blocks as above. So hubs lose no link between texts that share a bucket.
+What is returned are links that connect what all similar pairs connect, not all pairs: once texts are connected, pairs among them are not looked at.
+First all texts of a bucket are compared to a few hubs: the text that is in the largest buckets, which others are copies of, and of
+large buckets some by hash, the same in all buckets that hold them. That goes on as long as hubs connect much; so work stays linear in a large group of near copies.
+Buckets whose texts are then still in several classes are open. Those of at most ``all_pairs`` texts are compared pair by pair. Larger ones that have texts in common are put together, so that a pair is met once, and the texts outside
+the largest class are compared to all texts of other classes in blocks of bounded size: by MinHashes, and where enough of them agree
+(a pair at the threshold fails with probability 10**-7) by their sets, unless a link before has connected their classes. A block gives
+the links that it found, fewer than it has texts. So no bucket loses a link.
 """
 
 from __future__ import annotations
@@ -74,14 +71,15 @@ def min_hashes(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """One key for each band of the MinHashes."""
+    """One key for each band of the MinHashes; bands of different places have different keys."""
     least = min_hashes(shingles)
-    return np.array([xxhash.xxh64_intdigest(b.tobytes(), SEED) for b in least.reshape(BANDS, BAND_ROWS)], np.uint64).view(np.int64)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), SEED + i) for i, b in enumerate(least.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64)
 
 
 def _buckets(texts: DataFrame, shingle_words: int, radius: int) -> DataFrame:
-    """``t, key, print, size``: a row for each band and each covering table of each text, with the size of its set."""
+    """``t, key, print, size``: a row for each bucket of each text that others share, with the size of the text's set. A key tells its table, so ``t`` is 0."""
     masks = np.array(covering_masks(radius), np.uint64)
+    place = (np.arange(len(masks), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     n = BANDS + len(masks)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,54 +90,56 @@ def _buckets(texts: DataFrame, shingle_words: int, radius: int) -> DataFrame:
                 for text in part.column(1):
                     hashes = shingle_hashes(text.as_py(), shingle_words)
                     own = np.unique(hashes)
-                    keys += [band_keys(own), (np.uint64(majority_bits(hashes)) & masks).view(np.int64)]
+                    covered = (np.uint64(majority_bits(hashes)) & masks) * np.uint64(0xD6E8FEB86659FD93) + place
+                    keys += [band_keys(own), covered.view(np.int64)]
                     sizes.append(len(own))
-                keys = np.concatenate(keys)
-                bands = np.tile(np.arange(n, dtype=np.int32), part.num_rows)
                 prints = np.repeat(part.column(0).to_numpy(), n)
-                yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(keys), pa.array(prints), pa.array(np.repeat(sizes, n))], ["t", "key", "print", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(prints), pa.array(np.repeat(sizes, n))], ["key", "print", "size"])
 
-    rows = texts.mapInArrow(releasing(work), "t int, key long, print long, size long")
-    return stage(rows.distinct(), "bands")
+    rows = stage(texts.mapInArrow(releasing(work), "key long, print long, size long"), "bands")
+    # Most keys are those of one text; only the others' rows go on.
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return stage(rows.join(shared, "key", "left_semi").distinct().select(F.lit(0).alias("t"), "key", "print", "size"), "buckets")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, least: float, shingle_words: int) -> DataFrame:
-    """``a, b, share, linked``: the pairs whose sets are similar or, not ``linked``, may be so by a third (see above); only texts of candidates are read."""
-    nearby = max(0.0, 2 * least - 1)
-    needed = pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shingle_sets(texts: DataFrame, shingle_words: int) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
                 found = [shingle_set(t.as_py(), shingle_words).tobytes() for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["print", "shingles"])
 
-    own = texts.join(needed, "print", "left_semi").dropDuplicates(["print"])
-    own = stage(own.mapInArrow(releasing(sets), "print long, shingles binary"), "shingle-sets")
+    return stage(texts.mapInArrow(releasing(work), "print long, shingles binary"), "shingle-sets")
+
+
+def _alike_sets(x: pa.BinaryScalar, y: pa.BinaryScalar, least: float) -> bool:
+    x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both + 1e-9 >= least * (len(x) + len(y) - both)
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``a, b``: the pairs whose sets are similar."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, shares, linked = [], [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) + 1e-9 >= nearby * max(len(x), len(y)) else 0
-                whole = len(x) + len(y) - both
-                keep.append(both + 1e-9 >= nearby * whole)
-                shares.append(both / whole)
-                linked.append(both + 1e-9 >= least * whole)
-            told = [batch.column(0), batch.column(1), pa.array(shares, pa.float64()), pa.array(linked, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(told, ["a", "b", "share", "linked"]).filter(pa.array(keep, pa.bool_()))
-
-    sides = pairs.join(own.select(F.col("print").alias("a"), F.col("shingles").alias("x")), "a")
-    sides = sides.join(own.select(F.col("print").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    return stage(sides.mapInArrow(releasing(compare), "a long, b long, share double, linked boolean"), "similar")
+            linked = [_alike_sets(x, y, least) for x, y in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    sides = pairs.join(sets.select(F.col("print").alias("a"), F.col("shingles").alias("x")), "a")
+    sides = sides.join(sets.select(F.col("print").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    return stage(sides.mapInArrow(releasing(compare), "a long, b long"), "similar")
 
 
 def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: int) -> DataFrame:
-    """``a, b``: pairs of a bucket of ``t, key, print, size`` whose MinHashes agree as often as those of similar texts. With a column ``rim``, pairs of one in it and one not."""
-    sided = "rim" in left.columns
-    left = left if sided else left.withColumn("rim", F.lit(False))
+    """``a, b``: pairs of a bucket of ``t, key, print, size`` whose MinHashes agree as often as those of similar texts.
+
+    With columns ``root`` and ``minor`` instead links between similar texts, that connect what all pairs of different roots of which one is minor connect.
+    """
+    exact = "root" in left.columns
+    if not exact:
+        left = left.withColumns({"root": F.col("print"), "minor": F.lit(True)})
     n_hashes, p = BANDS * BAND_ROWS, least + (1 - least) / 256
     enough = int(n_hashes * p - 5.3 * np.sqrt(n_hashes * p * (1 - p)))
 
@@ -147,17 +147,19 @@ def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: in
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                found = [(min_hashes(shingle_set(t.as_py(), shingle_words)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.uint8).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["print", "sketch"])
+                sets = [shingle_set(t.as_py(), shingle_words) for t in part.column(1)]
+                found = [(min_hashes(own) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.uint8).tobytes() for own in sets]
+                shown = [own.tobytes() if exact else None for own in sets]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary()), pa.array(shown, pa.binary())], ["print", "sketch", "shingles"])
 
     own = texts.join(left.select("print").distinct(), "print", "left_semi").dropDuplicates(["print"])
-    sketches = stage(own.mapInArrow(releasing(sketch), "print long, sketch binary"), "sketches")
-    blocks = left.groupBy("t", "key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sketches = stage(own.mapInArrow(releasing(sketch), "print long, sketch binary, shingles binary"), "sketches")
+    blocks = left.groupBy("t", "key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / (BLOCK * 2048))).alias("blocks"))
     placed = left.join(blocks, ["t", "key"]).withColumn("own", F.pmod(F.xxhash64("print"), F.col("blocks")))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sketches, "print")
     # A row for each block that a text's block meets; a group holds two blocks, or one.
     group = ["t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
-    rows = placed.select(*group, "own", "print", "size", "sketch", "rim")
+    rows = placed.select(*group, "own", "print", "size", "sketch", "root", "minor", "shingles")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -178,20 +180,35 @@ def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: in
 
     def pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
-        prints, sizes, block, rim = (rows[c].to_numpy() for c in ("print", "size", "own", "rim"))
+        prints, sizes, block, roots, minor = (rows[c].to_numpy() for c in ("print", "size", "own", "root", "minor"))
         sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, n_hashes)
         crossed, out = rows["i"][0].as_py() != rows["j"][0].as_py(), [np.zeros((0, 2), np.int64)]
-        if sided:  # the rim last: each of the others is compared to it alone
-            order = np.argsort(rim, kind="stable")
-            prints, sizes, block, sketches = prints[order], sizes[order], block[order], sketches[order]
-        n_inner = int((~rim).sum()) if sided else len(prints) - 1
-        for k in range(n_inner):
-            first = n_inner if sided else k + 1
-            near = (sketches[first:] == sketches[k]).sum(axis=1) >= enough
-            near &= np.minimum(sizes[first:], sizes[k]) >= least * np.maximum(sizes[first:], sizes[k])
+        order = np.argsort(~minor, kind="stable")  # the minor first: each is compared to all that follow
+        prints, sizes, block, roots, sketches = prints[order], sizes[order], block[order], roots[order], sketches[order]
+        sets, joined = [rows["shingles"][int(i)] for i in order] if exact else [], {}
+
+        def class_of(root: int) -> int:
+            while root in joined:
+                root = joined[root]
+            return root
+
+        for k in range(min(int(minor.sum()), len(prints) - 1)):
+            first = k + 1
+            may = (roots[first:] != roots[k]) & (np.minimum(sizes[first:], sizes[k]) >= least * np.maximum(sizes[first:], sizes[k]))
             if crossed:
-                near &= block[first:] != block[k]
-            found = prints[first:][near]
+                may &= block[first:] != block[k]
+            at = first + np.flatnonzero(may)
+            agree = (sketches[at] == sketches[k]).sum(axis=1)
+            at, agree = at[agree >= enough], agree[agree >= enough]
+            if exact:
+                linked = []
+                for j in at[np.argsort(-agree, kind="stable")].tolist():
+                    one, other = class_of(int(roots[k])), class_of(int(roots[j]))
+                    if one != other and _alike_sets(sets[k], sets[j], least):
+                        joined[one] = other
+                        linked.append(j)
+                at = np.array(linked, np.int64)
+            found = prints[at]
             out.append(np.column_stack([np.minimum(found, prints[k]), np.maximum(found, prints[k])]))
         both = np.concatenate(out)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
@@ -199,71 +216,85 @@ def _agreeing(left: DataFrame, texts: DataFrame, least: float, shingle_words: in
     return rows.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j").mapInArrow(releasing(compare), "a long, b long").distinct()
 
 
-def _both_ways(known: DataFrame) -> DataFrame:
-    """Each pair ``a, b`` as ``print, hub``, either way."""
-    a, b = F.col("a"), F.col("b")
-    return known.select(a.alias("print"), b.alias("hub"), "share", "linked").union(known.select(b, a, "share", "linked"))
+_BUCKET = ["t", "key"]
 
 
-def _rims(known: DataFrame, hubs: DataFrame, sizes: DataFrame, least: float) -> DataFrame:
-    """``t, key, print, size, rim``: for each hub (its ``key``) that has a rim, the rim and those that it takes in and that may be similar to one of the rim."""
-    around = stage(_both_ways(known).join(hubs, "hub"), "around")
-    nearest = around.where("NOT linked").groupBy("hub").agg(F.max("share").alias("nearest"))
-    # The distance of two texts is no less than the difference of theirs to the hub.
-    may = ~F.col("linked") | (F.col("share") <= F.col("nearest") + (1 - least) + 1e-9)
-    rows = around.join(nearest, "hub").where(may).join(sizes, "print")
-    return stage(rows.select(F.lit(0).alias("t"), F.col("hub").alias("key"), "print", "size", (~F.col("linked")).alias("rim")), "rims")
+def _open(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``t, key, print, size, root, n, minor``: the rows of buckets with texts of several classes; ``minor`` are those outside of the bucket's largest."""
+    rows = rows.select(*_BUCKET, "print", "size")
+    if roots is None:
+        rows = rows.withColumn("root", F.col("print"))
+    else:
+        rows = rows.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
+    classes = rows.groupBy(*_BUCKET, "root").agg(F.count("*").alias("own"))
+    state = classes.groupBy(*_BUCKET).agg(F.sum("own").alias("n"), F.count("*").alias("classes"), F.max(F.struct("own", "root"))["root"].alias("major")).where("classes > 1")
+    rows = rows.join(state.drop("classes"), _BUCKET)
+    return stage(rows.withColumn("minor", F.col("root") != F.col("major")).drop("major"), "open")
+
+
+def _hub_pairs(rows: DataFrame, n_hubs: int, all_pairs: int, least: float) -> DataFrame:
+    """``a, b``: pairs of each text and its bucket's hubs."""
+    # What many others share most with is in the largest buckets: the text that a group was copied from, rather than any of its copies.
+    weights = stage(rows.groupBy("print").agg(F.sum("n").alias("weight")), "weights")
+    order = F.xxhash64("print", F.lit(n_hubs))  # not the table: near copies meet the same hubs in all of theirs
+    ranked = rows.where("may_be_hub").join(weights, "print").withColumn("order", order)
+    first = ranked.groupBy(*_BUCKET).agg(F.max(F.struct("weight", "order", "print"))["print"].alias("first"))
+    by_hash = (F.col("n") > all_pairs) & (F.col("order").cast("double") / 2.0**64 + 0.5 < n_hubs / F.col("n"))
+    hubs = first.select(*_BUCKET, F.col("first").alias("print")).union(ranked.where(by_hash).select(*_BUCKET, "print")).distinct()
+    hubs = hubs.join(rows.select(*_BUCKET, "print", "size", "root"), [*_BUCKET, "print"]).withColumnsRenamed({"print": "hub", "size": "other", "root": "hub_root"})
+    met = rows.select(*_BUCKET, "print", "size", "root").join(stage(hubs, "hubs"), _BUCKET).where("root != hub_root")
+    return _alike(met.select(F.least("print", "hub").alias("a"), F.greatest("print", "hub").alias("b"), "size", "other"), least)
+
+
+def _alike(pairs: DataFrame, least: float) -> DataFrame:
+    """Sets of too different sizes cannot be similar."""
+    return pairs.where(F.least("size", "other") >= least * F.greatest("size", "other")).select("a", "b")
 
 
 def similar_links(texts: DataFrame, least: float, shingle_words: int, radius: int = 3, all_pairs: int = 32) -> DataFrame:
-    """``a, b`` over ``print, text``: links between similar texts."""
+    """``a, b`` over ``print, text``: links between similar texts that connect what all of them connect."""
     whole = _buckets(texts, shingle_words, radius)
-    left, n_hubs = whole, HUBS
-    known, compared, hubs, bucket = None, None, None, ["t", "key"]
-    nearby = max(0.0, 2 * least - 1)
-    while True:
-        sizes = stage(left.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-        sized = stage(left.join(sizes, bucket), "sized")
-        # What many others share most with is in the largest buckets: the text that a group was copied from, rather than any of its copies.
-        weights = stage(sized.groupBy("print").agg(F.sum("n").alias("weight")), "weights")
-        order = F.xxhash64("print", F.lit(n_hubs))  # not the table: near copies meet the same hubs in all of theirs
-        large = sized.where(F.col("n") > all_pairs).join(weights, "print")
-        best = stage(large.groupBy(*bucket).agg(F.max(F.struct("weight", order.alias("order"), "print"))["print"].alias("first")), "best")
-        members = sized.join(best, bucket, "left").withColumn("is_hub", (F.col("print") == F.col("first")) | (order.cast("double") / 2.0**64 + 0.5 < n_hubs / F.col("n")))
-        members = stage(members, "members")
-        few = members.where(F.col("n") <= all_pairs).select(*bucket, "print", "size")
-        pairs = few.select(*bucket, F.col("print").alias("a"), "size").join(few.select(*bucket, F.col("print").alias("b"), F.col("size").alias("other")), bucket).where("a < b")
-        many = members.where(F.col("n") > all_pairs)
-        met = many.select(*bucket, "print", "size").join(many.where("is_hub").select(*bucket, F.col("print").alias("hub"), F.col("size").alias("other")), bucket).where("print != hub")
-        to_hubs = met.select(F.least("print", "hub").alias("a"), F.greatest("print", "hub").alias("b"), "size", "other")
-        # Sets of too different sizes cannot be similar (nor, of a hub, in its rim), and a pair is compared once.
-        alike = lambda share: F.least("size", "other") >= share * F.greatest("size", "other")
-        new = pairs.where(alike(least)).select("a", "b").union(to_hubs.where(alike(nearby)).select("a", "b")).distinct()
-        if compared is not None:
-            new = new.join(compared, ["a", "b"], "left_anti")
-        new = stage(new, "candidates")
+    texts = stage(texts.join(whole.select("print").distinct(), "print", "left_semi").dropDuplicates(["print"]), "shared-texts")
+    sets = _shingle_sets(texts, shingle_words)
+    links = compared = roots = None
+    rows = _open(whole, None)
+
+    def settle(pairs: DataFrame) -> None:
+        """Compare pairs that were not compared before; then rows are those of the buckets that are still open."""
+        nonlocal links, compared, roots, rows
+        new = pairs.distinct()  # a pair of several buckets is compared once
+        new = stage(new if compared is None else new.join(compared, ["a", "b"], "left_anti"), "candidates")
         compared = new if compared is None else compared.union(new)
-        found = _similar(new, texts, least, shingle_words)
-        known = found if known is None else known.union(found)
-        n_many = many.count()
-        if not n_many:
-            break
-        own_hubs = stage(many.where("is_hub").select(F.col("print").alias("hub")).distinct(), "hubs")
-        hubs = own_hubs if hubs is None else hubs.union(own_hubs)
-        # What is a hub or similar to one is settled in this bucket, but for the hub's rim.
-        ends = _both_ways(known.where("linked")).select("print", "hub")
-        taken = met.join(ends, ["print", "hub"]).select(*bucket, "print").distinct()
-        rest = many.where("NOT is_hub").select(*bucket, "print", "size")
-        left, n_hubs = stage(rest.join(taken, [*bucket, "print"], "left_anti"), "left"), 2 * n_hubs
-        if left.count() > 0.75 * n_many:
-            new = stage(_agreeing(left, texts, least, shingle_words).join(compared, ["a", "b"], "left_anti"), "candidates")
-            compared, known = compared.union(new), known.union(_similar(new, texts, least, shingle_words))
+        found = _similar(new, sets, least)
+        links = found if links is None else links.union(found)
+        # The classes so far are links enough of their own.
+        roots = stage(components(found if roots is None else found.union(roots.select("node", "root"))), "classes")
+        rows = _open(rows, roots)
+
+    n_hubs, before = HUBS, None
+    while True:
+        own = rows.withColumn("may_be_hub", F.lit(True)) if before is None else rows.where(F.col("n") > all_pairs).withColumn("may_be_hub", F.col("minor"))
+        settle(_hub_pairs(own, n_hubs, all_pairs, least))
+        n_many, n_minor = rows.where(F.col("n") > all_pairs).agg(F.count("*"), F.count_if("minor")).first()
+        if 4 * n_minor <= n_many or before is not None and n_minor > 0.75 * before:
             break
-    if hubs is not None:
-        rims = _rims(known, hubs.distinct(), whole.select("print", "size").distinct(), least)
-        new = stage(_agreeing(rims, texts, least, shingle_words).join(compared, ["a", "b"], "left_anti"), "candidates")
-        known = known.union(_similar(new, texts, least, shingle_words))
-    return known.where("linked").select("a", "b").distinct()
+        n_hubs, before = 2 * n_hubs, n_minor
+    few = rows.where(F.col("n") <= all_pairs)
+    a, b = ([*_BUCKET, F.col("print").alias(p), F.col("size").alias(s), F.col("root").alias(r)] for p, s, r in (("a", "size", "root"), ("b", "other", "other_root")))
+    pairs = _alike(few.select(*a).join(few.select(*b), _BUCKET).where("a < b AND root != other_root"), least)
+    new = stage(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "candidates")
+    links = links.union(_similar(new, sets, least))
+    if n_many:
+        links = links.union(stage(_agreeing(_together(rows.where(F.col("n") > all_pairs), roots), texts, least, shingle_words), "agreeing"))
+    return links.distinct()
+
+
+def _together(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` of :func:`_open` with those buckets as one that have texts in common."""
+    least = rows.groupBy(*_BUCKET).agg(F.min("print").alias("least"))
+    groups = components(rows.join(least, _BUCKET).select(F.col("print").alias("a"), F.col("least").alias("b")))
+    whole = groups.withColumnsRenamed({"node": "print", "root": "key"}).join(rows.select("print", "size").distinct(), "print")
+    return _open(whole.withColumn("t", F.lit(0)), roots)
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, radius: int = 3) -> DataFrame:
