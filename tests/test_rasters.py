@@ -80,3 +80,22 @@ def test_a_paeth_tile_takes_few_milliseconds():
     began = time.process_time()
     rasters.masks([data] * 32)
     assert (time.process_time() - began) / 32 < 0.02  # under 0.01 on a machine of its own
+
+
+def test_small_pictures_of_many_sizes_are_one_stack(monkeypatch):
+    rng, stacks = random.Random(5), []
+    one_form = rasters._masks_of_one_form
+    monkeypatch.setattr(rasters, "_masks_of_one_form", lambda together, n: stacks.append(n) or one_form(together, n))
+    tiles = [picture(rng, 1 + k % 9, 1 + k % 7, 8, 6, few=(0, 1, 255)) for k in range(63)]
+    same(tiles)
+    assert stacks == [63]
+    same([picture(rng, 1 + k % 40, 1 + k % 23, bits, colour, clear=clear, few=(0, 1, 2)) for k in range(300) for colour, bits, clear in ((4, 16, None), (2, 8, b"\0\1\0\1\0\1"), (3, 8, b"\0\xff"), (0, 16, b"\0\1"))])
+
+
+def test_an_unknown_filter_leaves_its_stack_alone(monkeypatch):
+    rng, read = random.Random(6), []
+    alone = decode.png_alpha
+    tiles = [picture(rng, 1 + k % 9, 1 + k % 7, 8, 6, filters=(9,) if k == 20 else (0, 1, 2, 3, 4)) for k in range(63)]
+    monkeypatch.setattr(decode, "png_alpha", lambda data: read.append(data) or alone(data))
+    got = rasters.masks(tiles)
+    assert read == [tiles[20]] and [k for k, m in enumerate(got) if isinstance(m, Exception)] == [20]
