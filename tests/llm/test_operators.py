@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -305,6 +306,47 @@ def test_sampling_round_trip(docs, rows, spark, empty):
     assert lattice_sampling.sample_encodings(empty).count() == 0
 
 
+def test_texts_with_one_segmentation_give_it_alone(spark):
+    texts = ["𝄞", "\U000127ac", "𩋝 𦅊", "릍"] * 50
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = lattice_sampling.sample_encodings(docs, k=3).collect()
+    assert {r["doc_id"]: lattice_sampling.decode(r["ids"]) for r in found} == dict(enumerate(texts)) and len(found) == len(texts)
+    assert all(r["log_prob"] == r["log_inclusion"] == 0 for r in found)
+
+
+def test_long_chunks_are_compiled_as_short_ones():
+    chunks = [c.encode() for c in ("internationalisation", "a", "né𝄞", "1234567890", "릍릍a릍", "-=" * 20)] + [b" " * 30 + b"the"]
+    for c in chunks:
+        short, long = (lattice_sampling.CompiledChunks(lattice_sampling.MODEL, 10_000) for _ in range(2))
+        short._add(len(c) + 1, [c], short._edges(len(c) + 1, [c]))
+        long._add_long(c)
+        assert short.known == long.known and short.n == long.n
+        for name in ("next", "piece"):
+            assert (getattr(short, name)[: short.n] == getattr(long, name)[: long.n]).all()
+        assert long.cdf[: long.n] == pytest.approx(short.cdf[: short.n], abs=1e-13)
+        assert np.exp(long.log_q[: long.n]) == pytest.approx(np.exp(short.log_q[: short.n]), rel=1e-6)
+
+
+def test_memory_of_a_text_without_spaces_is_bounded():
+    text = "".join(random.Random(6).choices("etaoinshrdlu", k=50_000))
+    table, keys = lattice_sampling.CompiledChunks(lattice_sampling.MODEL, 500_000), np.array([7], np.uint64)
+    tracemalloc.start()
+    try:
+        (found,) = lattice_sampling.sample_segmentations(table, [text], keys, 2)
+        assert tracemalloc.get_traced_memory()[1] < 400 * len(text)
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 2 and all(lattice_sampling.decode(x[3].tolist()) == text for x in found)
+
+
+def test_texts_without_spaces_are_learned_a_few_at_a_time(spark):
+    rng = random.Random(4)
+    texts = {i: "".join(rng.choices("etaoinshrdlu", k=400_000)) for i in range(4)} | {4: "the end"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    found = lattice_sampling.sample_encodings(docs).collect()
+    assert len(found) == 10 and all(lattice_sampling.decode(r["ids"]) == texts[r["doc_id"]] for r in found)
+
+
 def test_sampled_ids_decode_in_a_table(docs, rows, spark):
     assert dict(queries.op3_lattice_sampling(spark, "/root/testdata/sf0.001").dtypes)["ids"] == "array<int>"
     texts = dict(rows)
