@@ -136,6 +136,44 @@ def test_made_tiles():
     same([samples.vector_body(k) for k in range(40)])
 
 
+def test_values_of_one_field_are_read_where_they_are(monkeypatch):
+    """Each kind of value without the reader of whole messages, as that one gives it."""
+    kinds = [_field(1, "é\"\n".encode()), b"\x15" + struct.pack("<f", 0.1), b"\x19" + struct.pack("<d", -0.0), b"\x19" + struct.pack("<d", 1e300), _field(4, 7), _field(4, (1 << 64) - 5), _field(5, 0), _field(5, 1 << 40), _field(6, 9), _field(7, 0), _field(7, 2)]
+    tiles = [pair(v) for v in kinds]
+    expected = decode.decode_rows(tiles)
+    assert all(r["error"] is None for r in expected)
+
+    def never(data):
+        raise AssertionError(data)
+
+    monkeypatch.setattr(decode, "_property", never)
+    got = vector_tiles.read_tiles(pa.array(tiles, pa.binary())).to_pylist()
+    assert got == pa.array(expected, vector_tiles.RESULT).to_pylist()
+
+
+def pair(value):
+    """A tile whose only feature has one property."""
+    return _field(3, _field(1, b"l") + _field(2, _field(1, 1) + _field(2, b"\0\0") + _field(3, 1) + _field(4, b"\x09\x02\x04")) + _field(3, b"k") + _field(4, value))
+
+
+def test_odd_values():
+    """Not finite, none, several fields, of another wire type, cut off or too long."""
+    real = lambda v: b"\x19" + struct.pack("<d", v)
+    odd = [b"", real(float("nan")), real(float("-inf")), b"\x15" + struct.pack("<f", float("inf")), _field(5, 1) + _field(5, 2), _field(5, 1) + _field(1, b"s"), _field(1, b"x" * 200), b"\x0a\x05ab", b"\x0a", b"\x28", b"\x28\x80"]
+    odd += [b"\x15\0\0\0", b"\x19" + bytes(9), b"\x20" + b"\xff" * 9 + b"\x7f", b"\x20" + b"\xff" * 12 + b"\x01", b"\x28" + b"\xff" * 9 + b"\x01", b"\x38" + b"\x80" * 9 + b"\0", b"\x0a\x01\xff", b"\x2a\x01a", b"\x48\x01"]
+    tiles = [pair(v) for v in odd]
+    got = same([None, *tiles, b"", *tiles, None])  # each comes again
+    assert {r["error"] is None for r in got} == {True, False}
+
+
+def test_keys_of_layers_of_a_batch():
+    """Layers with the same, other and repeated keys: properties are sorted by key, the last of equal keys wins."""
+    layer = lambda name, keys, tags: _field(3, _field(1, name) + _field(2, _field(2, bytes(tags))) + b"".join(_field(3, k) for k in keys) + _field(4, _field(5, 1)) + _field(4, _field(5, 2)))
+    first, second = layer(b"a", [b"z", b"a", b"z"], [0, 0, 1, 1, 2, 1]), layer(b"b", ["é".encode(), b"a"], [0, 0, 1, 0])
+    got = same([first + second, second, first, layer(b"c", [], [])])
+    assert [f["properties_json"] for r in got for x in r["layers"] for f in x["features"]] == ['{"a": 2, "z": 2}', '{"a": 1, "\\u00e9": 1}', '{"a": 1, "\\u00e9": 1}', '{"a": 2, "z": 2}', "{}"]
+
+
 def test_tiles_are_decoded_once(spark):
     """The filter that an explosion of layers brings along is not pushed below the decoder."""
     from tilewright import run_queries
