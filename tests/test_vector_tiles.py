@@ -160,7 +160,7 @@ def test_odd_values():
     """Not finite, none, several fields, of another wire type, cut off or too long."""
     real = lambda v: b"\x19" + struct.pack("<d", v)
     odd = [b"", real(float("nan")), real(float("-inf")), b"\x15" + struct.pack("<f", float("inf")), _field(5, 1) + _field(5, 2), _field(5, 1) + _field(1, b"s"), _field(1, b"x" * 200), b"\x0a\x05ab", b"\x0a", b"\x28", b"\x28\x80"]
-    odd += [b"\x15\0\0\0", b"\x19" + bytes(9), b"\x20" + b"\xff" * 9 + b"\x7f", b"\x20" + b"\xff" * 12 + b"\x01", b"\x28" + b"\xff" * 9 + b"\x01", b"\x38" + b"\x80" * 9 + b"\0", b"\x0a\x01\xff", b"\x2a\x01a", b"\x48\x01"]
+    odd += [b"\x10\x01", b"\x15\0\0\0", b"\x19" + bytes(9), b"\x20" + b"\xff" * 9 + b"\x7f", b"\x20" + b"\xff" * 12 + b"\x01", b"\x28" + b"\xff" * 9 + b"\x01", b"\x38" + b"\x80" * 9 + b"\0", b"\x0a\x01\xff", b"\x2a\x01a", b"\x48\x01"]
     tiles = [pair(v) for v in odd]
     got = same([None, *tiles, b"", *tiles, None])  # each comes again
     assert {r["error"] is None for r in got} == {True, False}

mvt_values: a value of another wire type is its tile's error

Symptom: a vector tile whose float or string value came as a number ended the whole task with a TypeError.
Evidence: a made tile with the value bytes 10 01 raised from the batch reader; the reader of single tiles gives a row with the error.
Fix: such tiles go to the reader of single tiles, as other unusual ones do.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 927 -> 544 s, shuffle 0.05 -> 0.05 GB, spill 0.00 -> 0.00 GB, read 0.04 -> 0.04 GB, longest task 7 -> 7 s, most memory of a task 0 -> 0 MB; at 6 GB of input CPU 5097 -> 3007 s, shuffle 0.28 -> 0.28 GB, spill 0.00 -> 0.00 GB, read 0.23 -> 0.23 GB, longest task 7 -> 7 s, most memory of a task 268 -> 268 MB; with hot keys, at 1 GB of input CPU 942 -> 495 s, shuffle 0.05 -> 0.05 GB, spill 0.00 -> 0.00 GB, read 0.04 -> 0.04 GB, longest task 9 -> 5 s, most memory of a task 0 -> 0 MB.

@@ -343,7 +343,7 @@ def _read_batch(tiles: list[bytes]) -> tuple[list[int], pa.Array]:
     for i, data in enumerate(tiles):
         try:
             own = _read_tile(data)
-        except (Unusual, UnicodeDecodeError, IndexError, ValueError):
+        except (Unusual, IndexError, TypeError, ValueError, struct.error):
             base += len(data)
             continue
         for layer in own:
