@@ -1,6 +1,7 @@
 """From requests over stored tiles to tables, manifests, summaries, exports, streams and the command line."""
 
 import gzip
+import hashlib
 import json
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from test_decode import RGBA, png, tile
 
 from tilewright import api, cli
-from tilewright.operators import compare, metrics, outcome
+from tilewright.operators import compare, decode, metrics, outcome
 from tilewright.plans.planner import AreaRequest, build_jobs, job_tiles, to_frame
 from tilewright.sources import catalog, tables, transport
 from tilewright.streaming import tiles as streaming
@@ -73,6 +74,47 @@ def test_special_and_json_sources(spark):
         outcome.raise_on_errors(done)
 
 
+AS_READ = "request_id long, job_index int, run_label string, provider string, source_id string, source_kind string, display_zoom int, source_zoom int, x long, y long, tile_url string, http_status int, content_type string, content binary, transport_error string, fetched_at string, options map<string,string>, content_type_prefix string, skip_404 boolean, stop_on_error boolean, storage_subdir string, decoder string, layer_names array<string>"
+
+
+def as_read(spark, given):
+    """Tiles as read, with x from 0: kind, status and content of each."""
+    rows = [(x % 7, 0, "r", "p", "s", kind, 1, 1, x, 0, "https://h/t", status, "image/png", content, None, "2026-01-01T00:00:00+00:00", {}, "image/", True, True, None, None, []) for x, (kind, status, content) in enumerate(given)]
+    return spark.createDataFrame(rows, AS_READ)
+
+
+def inflated(data):
+    try:
+        return gzip.decompress(data) if data and data[:2] == b"\x1f\x8b" else data
+    except (OSError, EOFError):
+        return None
+
+
+def test_bytes_of_odd_tiles(spark):
+    """Inflated bytes, hashes and errors of tiles that are null, empty, short, zipped, zipped nothing, zipped twice or broken; some come twice."""
+    bodies = [None, b"", b"\x1f", b"\x1f\x8b", b"\x1f\x8bno", tile(), gzip.compress(tile()), gzip.compress(b""), gzip.compress(gzip.compress(tile())), gzip.compress(tile())[:-3], gzip.compress(tile()) * 2, RGBA, gzip.compress(PANOS), PANOS]
+    texts = [b for b in bodies if (inflated(b) or b"").isascii()]  # what Spark's decode takes
+    given = [(kind, status, body) for kind in ("vector_mvt", "coverage_json", "raster", "other", None) for status in (200, 404, 500) for body in (texts if kind == "coverage_json" else bodies)] * 2
+    rows = outcome.process_tiles(as_read(spark, given)).select("x", "outcome", "reason", "wire_sha256", "stored_sha256", "stored_byte_length", "was_gzip_compressed", "plain", "mvt", "png").collect()
+    assert len(rows) == len(given) and {"vector", "inflated"}.isdisjoint(rows[0].asDict())
+    for r in rows:
+        kind, status, body = given[r["x"]]
+        ok = status == 200 and kind != "other"
+        plain = None if not ok or kind is None else body if kind == "raster" else inflated(body)
+        assert (r["plain"], r["stored_byte_length"]) == (plain, len(plain or b""))
+        assert (r["wire_sha256"], r["stored_sha256"]) == tuple(hashlib.sha256(b or b"").hexdigest() for b in (body, plain))
+        read = decode.decode_rows([plain])[0] if kind == "vector_mvt" and body and plain is not None else {"layers": None, "error": None}
+        assert (r["mvt"]["layers"] and [x["name"] for x in r["mvt"]["layers"]], r["mvt"]["error"]) == (read["layers"] and [x["name"] for x in read["layers"]], read["error"])
+        if ok and kind == "vector_mvt":
+            zipped_but_broken = bool(body) and body[:2] == b"\x1f\x8b" and plain is None
+            assert (r["outcome"], r["reason"]) == (("error", "broken gzip") if zipped_but_broken else ("error", read["error"]) if read["error"] else ("fetched", None))
+
+
+def test_tiles_go_to_python_once(spark):
+    plan = outcome.process_tiles(as_read(spark, [("raster", 200, RGBA)])).select("outcome", "stored_sha256", "record_count")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_manifests_and_summaries(spark, run):
     jobs, done = run
     rows = {r["request_id"]: r for r in metrics.manifests(jobs, done).collect()}

@@ -52,8 +52,14 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
     first = fetch_outcome(F.col("http_status"), F.col("transport_error"), F.col("source_kind"), F.col("content_type"), F.col("content_type_prefix"), size, special, F.col("skip_404"))
     df = tiles.withColumns({"special": special, "wire_byte_length": size, "first": first}).withColumn("ok", F.col("first.outcome") == "fetched")
     kind = lambda k: F.col("ok") & (F.col("source_kind") == k) & (F.col("wire_byte_length") > 0)
-    df = df.withColumns({"was_gzip_compressed": F.coalesce(decode.is_gzip(F.col("content")), F.lit(False)) & (F.col("source_kind") != "raster"), "plain": F.when(F.col("ok") & (F.col("source_kind") == "raster"), F.col("content")).otherwise(decode.gunzip(F.when(F.col("ok") & (F.col("source_kind") != "raster"), F.col("content"))))})
-    df = df.withColumns({"png": decode.summarize_png(F.when(kind("raster"), F.col("plain"))), "mvt": decode.decode_mvt_tiles(F.when(kind("vector_mvt"), F.col("plain"))), "document": F.from_json(F.decode(F.when(kind("coverage_json"), F.col("plain")), "UTF-8"), decode.COVERAGE_JSON)})
+    content, zipped = F.col("content"), decode.is_gzip(F.col("content"))
+    raster, vector = F.col("ok") & (F.col("source_kind") == "raster"), kind("vector_mvt")
+    # All decoders have the bytes as they came, so that tiles go to Python once.
+    rest = F.when(F.col("ok") & (F.col("source_kind") != "raster") & ~vector, content)
+    df = df.withColumns({"png": decode.summarize_png(F.when(kind("raster"), content)), "vector": decode.decode_mvt_tiles(F.when(vector, content), inflate=True), "inflated": decode.gunzip(rest)})
+    plain = F.when(raster | (vector & ~zipped), content).when(vector, F.col("vector.plain")).otherwise(F.col("inflated"))
+    df = df.withColumns({"was_gzip_compressed": F.coalesce(zipped, F.lit(False)) & (F.col("source_kind") != "raster"), "plain": plain, "mvt": F.struct("vector.layers", "vector.error")})
+    df = df.withColumn("document", F.from_json(F.decode(F.when(kind("coverage_json"), F.col("plain")), "UTF-8"), decode.COVERAGE_JSON))
     broken_json = kind("coverage_json") & F.try_parse_json(F.decode(F.col("plain"), "UTF-8")).isNull()
     broken_gzip = F.col("ok") & F.col("was_gzip_compressed") & F.col("plain").isNull()
     late = F.coalesce(F.when(broken_gzip, F.lit("broken gzip")), F.col("png.error"), F.col("mvt.error"), F.when(broken_json, F.lit("broken JSON")))
@@ -82,7 +88,7 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
             "output_path": F.when(stored.isNotNull(), F.concat(place, suffix)),
             "metadata_path": F.concat(place, F.when(stored.isNotNull(), suffix).otherwise(F.lit(".png")), F.lit(".metadata.json")),
         }
-    ).drop("first", "ok", "special")
+    ).drop("first", "ok", "special", "vector", "inflated")
 
 
 def fetched(df: DataFrame) -> DataFrame:
