@@ -111,8 +111,8 @@ def test_bytes_of_odd_tiles(spark):
 
 
 def test_tiles_go_to_python_once(spark):
-    plan = outcome.process_tiles(as_read(spark, [("raster", 200, RGBA)])).select("outcome", "stored_sha256", "record_count")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
+    plan = outcome.process_tiles(as_read(spark, [("raster", 200, RGBA)])).select("outcome", "wire_sha256", "stored_sha256", "record_count")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("sha2(") == 2 and "THEN wire_sha256#" in plan
 
 
 def test_manifests_and_summaries(spark, run):

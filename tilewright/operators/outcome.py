@@ -59,7 +59,8 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
     df = df.withColumns({"png": decode.summarize_png(F.when(kind("raster"), content)), "vector": decode.decode_mvt_tiles(F.when(vector, content), inflate=True), "inflated": decode.gunzip(rest)})
     plain = F.when(raster | (vector & ~zipped), content).when(vector, F.col("vector.plain")).otherwise(F.col("inflated"))
     df = df.withColumns({"was_gzip_compressed": F.coalesce(zipped, F.lit(False)) & (F.col("source_kind") != "raster"), "plain": plain, "mvt": F.struct("vector.layers", "vector.error")})
-    df = df.withColumn("document", F.from_json(F.decode(F.when(kind("coverage_json"), F.col("plain")), "UTF-8"), decode.COVERAGE_JSON))
+    sha256 = lambda c: F.sha2(F.coalesce(c, F.lit("").cast("binary")), 256)
+    df = df.withColumns({"document": F.from_json(F.decode(F.when(kind("coverage_json"), F.col("plain")), "UTF-8"), decode.COVERAGE_JSON), "wire_sha256": sha256(content)})
     broken_json = kind("coverage_json") & F.try_parse_json(F.decode(F.col("plain"), "UTF-8")).isNull()
     broken_gzip = F.col("ok") & F.col("was_gzip_compressed") & F.col("plain").isNull()
     late = F.coalesce(F.when(broken_gzip, F.lit("broken gzip")), F.col("png.error"), F.col("mvt.error"), F.when(broken_json, F.lit("broken JSON")))
@@ -76,8 +77,7 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
         {
             "is_empty": is_empty,
             "stored_byte_length": F.coalesce(F.octet_length("plain"), F.lit(0)).cast("long"),
-            "wire_sha256": F.sha2(F.coalesce("content", F.lit("").cast("binary")), 256),
-            "stored_sha256": F.sha2(F.coalesce("plain", F.lit("").cast("binary")), 256),
+            "stored_sha256": F.when(F.col("plain").eqNullSafe(content), F.col("wire_sha256")).otherwise(sha256(F.col("plain"))),  # equal bytes are hashed once
             **{c: F.col(f"png.{c}") for c in ("width", "height", "coverage_pixel_count", "total_pixel_count", "coverage_ratio")},
             "pano_count": panos,
             "feature_count": F.when(F.col("source_kind") == "vector_mvt", F.coalesce(features, F.lit(0))),
