@@ -115,6 +115,21 @@ def test_tiles_go_to_python_once(spark):
     assert plan.count("ArrowEvalPython") == 1 and plan.count("sha2(") == 2 and "THEN wire_sha256#" in plan
 
 
+def test_sums_of_a_batch_are_few_files(spark, tmp_path):
+    """Sums of a batch are planned by their size, however many tasks the stream has; null ids and jobs without tiles are kept."""
+    tiles = as_read(spark, [("raster", 200, RGBA), ("vector_mvt", 200, tile()), ("raster", 404, None)] * 20)
+    tiles = tiles.withColumn("request_id", F.expr("nullif(request_id, 3)"))
+    tiles.write.parquet(f"{tmp_path}/in")
+    stream = streaming.arriving_tiles(spark, f"{tmp_path}/in", tiles.schema)
+    streaming.keep_manifests(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination(120)
+    assert [len(list(p.glob("*.parquet"))) for p in (tmp_path / "out" / "partials").iterdir()] in ([1], [1, 1])  # the last batch may be empty
+    jobs = tiles.select("request_id", "job_index").distinct().union(spark.sql("SELECT 99L, 0"))
+    kept = streaming.kept_manifests(spark, jobs, f"{tmp_path}/out")
+    rows = lambda df: sorted(repr(r.asDict()) for r in df.collect())
+    assert rows(kept) == rows(metrics.manifests(jobs, outcome.process_tiles(tiles)))
+    assert kept.where("request_id = 99").first()["tile_count"] == 0 and kept.count() == 8
+
+
 def test_manifests_and_summaries(spark, run):
     jobs, done = run
     rows = {r["request_id"]: r for r in metrics.manifests(jobs, done).collect()}

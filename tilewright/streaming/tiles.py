@@ -36,17 +36,20 @@ def current_manifests(spark: SparkSession, jobs: DataFrame, path: str) -> DataFr
     return metrics.manifests(jobs, spark.read.parquet(path))
 
 
-def merge_batch(batch: DataFrame, number: int, path: str, compact_every: int = 16) -> None:
+def merge_batch(batch: DataFrame, number: int, path: str, compact_every: int = 16, spark: SparkSession | None = None) -> None:
     """Take in one batch of tiles as read: their summary rows, and what they add to their jobs' manifests.
 
     Everything has the batch's number in its place and is made from the batch and from places of smaller numbers, so that a batch that is
     replayed changes nothing. Each ``compact_every`` batches the sums so far become one base, so that reading them costs a row per job and the
     sums of a few batches, however many tiles there were.
+
+    Sums are made in the session ``spark`` (default: the batch's). A stream's own session plans without adaptive execution, and so gives few rows as many
+    tasks and files as tiles.
     """
-    spark = batch.sparkSession
+    spark = spark or batch.sparkSession
     rows = outcome.process_tiles(batch).select(*outcome.RUN, "outcome", "reason", *outcome.TILE_SUMMARY)
     rows.write.mode("overwrite").parquet(f"{path}/summaries/batch={number}")
-    metrics.partial_sums(spark.read.parquet(f"{path}/summaries/batch={number}")).write.mode("overwrite").parquet(f"{path}/partials/batch={number}")
+    metrics.partial_sums(spark.read.schema(rows.schema).parquet(f"{path}/summaries/batch={number}")).write.mode("overwrite").parquet(f"{path}/partials/batch={number}")
     if (number + 1) % compact_every == 0:
         whole = _sums_upto(spark, path, number, compact_every, number - compact_every)
         whole.write.mode("overwrite").parquet(f"{path}/bases/batch={number}")
@@ -62,7 +65,8 @@ def _sums_upto(spark: SparkSession, path: str, number: int, compact_every: int,
 
 def keep_manifests(tiles: DataFrame, path: str, checkpoint: str, compact_every: int = 16, available_now: bool = True) -> StreamingQuery:
     """Decode arriving tiles once each, append their summaries and keep their jobs' sums (:func:`merge_batch`)."""
-    writer = once_each(tiles).writeStream.foreachBatch(lambda batch, number: merge_batch(batch, number, path, compact_every)).option("checkpointLocation", checkpoint)
+    spark = tiles.sparkSession
+    writer = once_each(tiles).writeStream.foreachBatch(lambda batch, number: merge_batch(batch, number, path, compact_every, spark)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
