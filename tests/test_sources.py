@@ -161,6 +161,41 @@ def test_what_is_not_committed_is_not_shown_and_folders_are_pruned(spark, tmp_pa
     assert tables.read_run(spark, path, "manifests").where("run_label = 'run_O'").count() == 0
 
 
+def test_a_written_table_is_not_opened(spark, tmp_path):
+    """Whether a table has files is seen from their list: one job, which writes it. Without rows it is one file without rows."""
+    sc = spark.sparkContext
+    rows = spark.range(0, 6, 1, 2).select("id", F.expr("nullif(id % 3, 2)").alias("n"), F.lit("p").alias("provider"))
+    try:
+        sc.setJobGroup("one_table", "one_table")
+        tables.write_table(rows, f"{tmp_path}/t", "provider", "n")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("one_table")) == 1
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/t").select("id", "provider", "n").collect())) == sorted(map(str, rows.select("id", "provider", "n").collect()))
+    tables.write_table(rows.where("id < 0"), f"{tmp_path}/t", "provider", "n")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 0 and set(spark.read.parquet(f"{tmp_path}/t").columns) == set(rows.columns)
+
+
+@pytest.mark.parametrize("stops", [False, True])
+def test_runs_are_joined_to_failed_ones_if_there_are_any(spark, tmp_path, monkeypatch, stops):
+    """Rows without a run's number stay, those that come twice count twice, whether a run failed or not."""
+    done = run_queries._processed(spark, FOLDER)
+    done = done.union(done.where("x % 7 = 0")).withColumns({"request_id": F.expr("nullif(x % 3, 2)"), "stop_on_error": F.lit(stops) & (F.col("x") % 3 > 0)}).withColumn("run_label", F.lit("r")).cache()
+    jobs = done.select("request_id", "job_index", "provider", "run_label").distinct()
+    seen, summary = [], outcome.tile_summary
+    monkeypatch.setattr(outcome, "tile_summary", lambda df: [seen.append(df), summary(df)][1])
+    tables.write_run(jobs, done, f"{tmp_path}/run", raise_failed=False)
+    assert ("Join" in seen[0]._jdf.queryExecution().optimizedPlan().toString()) == stops
+    left = done.where("NOT coalesce(request_id = 1, false)") if stops else done
+    monkeypatch.undo()
+    for name in tables.RECORDS:
+        assert spark.read.parquet(f"{tmp_path}/run/{name}").count() == getattr(outcome, name)(left).count() > 0
+    rows = lambda df: sorted(repr(r.asDict()) for r in df.select(sorted(df.columns)).collect())
+    kept = jobs.where("NOT coalesce(request_id = 1, false)") if stops else jobs
+    assert rows(spark.read.parquet(f"{tmp_path}/run/manifests")) == rows(tables.metrics.manifests(kept, left))
+    assert spark.read.parquet(f"{tmp_path}/run/failed_runs").count() == 2 * stops  # the one without a number is listed, too
+
+
 def test_records_meet_their_manifests_by_path(spark, tmp_path):
     for label, n in (("a", 2), ("b", 1)):
         (tmp_path / label).mkdir()

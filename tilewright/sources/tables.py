@@ -56,14 +56,16 @@ def load_results(manifests: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, *folders: str) -> None:
     """Parquet by folders. A table without rows is one file without rows, so that it can be read."""
     df.write.mode("overwrite").partitionBy(*folders).parquet(path)
-    try:
-        df.sparkSession.read.parquet(path)
-    except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
+    if not df.sparkSession.read.schema(df.schema).parquet(path).rdd.getNumPartitions():  # files are listed, none is opened
         df.limit(0).write.mode("overwrite").parquet(path)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """Rows written as Parquet, to be read from there; the schema is known, no file is opened for it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 RECORDS = ("tile_summary", "pano_records", "feature_records", "error_tiles", "skipped_tiles")
 
 
@@ -78,19 +80,16 @@ def write_run(jobs: DataFrame, processed: DataFrame, path: str, with_tiles: bool
     spark, jobs = processed.sparkSession, jobs.drop("access_token", "extra_headers")
     if not written:
         kept = [c for c in processed.columns if c not in ("content", "plain", "png")]
-        processed.select(*kept).write.mode("overwrite").parquet(f"{path}/outcomes")
-        processed = spark.read.schema(processed.select(*kept).schema).parquet(f"{path}/outcomes")
-    outcome.first_errors(processed).write.mode("overwrite").parquet(f"{path}/failed_runs")
-    failed = spark.read.parquet(f"{path}/failed_runs")
-    good = processed.join(failed.select(*outcome.RUN), outcome.RUN, "left_anti")
+        processed = _written(processed.select(*kept), f"{path}/outcomes")
+    failed = _written(outcome.first_errors(processed), f"{path}/failed_runs")
+    good = processed if failed.isEmpty() else processed.join(failed.select(*outcome.RUN), outcome.RUN, "left_anti")
     for name in RECORDS:
         write_table(getattr(outcome, name)(good), f"{path}/{name}", "provider", "run_label")
     if with_tiles:
         tiles = outcome.fetched(processed).where(F.col("stored_content").isNotNull())
         write_table(tiles.select("source_id", "source_zoom", "x", "y", F.col("stored_content").alias("content"), "content_type", "output_path"), f"{path}/tiles_raw", "source_id", "source_zoom")
     kept_jobs = jobs.join(failed.select(*outcome.RUN), outcome.RUN, "left_anti")
-    metrics.manifests(kept_jobs, good).write.mode("overwrite").parquet(f"{path}/manifests")
-    runs = spark.read.parquet(f"{path}/manifests").select(*outcome.RUN, "provider", "tile_count", "error_count")
+    runs = _written(metrics.manifests(kept_jobs, good), f"{path}/manifests").select(*outcome.RUN, "provider", "tile_count", "error_count")
     runs.write.mode("overwrite").parquet(f"{path}/committed")
     if raise_failed:
         outcome.raise_first(failed)
