@@ -40,12 +40,14 @@ def fetch_outcome(status: Column, error: Column, kind: Column, content_type: Col
     )
 
 
-def process_tiles(tiles: DataFrame) -> DataFrame:
+def process_tiles(tiles: DataFrame, one_pass: bool = False) -> DataFrame:
     """Tiles as read, decoded: a row each with ``outcome``, ``reason`` and the columns of the tile summary.
 
     Input: run, job and source columns, ``x, y, tile_url, http_status,
     content_type, content, transport_error, fetched_at``. A tile that does not
-    decode is an error and leaves nothing in any record table.
+    decode is an error and leaves nothing in any record table. With ``one_pass``
+    vector tiles are inflated by their decoder, and so tiles go to Python once:
+    where tasks have few tiles, a pass costs more than what it does.
     """
     special = F.coalesce(F.try_element_at("options", F.lit("config_kind")) == "yandex_stv_renderer", F.lit(False))
     size = F.coalesce(F.octet_length("content"), F.lit(0)).cast("long")
@@ -54,11 +56,15 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
     kind = lambda k: F.col("ok") & (F.col("source_kind") == k) & (F.col("wire_byte_length") > 0)
     content, zipped = F.col("content"), decode.is_gzip(F.col("content"))
     raster, vector = F.col("ok") & (F.col("source_kind") == "raster"), kind("vector_mvt")
-    # All decoders have the bytes as they came, so that tiles go to Python once.
-    rest = F.when(F.col("ok") & (F.col("source_kind") != "raster") & ~vector, content)
-    df = df.withColumns({"png": decode.summarize_png(F.when(kind("raster"), content)), "vector": decode.decode_mvt_tiles(F.when(vector, content), inflate=True), "inflated": decode.gunzip(rest)})
-    plain = F.when(raster | (vector & ~zipped), content).when(vector, F.col("vector.plain")).otherwise(F.col("inflated"))
-    df = df.withColumns({"was_gzip_compressed": F.coalesce(zipped, F.lit(False)) & (F.col("source_kind") != "raster"), "plain": plain, "mvt": F.struct("vector.layers", "vector.error")})
+    was_gzip = F.coalesce(zipped, F.lit(False)) & (F.col("source_kind") != "raster")
+    other = F.col("ok") & (F.col("source_kind") != "raster")
+    if one_pass:
+        df = df.withColumns({"png": decode.summarize_png(F.when(kind("raster"), content)), "vector": decode.decode_mvt_tiles(F.when(vector, content), inflate=True), "inflated": decode.gunzip(F.when(other & ~vector, content))})
+        plain = F.when(raster | (vector & ~zipped), content).when(vector, F.col("vector.plain")).otherwise(F.col("inflated"))
+        df = df.withColumns({"was_gzip_compressed": was_gzip, "plain": plain, "mvt": F.struct("vector.layers", "vector.error")}).drop("vector", "inflated")
+    else:
+        df = df.withColumns({"was_gzip_compressed": was_gzip, "plain": F.when(raster, content).otherwise(decode.gunzip(F.when(other, content)))})
+        df = df.withColumns({"png": decode.summarize_png(F.when(kind("raster"), F.col("plain"))), "mvt": decode.decode_mvt_tiles(F.when(vector, F.col("plain")))})
     sha256 = lambda c: F.sha2(F.coalesce(c, F.lit("").cast("binary")), 256)
     df = df.withColumns({"document": F.from_json(F.decode(F.when(kind("coverage_json"), F.col("plain")), "UTF-8"), decode.COVERAGE_JSON), "wire_sha256": sha256(content)})
     broken_json = kind("coverage_json") & F.try_parse_json(F.decode(F.col("plain"), "UTF-8")).isNull()
@@ -88,7 +94,7 @@ def process_tiles(tiles: DataFrame) -> DataFrame:
             "output_path": F.when(stored.isNotNull(), F.concat(place, suffix)),
             "metadata_path": F.concat(place, F.when(stored.isNotNull(), suffix).otherwise(F.lit(".png")), F.lit(".metadata.json")),
         }
-    ).drop("first", "ok", "special", "vector", "inflated")
+    ).drop("first", "ok", "special")
 
 
 def fetched(df: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def merge_batch(batch: DataFrame, number: int, path: str, compact_every: int = 1
     tasks and files as tiles.
     """
     spark = spark or batch.sparkSession
-    rows = outcome.process_tiles(batch).select(*outcome.RUN, "outcome", "reason", *outcome.TILE_SUMMARY)
+    rows = outcome.process_tiles(batch, one_pass=True).select(*outcome.RUN, "outcome", "reason", *outcome.TILE_SUMMARY)
     rows.write.mode("overwrite").parquet(f"{path}/summaries/batch={number}")
     metrics.partial_sums(spark.read.schema(rows.schema).parquet(f"{path}/summaries/batch={number}")).write.mode("overwrite").parquet(f"{path}/partials/batch={number}")
     if (number + 1) % compact_every == 0:
